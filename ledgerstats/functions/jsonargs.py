@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Where the ledger keeps each value.
-DEPOSIT = "$.deposit"
+DEPOSIT_FIELD = "deposit"
 CODE_HASH = "$.code_sha256"
 PERMISSION_KIND = "$.access_key.permission.permission_kind"
 PERMITTED_CONTRACT = "$.access_key.permission.permission_details.receiver_id"

@@ -93,6 +93,17 @@ def deployed_contracts(inputs: Inputs, period: Period) -> DataFrame:
     )
 
 
+def new_contracts_rollup(stored: DataFrame, period: Period) -> DataFrame:
+    """Accounts deployed to, from the table of deployments a rebuild has just written."""
+    time = F.col("deployed_at_block_timestamp")
+    counts = (
+        stored.filter((time >= F.lit(period.from_ns)) & (time < F.lit(period.to_ns)))
+        .groupBy(period.of("deployed_at_block_timestamp"))
+        .agg(F.count_distinct("deployed_to_account_id").cast("int").alias("new_contracts_count"))
+    )
+    return one_row_per_period(counts, period, "collected_for_day")
+
+
 def new_unique_contracts_count(inputs: Inputs, period: Period) -> DataFrame:
     """Code by the day it was first deployed, over all deployments up to the period's end."""
     first_seen = (

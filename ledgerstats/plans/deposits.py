@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstats.functions.jsonargs import DEPOSIT, argument
+from ledgerstats.functions.jsonargs import DEPOSIT_FIELD
 from ledgerstats.functions.widesum import limbs_of, sum_limbs, with_digits
 from ledgerstats.operators.periods import Period, one_row_per_period
 from ledgerstats.plans.inputs import Inputs
 
 
 def _deposit_actions(inputs: Inputs) -> DataFrame:
+    """Deposits as text. `json_tuple` generates the column, so the arguments are parsed
+    once although the amount is both filtered on and summed."""
     return (
         inputs.table("action_receipt_actions")
         .filter(F.col("receipt_predecessor_account_id") != "system")
         .filter(F.col("action_kind").isin("FUNCTION_CALL", "TRANSFER"))
-        .select("receipt_id", argument(DEPOSIT).alias("deposit"))
+        .select("receipt_id", F.json_tuple("args", DEPOSIT_FIELD).alias("deposit"))
     )
 
 

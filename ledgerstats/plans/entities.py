@@ -15,6 +15,9 @@ from ledgerstats.schemas import ENTITY_RECORD
 # Fixed value: the entity that stands for the network itself gains no accounts.
 NETWORK_ENTITY = "near"
 
+# Tasks a single contract's keys are spread over where the join has to shuffle.
+SALTS = 16
+
 CATALOGUE = "near_ecosystem_entities"
 ACCOUNTS_ADDED = "daily_accounts_added_per_ecosystem_entity"
 
@@ -40,9 +43,12 @@ def accounts_added(inputs: Inputs, period: Period) -> DataFrame:
     """When each account first gave a contract of an entity a function-call key.
 
     The catalogue has no broadcast hint: Spark broadcasts it while its size is within
-    `spark.sql.autoBroadcastJoinThreshold`, and otherwise shuffles both sides, splitting
-    a hot contract.
+    `spark.sql.autoBroadcastJoinThreshold`, and otherwise shuffles both sides. For that
+    case a contract's keys are spread by account, and each contract is listed once for
+    every salt, so that one contract does not become one task.
     """
+    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    salted = contract_entities(inputs.derived(CATALOGUE)).withColumn("salt", F.explode(salts))
     granted = (
         inputs.between("action_receipt_actions", period.from_ns, period.to_ns)
         .filter(F.col("action_kind") == "ADD_KEY")
@@ -52,9 +58,10 @@ def accounts_added(inputs: Inputs, period: Period) -> DataFrame:
             F.col("receipt_receiver_account_id").alias("account_id"),
             F.col("receipt_included_in_block_timestamp").alias("added_at"),
         )
+        .withColumn("salt", F.pmod(F.hash("account_id"), F.lit(SALTS)))
     )
     return (
-        granted.join(contract_entities(inputs.derived(CATALOGUE)), "contract_id")
+        granted.join(salted, ["contract_id", "salt"])
         .filter(~F.col("entity_id").isin(F.col("account_id"), F.lit(NETWORK_ENTITY)))
         .groupBy("entity_id", "account_id")
         .agg(F.min("added_at").alias("added_at_block_timestamp"))

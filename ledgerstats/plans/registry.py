@@ -8,7 +8,7 @@ from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame
 
-from ledgerstats.operators.periods import Period, all_periods, one_period
+from ledgerstats.operators.periods import Extent, Period, all_periods, one_period
 from ledgerstats.plans import accounts, activity, contracts, deposits, entities, gas
 from ledgerstats.plans.inputs import Inputs
 from ledgerstats.schemas import DERIVED_TABLES, DerivedTable
@@ -60,7 +60,12 @@ STATISTICS: dict[str, Statistic] = {
             entities.new_accounts_per_entity,
             depends_on=(entities.ACCOUNTS_ADDED,),
         ),
-        Statistic("daily_new_contracts_count", contracts.new_contracts_count),
+        Statistic(
+            "daily_new_contracts_count",
+            contracts.new_contracts_count,
+            rollup_of="deployed_contracts",
+            rollup=contracts.new_contracts_rollup,
+        ),
         Statistic(
             "daily_new_unique_contracts_count",
             contracts.new_unique_contracts_count,
@@ -107,14 +112,22 @@ def in_order(names: Iterable[str]) -> list[Statistic]:
 def compute(source: LedgerSource, name: str, timestamp: int | None = None) -> DataFrame:
     """A statistic straight from the ledger, nothing stored: every complete period, or
     the one that holds `timestamp`. Derived tables it reads cover every complete period."""
-    statistic = STATISTICS[name]
-    inputs = Inputs(source, derived=lambda other: compute(source, other))
-    return statistic.plan(inputs, period_for(source, statistic.unit, timestamp))
+    extent = source.extent() if STATISTICS[name].unit else None
+
+    def plan(name: str, timestamp: int | None = None) -> DataFrame:
+        statistic = STATISTICS[name]
+        return statistic.plan(
+            Inputs(source, derived=plan), period_for(extent, statistic.unit, timestamp)
+        )
+
+    return plan(name, timestamp)
 
 
-def period_for(source: LedgerSource, unit: str | None, timestamp: int | None) -> Period | None:
+def period_for(
+    extent: Extent | None, unit: str | None, timestamp: int | None = None
+) -> Period | None:
     if unit is None:
         return None
     if timestamp is None:
-        return all_periods(source.extent, unit)
-    return one_period(source.extent, unit, timestamp)
+        return all_periods(extent, unit)
+    return one_period(extent, unit, timestamp)

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 
 from ledgerstats.functions.calendar import DAY_SECONDS
 from ledgerstats.plans.inputs import Inputs
-from ledgerstats.plans.registry import STATISTICS, Statistic, in_order, period_for
+from ledgerstats.plans.registry import STATISTICS, in_order, period_for
 from ledgerstats.session import configure
 from ledgerstats.sources.base import LedgerSource
 from ledgerstats.store import Store
@@ -49,6 +49,7 @@ def run(
         timestamp = int(time.time()) - DAY_SECONDS
 
     configure(source.spark, source.size_in_bytes())
+    extent = source.extent()
     done: list[str] = []
     errors: dict[str, Exception] = {}
     for statistic in in_order(names):
@@ -56,30 +57,18 @@ def run(
             failed = [name for name in statistic.depends_on if name in errors]
             if failed:
                 raise DependencyFailed(", ".join(failed))
-            if rebuild:
-                _rebuild(source, store, statistic, done)
+            period = period_for(extent, statistic.unit, timestamp)
+            if rebuild and statistic.rollup_of in done:
+                rows = statistic.rollup(store.read(statistic.rollup_of), period)
             else:
-                _add_period(source, store, statistic, timestamp)
+                rows = statistic.plan(Inputs(source, store.read), period)
+            if rebuild or period is None:
+                store.replace(statistic.name, rows)
+            elif not period.is_empty:
+                store.insert(statistic.name, rows, period)
             done.append(statistic.name)
         except Exception as error:
             errors[statistic.name] = error
     if errors:
         raise StatisticsFailed(errors)
     return done
-
-
-def _rebuild(source: LedgerSource, store: Store, statistic: Statistic, done: list[str]) -> None:
-    period = period_for(source, statistic.unit, None)
-    if statistic.rollup_of in done:
-        rows = statistic.rollup(store.read(statistic.rollup_of), period)
-    else:
-        rows = statistic.plan(Inputs(source, store.read), period)
-    store.replace(statistic.name, rows)
-
-
-def _add_period(source: LedgerSource, store: Store, statistic: Statistic, timestamp: int) -> None:
-    period = period_for(source, statistic.unit, timestamp)
-    if period is None:
-        store.replace(statistic.name, statistic.plan(Inputs(source, store.read), period))
-    elif not period.is_empty:
-        store.insert(statistic.name, statistic.plan(Inputs(source, store.read), period), period)

@@ -76,12 +76,17 @@ ENTITY_RECORD = _columns(
 
 @dataclass(frozen=True)
 class DerivedTable:
-    """A stored result: its columns, its primary key, and which columns may hold NULL."""
+    """A stored result: its columns, its primary key, and which columns may hold NULL.
+
+    `dated_by` is a column whose value follows from the key, so that a row can only
+    conflict with stored rows of its own period.
+    """
 
     schema: T.StructType
     key: tuple[str, ...]
     nullable: frozenset[str] = frozenset()
     partition_by: str | None = None
+    dated_by: str | None = None
 
     @property
     def columns(self) -> list[str]:
@@ -90,7 +95,9 @@ class DerivedTable:
 
 def _per_day(value: str, type_: T.DataType) -> DerivedTable:
     return DerivedTable(
-        _columns(collected_for_day=_DATE, **{value: type_}), key=("collected_for_day",)
+        _columns(collected_for_day=_DATE, **{value: type_}),
+        key=("collected_for_day",),
+        dated_by="collected_for_day",
     )
 
 
@@ -99,6 +106,7 @@ def _per_day_and(key: str, key_type: T.DataType, count: str) -> DerivedTable:
         _columns(collected_for_day=_DATE, **{key: key_type, count: _LONG}),
         key=("collected_for_day", key),
         partition_by="collected_for_day",
+        dated_by="collected_for_day",
     )
 
 
@@ -138,10 +146,12 @@ DERIVED_TABLES: dict[str, DerivedTable] = {
             deployed_at_block_timestamp=_LONG,
         ),
         key=("deployed_by_receipt_id",),
+        dated_by="deployed_at_block_timestamp",
     ),
     "weekly_active_accounts_count": DerivedTable(
         _columns(collected_for_week=_DATE, active_accounts_count=_INT),
         key=("collected_for_week",),
+        dated_by="collected_for_week",
     ),
     "near_ecosystem_entities": DerivedTable(
         T.StructType(

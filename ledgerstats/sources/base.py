@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 from abc import ABC, abstractmethod
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +30,6 @@ class LedgerSource(ABC):
         """Stored size of the tables, where it is known without reading them."""
         return None
 
-    @cached_property
     def extent(self) -> Extent | None:
+        """How far the ledger reaches now: a Spark job over one column of the blocks."""
         return ledger_extent(self.table("blocks"))

@@ -4,38 +4,108 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ledgerstats.functions.calendar import SECOND_NS
+from ledgerstats import files
 from ledgerstats.operators.periods import between
-from ledgerstats.schemas import ENTITY_RECORD, SOURCE_TABLES, TIME_COLUMN
+from ledgerstats.schemas import TIME_COLUMN
 from ledgerstats.sources.base import LedgerSource
 
 _MICRO_NS = 1_000
-_HOUR_NS = 3_600 * SECOND_NS
-_GAS_PER_CENT = 50_000_000_000
 
 # The stored column has no zone; read as a timestamp it keeps its microseconds since
 # the epoch whatever the session's zone is.
-_EVENTS = T.StructType(
-    [
-        T.StructField("event_id", T.LongType()),
-        T.StructField("ts", T.TimestampType()),
-        T.StructField("user_id", T.LongType()),
-        T.StructField("event_type", T.StringType()),
-        T.StructField("value", T.DoubleType()),
-        T.StructField("props", T.StringType()),
-    ]
-)
-
-
-def _text(column: str):
-    return F.col(column).cast("string")
+_EVENTS = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+
+_PREPARED = [
+    "event_id",
+    "user_id",
+    "event_type",
+    "props",
+    "unix_micros(ts) * 1000 AS ts_ns",
+    "CAST(round(value * 100) AS BIGINT) AS cents",
+    "concat('u', user_id) AS account",
+]
+# A generated column is computed once per row, however many expressions use it.
+_K = "explode(array(CAST(get_json_object(props, '$.k') AS BIGINT))) AS k"
+_GAS = "cents * 50000000000"
+_HOUR = "CAST(ts_ns div 3600000000000 AS STRING)"
+
+# One action per event, and a second one for every ninth event.
+_COPIES = "explode(CASE WHEN event_id % 9 = 0 THEN array(1, 2) ELSE array(1) END) AS copy"
+_ACTIONS = [
+    "CAST(event_id AS STRING) AS receipt_id",
+    """CASE WHEN event_type = 'error' THEN 'DEPLOY_CONTRACT'
+            WHEN copy = 2 OR event_type = 'click' THEN 'FUNCTION_CALL'
+            WHEN event_type = 'purchase' THEN 'TRANSFER'
+            WHEN event_type = 'view' THEN 'ADD_KEY'
+            WHEN event_type = 'signup' THEN 'CREATE_ACCOUNT'
+            ELSE 'DEPLOY_CONTRACT' END AS action_kind""",
+    """CASE WHEN copy = 2 AND event_type = 'error'
+              THEN concat('{"code_sha256":"h', (user_id * 100 + k + 7) % 1500, '"}')
+            WHEN copy = 2 THEN '{"deposit":"1"}'
+            WHEN event_type IN ('click', 'purchase')
+              THEN concat('{"deposit":"',
+                          CASE WHEN k % 5 = 0 THEN '0'
+                               ELSE concat(cents, '0000000000000000000000') END, '"}')
+            WHEN event_type = 'view' AND k % 4 = 0
+              THEN '{"access_key":{"permission":{"permission_kind":"FULL_ACCESS"}}}'
+            WHEN event_type = 'view'
+              THEN concat('{"access_key":{"permission":{"permission_kind":"FUNCTION_CALL",',
+                          '"permission_details":{"receiver_id":"c', k % 70, '"}}}}')
+            WHEN event_type = 'error'
+              THEN concat('{"code_sha256":"h', (user_id * 100 + k) % 1500, '"}')
+            ELSE '{}' END AS args""",
+    "account AS receipt_receiver_account_id",
+    """CASE WHEN copy = 1 AND k % 10 = 0 THEN 'system'
+            ELSE concat('u', k % 50) END AS receipt_predecessor_account_id""",
+    "ts_ns AS receipt_included_in_block_timestamp",
+]
+_TRANSACTIONS = [
+    "CAST(event_id div 4 AS STRING) AS transaction_hash",
+    "account AS signer_account_id",
+    "ts_ns AS block_timestamp",
+]
+_RECEIPTS = [
+    "CAST(event_id AS STRING) AS receipt_id",
+    "account AS receiver_account_id",
+    "CAST(event_id div 4 AS STRING) AS originated_from_transaction_hash",
+    "ts_ns AS included_in_block_timestamp",
+]
+_OUTCOMES = [
+    "CAST(event_id AS STRING) AS receipt_id",
+    "ts_ns + k * 1000000000 AS executed_in_block_timestamp",
+    f"CAST({_GAS} AS DECIMAL(20,0)) AS gas_burnt",
+    """CASE event_id % 7 WHEN 0 THEN 'FAILURE' WHEN 1 THEN 'UNKNOWN'
+                          WHEN 2 THEN 'SUCCESS_RECEIPT_ID' ELSE 'SUCCESS_VALUE' END AS status""",
+]
+_ACCOUNTS = [
+    "CAST(event_id AS STRING) AS created_by_receipt_id",
+    "CASE WHEN k % 3 = 0 THEN CAST(event_id + 200 AS STRING) END AS deleted_by_receipt_id",
+]
+_ENTITIES = [
+    """CASE n_nationkey WHEN 0 THEN 'near' WHEN 2 THEN 'u7' WHEN 3 THEN "o'k"
+                        ELSE lower(n_name) END AS slug""",
+    "n_name AS title",
+    "CAST(NULL AS STRING) AS oneliner",
+    "CAST(NULL AS STRING) AS website",
+    """CASE n_regionkey WHEN 0 THEN 'app nft' WHEN 1 THEN 'defi' WHEN 2 THEN 'dao guild'
+                        ELSE 'app' END AS category""",
+    "CAST(NULL AS STRING) AS status",
+    """CASE WHEN n_nationkey = 2
+              THEN 'c2, c27, c50, c51, c53, c54, c55, c57, c58, c59, c61, c62, c63, c65, c66, c67'
+            WHEN n_nationkey % 5 = 4 THEN ''
+            WHEN n_nationkey % 5 = 3 THEN concat(" 'c", n_nationkey, "'")
+            WHEN n_nationkey = 5 THEN 'c5, c1'
+            ELSE concat('c', n_nationkey, ', c', n_nationkey + 25) END AS contract""",
+    "CAST(NULL AS STRING) AS logo",
+    "CAST(n_nationkey AS BIGINT) AS _position",
+]
 
 
 class EventLedger(LedgerSource):
     # Tables whose time is that of the event itself: a period of them is a period of events.
     _EVENT_TIMED = ("blocks", "transactions", "receipts", "action_receipt_actions")
+    _WITH_K = ("blocks", "action_receipt_actions", "execution_outcomes", "accounts")
 
     def __init__(self, spark: SparkSession, directory: str):
         super().__init__(spark)
@@ -44,156 +114,50 @@ class EventLedger(LedgerSource):
     def _events(self) -> DataFrame:
         return self.spark.read.schema(_EVENTS).parquet(f"{self.directory}/events.parquet")
 
+    def size_in_bytes(self) -> int:
+        return files.size_in_bytes(self.spark, f"{self.directory}/events.parquet")
+
     def table(self, name: str) -> DataFrame:
         return self._mapped(name, self._events())
 
     def between(self, name: str, from_ns: int, to_ns: int) -> DataFrame:
         events = self._events()
         if name in self._EVENT_TIMED:
-            events = events.filter(
-                (F.col("ts") >= F.timestamp_micros(F.lit(from_ns // _MICRO_NS)))
-                & (F.col("ts") < F.timestamp_micros(F.lit(-(-to_ns // _MICRO_NS))))
+            first, stop = from_ns // _MICRO_NS, -(-to_ns // _MICRO_NS)
+            events = events.where(
+                f"ts >= timestamp_micros({first}) AND ts < timestamp_micros({stop})"
             )
         return between(self._mapped(name, events), TIME_COLUMN[name], from_ns, to_ns)
 
     def _mapped(self, name: str, events: DataFrame) -> DataFrame:
-        prepared = events.select(
-            "event_id",
-            "user_id",
-            "event_type",
-            F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-            (F.unix_micros("ts") * _MICRO_NS).alias("ts_ns"),
-            F.round(F.col("value") * 100).cast("bigint").alias("cents"),
-            F.concat(F.lit("u"), _text("user_id")).alias("account"),
-        )
-        mapped = getattr(self, f"_{name}")(prepared)
-        return mapped.select(
-            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in SOURCE_TABLES[name].fields]
-        )
-
-    def _transactions(self, ev: DataFrame) -> DataFrame:
-        return ev.filter("event_id % 4 = 0").select(
-            F.expr("event_id div 4").alias("transaction_hash"),
-            F.col("account").alias("signer_account_id"),
-            F.col("ts_ns").alias("block_timestamp"),
-        )
-
-    def _receipts(self, ev: DataFrame) -> DataFrame:
-        return ev.select(
-            F.col("event_id").alias("receipt_id"),
-            F.col("account").alias("receiver_account_id"),
-            F.expr("event_id div 4").alias("originated_from_transaction_hash"),
-            F.col("ts_ns").alias("included_in_block_timestamp"),
-        )
-
-    def _action_receipt_actions(self, ev: DataFrame) -> DataFrame:
-        """One action per event, and a second one for every ninth event."""
-        kind, k, cents = F.col("event_type"), F.col("k"), _text("cents")
-        second = F.col("action") == 2
-        caller = F.concat(F.lit("u"), (k % 50).cast("string"))
-        deposit = F.when(k % 5 == 0, F.lit("0")).otherwise(F.concat(cents, F.lit("0" * 22)))
-
-        def code(shift: int):
-            number = (F.col("user_id") * 100 + k + shift) % 1500
-            return F.concat(F.lit('{"code_sha256":"h'), number.cast("string"), F.lit('"}'))
-
-        def permission(body):
-            return F.concat(F.lit('{"access_key":{"permission":'), body, F.lit("}}"))
-
-        one_contract = F.concat(
-            F.lit('{"permission_kind":"FUNCTION_CALL","permission_details":{"receiver_id":"c'),
-            (k % 70).cast("string"),
-            F.lit('"}}'),
-        )
-        copies = F.when(F.col("event_id") % 9 == 0, F.array(F.lit(1), F.lit(2))).otherwise(
-            F.array(F.lit(1))
-        )
-        return ev.withColumn("action", F.explode(copies)).select(
-            F.col("event_id").alias("receipt_id"),
-            F.when(second & (kind != "error"), "FUNCTION_CALL")
-            .when(kind == "click", "FUNCTION_CALL")
-            .when(kind == "purchase", "TRANSFER")
-            .when(kind == "view", "ADD_KEY")
-            .when(kind == "signup", "CREATE_ACCOUNT")
-            .otherwise("DEPLOY_CONTRACT")
-            .alias("action_kind"),
-            F.when(second & (kind == "error"), code(7))
-            .when(second, '{"deposit":"1"}')
-            .when(
-                kind.isin("click", "purchase"),
-                F.concat(F.lit('{"deposit":"'), deposit, F.lit('"}')),
+        ev = events.selectExpr(*_PREPARED)
+        if name in self._WITH_K:
+            ev = ev.selectExpr("*", _K)
+        if name == "transactions":
+            return ev.where("event_id % 4 = 0").selectExpr(*_TRANSACTIONS)
+        if name == "receipts":
+            return ev.selectExpr(*_RECEIPTS)
+        if name == "action_receipt_actions":
+            return ev.selectExpr("*", _COPIES).selectExpr(*_ACTIONS)
+        if name == "execution_outcomes":
+            return ev.selectExpr(*_OUTCOMES)
+        if name == "accounts":
+            return ev.where("event_type = 'signup'").selectExpr(*_ACCOUNTS)
+        if name == "blocks":
+            return ev.groupBy(F.expr(_HOUR).alias("block_hash")).agg(
+                F.min("ts_ns").alias("block_timestamp"),
+                F.expr("CAST(100000000 + max(k) AS DECIMAL(38,0))").alias("gas_price"),
             )
-            .when(
-                (kind == "view") & (k % 4 == 0),
-                permission(F.lit('{"permission_kind":"FULL_ACCESS"}')),
+        if name == "chunks":
+            return (
+                ev.groupBy(
+                    F.expr(_HOUR).alias("included_in_block_hash"), F.expr("user_id % 4")
+                )
+                .agg(F.expr(f"CAST(sum({_GAS}) AS DECIMAL(20,0))").alias("gas_used"))
+                .select("included_in_block_hash", "gas_used")
             )
-            .when(kind == "view", permission(one_contract))
-            .when(kind == "error", code(0))
-            .otherwise("{}")
-            .alias("args"),
-            F.col("account").alias("receipt_receiver_account_id"),
-            F.when(~second & (k % 10 == 0), "system")
-            .otherwise(caller)
-            .alias("receipt_predecessor_account_id"),
-            F.col("ts_ns").alias("receipt_included_in_block_timestamp"),
-        )
-
-    def _execution_outcomes(self, ev: DataFrame) -> DataFrame:
-        rest = F.col("event_id") % 7
-        return ev.select(
-            F.col("event_id").alias("receipt_id"),
-            (F.col("ts_ns") + F.col("k") * SECOND_NS).alias("executed_in_block_timestamp"),
-            (F.col("cents") * _GAS_PER_CENT).alias("gas_burnt"),
-            F.when(rest == 0, "FAILURE")
-            .when(rest == 1, "UNKNOWN")
-            .when(rest == 2, "SUCCESS_RECEIPT_ID")
-            .otherwise("SUCCESS_VALUE")
-            .alias("status"),
-        )
-
-    def _accounts(self, ev: DataFrame) -> DataFrame:
-        return ev.filter("event_type = 'signup'").select(
-            F.col("event_id").alias("created_by_receipt_id"),
-            F.when(F.col("k") % 3 == 0, F.col("event_id") + 200).alias("deleted_by_receipt_id"),
-        )
-
-    def _blocks(self, ev: DataFrame) -> DataFrame:
-        return ev.groupBy(F.expr(f"ts_ns div {_HOUR_NS}").alias("block_hash")).agg(
-            F.min("ts_ns").alias("block_timestamp"),
-            (F.max("k") + 100_000_000).alias("gas_price"),
-        )
-
-    def _chunks(self, ev: DataFrame) -> DataFrame:
-        return ev.groupBy(
-            F.expr(f"ts_ns div {_HOUR_NS}").alias("included_in_block_hash"),
-            (F.col("user_id") % 4).alias("shard"),
-        ).agg(F.sum(F.col("cents") * _GAS_PER_CENT).alias("gas_used"))
+        raise KeyError(name)
 
     def entities(self) -> DataFrame:
         nation = self.spark.read.parquet(f"{self.directory}/nation.parquet")
-        key, region = F.col("n_nationkey"), F.col("n_regionkey")
-        number = key.cast("string")
-        many = [2, 27, 50, 51, 53, 54, 55, 57, 58, 59, 61, 62, 63, 65, 66, 67]
-        known = {
-            "slug": F.when(key == 0, "near")
-            .when(key == 2, "u7")
-            .when(key == 3, "o'k")
-            .otherwise(F.lower("n_name")),
-            "title": F.col("n_name"),
-            "category": F.when(region == 0, "app nft")
-            .when(region == 1, "defi")
-            .when(region == 2, "dao guild")
-            .otherwise("app"),
-            "contract": F.when(key == 2, ", ".join(f"c{n}" for n in many))
-            .when(key % 5 == 4, "")
-            .when(key % 5 == 3, F.concat(F.lit(" 'c"), number, F.lit("'")))
-            .when(key == 5, "c5, c1")
-            .otherwise(F.concat(F.lit("c"), number, F.lit(", c"), (key + 25).cast("string"))),
-        }
-        return nation.select(
-            *[
-                known.get(name, F.lit(None)).cast("string").alias(name)
-                for name in ENTITY_RECORD.fieldNames()
-            ],
-            key.cast("bigint").alias("_position"),
-        )
+        return nation.selectExpr(*_ENTITIES)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerstats import files
 from ledgerstats.operators.firstwrite import new_rows
@@ -37,8 +38,9 @@ class Store:
     def insert(self, name: str, rows: DataFrame, period: Period | None = None) -> None:
         """Add the rows whose key is not stored yet; the rows are unique on the key.
 
-        `period` is the one the rows belong to: of a table partitioned by day only those
-        days' keys are read. Repeating an insert that was cut short completes it.
+        `period` is the one the rows belong to: where the key fixes a row's time, only
+        that period's stored keys are read. Repeating an insert that was cut short
+        completes it.
         """
         versions = self._versions(name)
         if not versions:
@@ -46,10 +48,8 @@ class Store:
             return
         table = self.tables[name]
         stored = self.read(name)
-        date = table.schema.fields[0]
-        if period is not None and date.dataType.typeName() == "date":
-            first, stop = (F.date_from_unix_date(F.lit(d)) for d in (period.first, period.stop))
-            stored = stored.filter((F.col(date.name) >= first) & (F.col(date.name) < stop))
+        if period is not None and table.dated_by:
+            stored = stored.filter(_within(period, table.schema[table.dated_by]))
         fresh = new_rows(stored, _declared(name, table, rows), table.key)
         self._write(table, fresh, self._path(name, versions[-1]))
 
@@ -96,6 +96,14 @@ class Store:
         )
 
 
+def _within(period: Period, field: T.StructField) -> Column:
+    if isinstance(field.dataType, T.DateType):
+        first, stop = (F.date_from_unix_date(F.lit(d)) for d in (period.first, period.stop))
+    else:
+        first, stop = F.lit(period.from_ns), F.lit(period.to_ns)
+    return (F.col(field.name) >= first) & (F.col(field.name) < stop)
+
+
 def _declared(name: str, table: DerivedTable, rows: DataFrame) -> DataFrame:
     """The declared columns in order; NULL where none is allowed fails the write."""
 

@@ -208,7 +208,7 @@ def test_a_malformed_deposit_fails(spark):
 
 def wide(ledger, plan):
     inputs = Inputs(ledger, derived=lambda name: compute(ledger, name))
-    return rows(plan(inputs, all_periods(ledger.extent, "day")))
+    return rows(plan(inputs, all_periods(ledger.extent(), "day")))
 
 
 def test_deposit_sums_past_38_digits(spark):
