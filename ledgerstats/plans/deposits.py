@@ -5,18 +5,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerstats.functions.calendar import DAY_NS
 from ledgerstats.functions.jsonargs import DEPOSIT_FIELD
 from ledgerstats.functions.widesum import limbs_of, sum_limbs, with_digits
 from ledgerstats.operators.periods import Period, one_row_per_period
 from ledgerstats.plans.inputs import Inputs
 
+# How long before its execution a receipt is looked for first.
+LOOKBACK_NS = DAY_NS
 
-def _deposit_actions(inputs: Inputs) -> DataFrame:
+
+def _actions_behind(inputs: Inputs, period: Period, outcomes: DataFrame) -> DataFrame:
+    """Actions, among them all those of the outcomes' receipts.
+
+    Nothing bounds how long a receipt waits for its execution. For one period the actions
+    of its days and the day before are taken if a check on the receipt ids alone finds
+    every outcome's receipt there: the actions of a receipt share their time, so they are
+    then complete. Otherwise, and for the whole ledger, all actions are read.
+    """
+    name = "action_receipt_actions"
+    if inputs.one_period:
+        recent = inputs.between(name, period.from_ns - LOOKBACK_NS, period.to_ns)
+        found = recent.select("receipt_id").distinct()
+        if outcomes.join(found, "receipt_id", "left_anti").isEmpty():
+            return recent
+    return inputs.table(name)
+
+
+def _deposits(actions: DataFrame) -> DataFrame:
     """Deposits as text. `json_tuple` generates the column, so the arguments are parsed
     once although the amount is both filtered on and summed."""
     return (
-        inputs.table("action_receipt_actions")
-        .filter(F.col("receipt_predecessor_account_id") != "system")
+        actions.filter(F.col("receipt_predecessor_account_id") != "system")
         .filter(F.col("action_kind").isin("FUNCTION_CALL", "TRANSFER"))
         .select("receipt_id", F.json_tuple("args", DEPOSIT_FIELD).alias("deposit"))
     )
@@ -36,16 +56,16 @@ def deposit_amount(inputs: Inputs, period: Period) -> DataFrame:
 
     Actions are summed per receipt on the way into the join's shuffle.
     """
+    outcomes = _successful(inputs, period)
     per_receipt = (
-        _deposit_actions(inputs)
+        _deposits(_actions_behind(inputs, period, outcomes))
         .withColumn("deposit", F.col("deposit").cast("decimal(38,0)"))
         .filter(F.col("deposit") > 0)
         .groupBy("receipt_id")
         .agg(F.sum("deposit").alias("deposit"))
     )
     totals = (
-        _successful(inputs, period)
-        .join(per_receipt, "receipt_id")
+        outcomes.join(per_receipt, "receipt_id")
         .groupBy("period")
         .agg(F.sum("deposit").alias("deposit_amount"))
     )
@@ -54,16 +74,17 @@ def deposit_amount(inputs: Inputs, period: Period) -> DataFrame:
 
 def deposit_amount_wide(inputs: Inputs, period: Period) -> DataFrame:
     """The same as text, exact for deposits and sums of any declared width."""
+    outcomes = _successful(inputs, period)
     limbs = limbs_of(F.col("deposit"), 5)
     names = [f"_limb{i}" for i in range(len(limbs))]
     per_receipt = (
-        _deposit_actions(inputs)
+        _deposits(_actions_behind(inputs, period, outcomes))
         .filter(F.col("deposit").isNotNull())
         .groupBy("receipt_id")
         .agg(*sum_limbs(limbs))
     )
     again: list[Column] = [F.sum(name).alias(name) for name in names]
-    sums = _successful(inputs, period).join(per_receipt, "receipt_id").groupBy("period").agg(*again)
+    sums = outcomes.join(per_receipt, "receipt_id").groupBy("period").agg(*again)
     return one_row_per_period(
         with_digits(sums, len(limbs), "deposit_amount"), period, "collected_for_day"
     )

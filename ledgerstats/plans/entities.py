@@ -39,7 +39,9 @@ def contract_entities(entities: DataFrame) -> DataFrame:
     )
 
 
-def accounts_added(inputs: Inputs, period: Period) -> DataFrame:
+def accounts_added(
+    inputs: Inputs, period: Period, network_entity: str = NETWORK_ENTITY
+) -> DataFrame:
     """When each account first gave a contract of an entity a function-call key.
 
     The catalogue has no broadcast hint: Spark broadcasts it while its size is within
@@ -62,7 +64,7 @@ def accounts_added(inputs: Inputs, period: Period) -> DataFrame:
     )
     return (
         granted.join(salted, ["contract_id", "salt"])
-        .filter(~F.col("entity_id").isin(F.col("account_id"), F.lit(NETWORK_ENTITY)))
+        .filter(~F.col("entity_id").isin(F.col("account_id"), F.lit(network_entity)))
         .groupBy("entity_id", "account_id")
         .agg(F.min("added_at").alias("added_at_block_timestamp"))
     )

@@ -10,10 +10,15 @@ from ledgerstats.sources.base import LedgerSource
 
 @dataclass(frozen=True)
 class Inputs:
-    """What a statistic may read: ledger tables, and derived tables it depends on."""
+    """What a statistic may read: ledger tables, and derived tables it depends on.
+
+    `one_period` tells a run over one day or week, where a table without bounds is worth
+    a look for narrower ones, from a run over the whole ledger.
+    """
 
     source: LedgerSource
     derived: Callable[[str], DataFrame]
+    one_period: bool = False
 
     def table(self, name: str) -> DataFrame:
         return self.source.table(name)

@@ -116,9 +116,8 @@ def compute(source: LedgerSource, name: str, timestamp: int | None = None) -> Da
 
     def plan(name: str, timestamp: int | None = None) -> DataFrame:
         statistic = STATISTICS[name]
-        return statistic.plan(
-            Inputs(source, derived=plan), period_for(extent, statistic.unit, timestamp)
-        )
+        inputs = Inputs(source, derived=plan, one_period=timestamp is not None)
+        return statistic.plan(inputs, period_for(extent, statistic.unit, timestamp))
 
     return plan(name, timestamp)
 

@@ -50,6 +50,7 @@ def run(
 
     configure(source.spark, source.size_in_bytes())
     extent = source.extent()
+    inputs = Inputs(source, store.read, one_period=not rebuild)
     done: list[str] = []
     errors: dict[str, Exception] = {}
     for statistic in in_order(names):
@@ -59,13 +60,12 @@ def run(
                 raise DependencyFailed(", ".join(failed))
             period = period_for(extent, statistic.unit, timestamp)
             if rebuild and statistic.rollup_of in done:
-                rows = statistic.rollup(store.read(statistic.rollup_of), period)
-            else:
-                rows = statistic.plan(Inputs(source, store.read), period)
-            if rebuild or period is None:
-                store.replace(statistic.name, rows)
+                stored = store.read(statistic.rollup_of)
+                store.replace(statistic.name, statistic.rollup(stored, period))
+            elif rebuild or period is None:
+                store.replace(statistic.name, statistic.plan(inputs, period))
             elif not period.is_empty:
-                store.insert(statistic.name, rows, period)
+                store.insert(statistic.name, statistic.plan(inputs, period), period)
             done.append(statistic.name)
         except Exception as error:
             errors[statistic.name] = error

@@ -20,13 +20,14 @@ _PREPARED = [
     "event_id",
     "user_id",
     "event_type",
-    "props",
     "unix_micros(ts) * 1000 AS ts_ns",
     "CAST(round(value * 100) AS BIGINT) AS cents",
     "concat('u', user_id) AS account",
 ]
-# A generated column is computed once per row, however many expressions use it.
-_K = "explode(array(CAST(get_json_object(props, '$.k') AS BIGINT))) AS k"
+_K = "CAST(get_json_object(props, '$.k') AS BIGINT)"
+# A generated column is computed once per row, however many expressions use it, but
+# always; a projected one once per use, and not at all where no result needs it.
+_K_PROJECTED, _K_GENERATED = f"{_K} AS k", f"explode(array({_K})) AS k"
 _GAS = "cents * 50000000000"
 _HOUR = "CAST(ts_ns div 3600000000000 AS STRING)"
 
@@ -105,7 +106,6 @@ _ENTITIES = [
 class EventLedger(LedgerSource):
     # Tables whose time is that of the event itself: a period of them is a period of events.
     _EVENT_TIMED = ("blocks", "transactions", "receipts", "action_receipt_actions")
-    _WITH_K = ("blocks", "action_receipt_actions", "execution_outcomes", "accounts")
 
     def __init__(self, spark: SparkSession, directory: str):
         super().__init__(spark)
@@ -127,12 +127,11 @@ class EventLedger(LedgerSource):
             events = events.where(
                 f"ts >= timestamp_micros({first}) AND ts < timestamp_micros({stop})"
             )
-        return between(self._mapped(name, events), TIME_COLUMN[name], from_ns, to_ns)
+        k = _K_GENERATED if name == "execution_outcomes" else _K_PROJECTED
+        return between(self._mapped(name, events, k), TIME_COLUMN[name], from_ns, to_ns)
 
-    def _mapped(self, name: str, events: DataFrame) -> DataFrame:
-        ev = events.selectExpr(*_PREPARED)
-        if name in self._WITH_K:
-            ev = ev.selectExpr("*", _K)
+    def _mapped(self, name: str, events: DataFrame, k: str = _K_PROJECTED) -> DataFrame:
+        ev = events.selectExpr(*_PREPARED, k)
         if name == "transactions":
             return ev.where("event_id % 4 = 0").selectExpr(*_TRANSACTIONS)
         if name == "receipts":

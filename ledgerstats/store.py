@@ -56,10 +56,10 @@ class Store:
     def replace(self, name: str, rows: DataFrame) -> None:
         """Make the rows the whole table."""
         table = self.tables[name]
-        complete = self._versions(name)
-        number = max(self._numbers(name), default=0) + 1
+        before, numbers = self._versions(name)[-1:], self._numbers(name)
+        number = max(numbers, default=0) + 1
         self._write(table, _declared(name, table, rows), self._path(name, number))
-        for old in complete[:-1]:
+        for old in set(numbers) - set(before):
             files.delete(self.spark, self._path(name, old))
 
     def drop(self, name: str) -> None:

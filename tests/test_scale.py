@@ -144,6 +144,14 @@ TIMED = {
 }
 
 
+def test_one_day_of_deposits_reads_two_days_of_actions(landed):
+    """Where their receipts are all found there; the other days stay closed."""
+    text = plan(compute(landed, "daily_deposit_amount", timestamp=(MONDAY + 3) * 86_400))
+    (scan,) = [line for line in text.splitlines() if "FileScan" in line and "args" in line]
+    assert f"GreaterThanOrEqual(receipt_included_in_block_timestamp,{at(2)})" in scan
+    assert re.search(r"PartitionFilters: \[.*day#\d+ >= 2024-01-03.*day#\d+ <= 2024-01-04", scan)
+
+
 @pytest.mark.parametrize("name", sorted(set(READS)))
 def test_day_directories_do_not_change_results(spark, landed, name):
     expected = compute(EventLedger(spark, SMALL), name).collect()

@@ -194,6 +194,26 @@ def test_deposits_that_count(spark):
     ]
 
 
+@pytest.mark.parametrize("waited", [0, 1, 2, 5])
+def test_deposits_of_receipts_that_waited(spark, waited):
+    """However long before its execution day a receipt was included."""
+    ledger = LiteralLedger(
+        spark,
+        days=6,
+        action_receipt_actions=[
+            action("r1", "TRANSFER", deposit(3), time=at(5, 7)),
+            action("r2", "TRANSFER", deposit(4), time=at(5 - waited, 7)),
+            action("r2", "FUNCTION_CALL", deposit(5), time=at(5 - waited, 7)),
+        ],
+        execution_outcomes=[("r1", at(5, 9), Decimal(0), "SUCCESS_VALUE"),
+                            ("r2", at(5, 8), Decimal(0), "SUCCESS_VALUE")],
+    )
+    day = dt.date(2024, 1, 6)
+    assert result(ledger, "daily_deposit_amount")[-1] == (day, Decimal(12))
+    single = result(ledger, "daily_deposit_amount", timestamp=(MONDAY + 5) * 86400)
+    assert single == [(day, Decimal(12))]
+
+
 def test_a_malformed_deposit_fails(spark):
     ledger = LiteralLedger(
         spark,

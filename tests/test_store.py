@@ -71,6 +71,33 @@ def test_an_unfinished_version_is_not_read(spark, tmp_path):
     assert rows(store.read(COUNTS)) == [(DAY0, 1)]
     store.replace(COUNTS, frame(spark, COUNTS, [(DAY0, 5)]))
     assert rows(store.read(COUNTS)) == [(DAY0, 5)]
+    assert sorted(os.listdir(tmp_path / COUNTS)) == ["v00000001", "v00000003"]
+
+
+def test_an_empty_result_is_stored(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    store.replace(PER_ACCOUNT, frame(spark, PER_ACCOUNT, []))
+    assert rows(store.read(PER_ACCOUNT)) == []
+    store.insert(PER_ACCOUNT, frame(spark, PER_ACCOUNT, [(DAY0, "a", 1)]))
+    assert rows(store.read(PER_ACCOUNT)) == [(DAY0, "a", 1)]
+
+
+def test_a_large_day_is_written_by_several_tasks(spark, tmp_path):
+    """`rebalance` does not gather one day, however large, into one task."""
+    store = Store(spark, str(tmp_path))
+    accounts = spark.range(0, 200_000, numPartitions=8).select(
+        F.lit(DAY0).alias("collected_for_day"),
+        F.concat(F.lit("account-with-a-long-name-"), "id").alias("account_id"),
+        F.lit(1).cast("bigint").alias("outgoing_transactions_count"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB")
+    try:
+        store.replace(PER_ACCOUNT, accounts)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    day = tmp_path / PER_ACCOUNT / "v00000001" / "collected_for_day=2024-01-01"
+    assert len([f for f in os.listdir(day) if f.endswith(".parquet")]) > 1
+    assert store.read(PER_ACCOUNT).count() == 200_000
 
 
 def test_a_null_where_none_is_allowed_fails(spark, tmp_path):
