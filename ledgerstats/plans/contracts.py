@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerstats.functions.jsonargs import CODE_HASH, argument
@@ -54,8 +54,8 @@ def active_contracts_rollup(stored: DataFrame, period: Period) -> DataFrame:
     return one_row_per_period(counts, period, "collected_for_day")
 
 
-def _deploying_receipts(inputs: Inputs, period: Period, *per_receipt: Column) -> DataFrame:
-    """Receipts of the period that deploy code, once each.
+def _deploying_receipts(inputs: Inputs, period: Period) -> DataFrame:
+    """Receipts of the period that deploy code, once each, with the lowest code hash.
 
     Actions carry a copy of their receipt's time, so the period bounds them as well.
     They are reduced to one row per receipt on the way into the join's shuffle.
@@ -63,8 +63,9 @@ def _deploying_receipts(inputs: Inputs, period: Period, *per_receipt: Column) ->
     deployments = (
         inputs.between("action_receipt_actions", period.from_ns, period.to_ns)
         .filter(F.col("action_kind") == "DEPLOY_CONTRACT")
+        .select("receipt_id", argument(CODE_HASH).alias("code"))
         .groupBy("receipt_id")
-        .agg(*per_receipt)
+        .agg(F.min("code").alias("contract_code_sha256"))
     )
     receipts = inputs.between("receipts", period.from_ns, period.to_ns).select(
         "receipt_id", "receiver_account_id", "included_in_block_timestamp"
@@ -75,7 +76,7 @@ def _deploying_receipts(inputs: Inputs, period: Period, *per_receipt: Column) ->
 def new_contracts_count(inputs: Inputs, period: Period) -> DataFrame:
     """Distinct accounts deployed to; an account deployed to again counts again."""
     counts = (
-        _deploying_receipts(inputs, period, F.count(F.lit(1)).alias("deployments"))
+        _deploying_receipts(inputs, period)
         .groupBy(period.of("included_in_block_timestamp"))
         .agg(F.count_distinct("receiver_account_id").cast("int").alias("new_contracts_count"))
     )
@@ -84,8 +85,7 @@ def new_contracts_count(inputs: Inputs, period: Period) -> DataFrame:
 
 def deployed_contracts(inputs: Inputs, period: Period) -> DataFrame:
     """Deployments, one per receipt: of several in one receipt the lowest code hash."""
-    code = F.min(argument(CODE_HASH)).alias("contract_code_sha256")
-    return _deploying_receipts(inputs, period, code).select(
+    return _deploying_receipts(inputs, period).select(
         "contract_code_sha256",
         F.col("receiver_account_id").alias("deployed_to_account_id"),
         F.col("receipt_id").alias("deployed_by_receipt_id"),
