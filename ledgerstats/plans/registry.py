@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
-from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame
 
@@ -94,8 +93,8 @@ STATISTICS: dict[str, Statistic] = {
 }
 
 
-def in_order(names: Iterable[str]) -> list[Statistic]:
-    """The named statistics and all they depend on, dependencies first, once each."""
+def prerequisites(names: Iterable[str]) -> dict[str, set[str]]:
+    """The named statistics and all they depend on, each with those to compute before it."""
     graph: dict[str, set[str]] = {}
     waiting = list(names)
     while waiting:
@@ -106,7 +105,7 @@ def in_order(names: Iterable[str]) -> list[Statistic]:
     for name, before in graph.items():
         if STATISTICS[name].rollup_of in graph:
             before.add(STATISTICS[name].rollup_of)
-    return [STATISTICS[name] for name in TopologicalSorter(graph).static_order()]
+    return graph
 
 
 def compute(source: LedgerSource, name: str, timestamp: int | None = None) -> DataFrame:

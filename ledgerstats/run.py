@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import time
 from collections.abc import Iterable
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
+from graphlib import TopologicalSorter
 
 from ledgerstats.functions.calendar import DAY_SECONDS
 from ledgerstats.plans.inputs import Inputs
-from ledgerstats.plans.registry import STATISTICS, in_order, period_for
+from ledgerstats.plans.registry import STATISTICS, period_for, prerequisites
 from ledgerstats.session import configure
 from ledgerstats.sources.base import LedgerSource
 from ledgerstats.store import Store
 
 
 class StatisticsFailed(RuntimeError):
-    def __init__(self, errors: dict[str, Exception]):
+    def __init__(self, errors: dict[str, BaseException]):
         super().__init__("could not be computed: " + ", ".join(sorted(errors)))
         self.errors = errors
 
@@ -29,6 +31,7 @@ def run(
     statistics: Iterable[str] | None = None,
     timestamp: int | None = None,
     rebuild: bool = False,
+    at_once: int = 4,
 ) -> list[str]:
     """Compute and store statistics and what they depend on; all of them by default.
 
@@ -36,8 +39,10 @@ def run(
     yesterday's. A period that is not complete yet stores nothing, and stored rows never
     change. `rebuild` replaces each table by all complete periods, in one job per table.
 
-    A statistic that fails does not stop the others. Returns the names computed, in
-    order; raises `StatisticsFailed` at the end if any failed.
+    Up to `at_once` statistics that do not depend on each other are submitted side by
+    side, so that the last tasks of one do not leave the cluster idle. A statistic that
+    fails does not stop the others. Returns the names computed, in the order they were;
+    raises `StatisticsFailed` at the end if any failed.
     """
     if rebuild and timestamp is not None:
         raise ValueError("a rebuild covers all periods: it takes no timestamp")
@@ -52,23 +57,35 @@ def run(
     extent = source.extent()
     inputs = Inputs(source, store.read, one_period=not rebuild)
     done: list[str] = []
-    errors: dict[str, Exception] = {}
-    for statistic in in_order(names):
-        try:
-            failed = [name for name in statistic.depends_on if name in errors]
-            if failed:
-                raise DependencyFailed(", ".join(failed))
-            period = period_for(extent, statistic.unit, timestamp)
-            if rebuild and statistic.rollup_of in done:
-                stored = store.read(statistic.rollup_of)
-                store.replace(statistic.name, statistic.rollup(stored, period))
-            elif rebuild or period is None:
-                store.replace(statistic.name, statistic.plan(inputs, period))
-            elif not period.is_empty:
-                store.insert(statistic.name, statistic.plan(inputs, period), period)
-            done.append(statistic.name)
-        except Exception as error:
-            errors[statistic.name] = error
+    errors: dict[str, BaseException] = {}
+
+    def compute_and_store(name: str) -> None:
+        statistic = STATISTICS[name]
+        failed = [other for other in statistic.depends_on if other in errors]
+        if failed:
+            raise DependencyFailed(", ".join(failed))
+        period = period_for(extent, statistic.unit, timestamp)
+        if rebuild and statistic.rollup_of in done:
+            store.replace(name, statistic.rollup(store.read(statistic.rollup_of), period))
+        elif rebuild or period is None:
+            store.replace(name, statistic.plan(inputs, period))
+        elif not period.is_empty:
+            store.insert(name, statistic.plan(inputs, period), period)
+
+    waiting = TopologicalSorter(prerequisites(names))
+    waiting.prepare()
+    running: dict[Future, str] = {}
+    with ThreadPoolExecutor(at_once) as pool:
+        while waiting.is_active():
+            for name in waiting.get_ready():
+                running[pool.submit(compute_and_store, name)] = name
+            for future in wait(running, return_when=FIRST_COMPLETED).done:
+                name, error = running.pop(future), future.exception()
+                if error is None:
+                    done.append(name)
+                else:
+                    errors[name] = error
+                waiting.done(name)
     if errors:
         raise StatisticsFailed(errors)
     return done

@@ -46,6 +46,9 @@ def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSessi
             spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", wanted)
         if input_bytes >= LARGE_INPUT_BYTES:
             spark.conf.set("spark.sql.files.maxPartitionBytes", 512 * 1024**2)
+            spark.conf.set(
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes", TARGET_PARTITION_BYTES
+            )
     return spark
 
 

@@ -1,11 +1,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ledgerstats.schemas import SOURCE_TABLES
 from ledgerstats.sources.base import LedgerSource
-from ledgerstats.sources.entities import read_entities
 
 
 class CatalogSource(LedgerSource):
@@ -14,16 +11,15 @@ class CatalogSource(LedgerSource):
     Tables bucketed on their receipt id with one bucket count join without moving rows.
     """
 
-    def __init__(self, spark: SparkSession, database: str, entities_path: str):
-        super().__init__(spark)
+    def __init__(
+        self,
+        spark: SparkSession,
+        database: str,
+        entities_path: str | None = None,
+        day_column: str | None = None,
+    ):
+        super().__init__(spark, entities_path, day_column)
         self.database = database
-        self.entities_path = entities_path
 
-    def table(self, name: str) -> DataFrame:
-        stored = self.spark.table(f"{self.database}.{name}")
-        return stored.select(
-            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in SOURCE_TABLES[name].fields]
-        )
-
-    def entities(self) -> DataFrame:
-        return read_entities(self.spark, self.entities_path)
+    def stored(self, name: str) -> DataFrame:
+        return self.spark.table(f"{self.database}.{name}")

@@ -117,7 +117,7 @@ class EventLedger(LedgerSource):
     def size_in_bytes(self) -> int:
         return files.size_in_bytes(self.spark, f"{self.directory}/events.parquet")
 
-    def table(self, name: str) -> DataFrame:
+    def stored(self, name: str) -> DataFrame:
         return self._mapped(name, self._events())
 
     def between(self, name: str, from_ns: int, to_ns: int) -> DataFrame:

@@ -1,12 +1,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerstats.operators.periods import between
-from ledgerstats.schemas import SOURCE_TABLES, TIME_COLUMN
-from ledgerstats.sources.base import LedgerSource
-from ledgerstats.sources.entities import read_entities
+from ledgerstats.schemas import TIME_COLUMN
+from ledgerstats.sources.base import LedgerSource, declared
 
 
 class JdbcSource(LedgerSource):
@@ -20,36 +18,20 @@ class JdbcSource(LedgerSource):
         self,
         spark: SparkSession,
         options: dict[str, str],
-        entities_path: str,
+        entities_path: str | None = None,
         readers: int = 16,
     ):
-        super().__init__(spark)
+        super().__init__(spark, entities_path)
         self.options = options
-        self.entities_path = entities_path
         self.readers = readers
 
-    def _load(self, name: str, **more: str) -> DataFrame:
-        loaded = (
-            self.spark.read.format("jdbc")
-            .options(**self.options)
-            .options(**more)
-            .option("dbtable", name)
-            .load()
-        )
-        return loaded.select(
-            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in SOURCE_TABLES[name].fields]
-        )
-
-    def table(self, name: str) -> DataFrame:
-        return self._load(name)
+    def stored(self, name: str, **more: str) -> DataFrame:
+        reader = self.spark.read.format("jdbc").options(**self.options).options(**more)
+        return reader.option("dbtable", name).load()
 
     def between(self, name: str, from_ns: int, to_ns: int) -> DataFrame:
-        return between(
-            self._load(name, **self.split_options(name, from_ns, to_ns)),
-            TIME_COLUMN[name],
-            from_ns,
-            to_ns,
-        )
+        rows = self.stored(name, **self.split_options(name, from_ns, to_ns))
+        return declared(name, between(rows, TIME_COLUMN[name], from_ns, to_ns))
 
     def split_options(self, name: str, from_ns: int, to_ns: int) -> dict[str, str]:
         if to_ns - from_ns < self.readers:
@@ -60,6 +42,3 @@ class JdbcSource(LedgerSource):
             "upperBound": str(to_ns),
             "numPartitions": str(self.readers),
         }
-
-    def entities(self) -> DataFrame:
-        return read_entities(self.spark, self.entities_path)

@@ -1,23 +1,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerstats import files
-from ledgerstats.functions.calendar import DAY_NS
 from ledgerstats.schemas import SOURCE_TABLES, TIME_COLUMN
 from ledgerstats.sources.base import LedgerSource
-from ledgerstats.sources.entities import read_entities
 
 
 class ParquetSource(LedgerSource):
-    """Tables landed as `<root>/<table>`, read with their declared schema.
-
-    With `day_column`, every table that has a time column is partitioned by that date
-    column, which holds the UTC day of its time column; a period then opens only its
-    own directories.
-    """
+    """Tables landed as `<root>/<table>`, read with their declared schema."""
 
     def __init__(
         self,
@@ -26,35 +18,14 @@ class ParquetSource(LedgerSource):
         entities_path: str | None = None,
         day_column: str | None = None,
     ):
-        super().__init__(spark)
         self.root = root.rstrip("/")
-        self.entities_path = entities_path or f"{self.root}/entities.json"
-        self.day_column = day_column
+        super().__init__(spark, entities_path or f"{self.root}/entities.json", day_column)
 
-    def _read(self, name: str) -> DataFrame:
+    def stored(self, name: str) -> DataFrame:
         schema = SOURCE_TABLES[name]
         if self.day_column and name in TIME_COLUMN:
             schema = T.StructType(schema.fields + [T.StructField(self.day_column, T.DateType())])
         return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
 
-    def table(self, name: str) -> DataFrame:
-        return self._read(name).select(*SOURCE_TABLES[name].fieldNames())
-
-    def between(self, name: str, from_ns: int, to_ns: int) -> DataFrame:
-        if not self.day_column:
-            return super().between(name, from_ns, to_ns)
-        time, day = F.col(TIME_COLUMN[name]), F.col(self.day_column)
-        first, last = (
-            F.date_from_unix_date(F.lit(ns // DAY_NS)) for ns in (from_ns, to_ns - 1)
-        )
-        return (
-            self._read(name)
-            .filter(day.between(first, last) & (time >= F.lit(from_ns)) & (time < F.lit(to_ns)))
-            .select(*SOURCE_TABLES[name].fieldNames())
-        )
-
-    def entities(self) -> DataFrame:
-        return read_entities(self.spark, self.entities_path)
-
     def size_in_bytes(self) -> int:
         return sum(files.size_in_bytes(self.spark, f"{self.root}/{t}") for t in SOURCE_TABLES)

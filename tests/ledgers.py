@@ -33,7 +33,7 @@ class LiteralLedger(LedgerSource):
         }
         self.records = list(entities)
 
-    def table(self, name: str) -> DataFrame:
+    def stored(self, name: str) -> DataFrame:
         return self.spark.createDataFrame(self.rows.get(name, []), SOURCE_TABLES[name])
 
     def entities(self) -> DataFrame:

@@ -198,12 +198,9 @@ N = 120_000
 class HotLedger(LiteralLedger):
     """Tables given as DataFrames of many rows."""
 
-    def table(self, name):
-        return self.rows[name] if name in self.frames else super().table(name)
-
-    def __init__(self, spark, entities=(), **frames):
-        super().__init__(spark, entities=entities, **frames)
-        self.frames = frames
+    def stored(self, name):
+        rows = self.rows.get(name, [])
+        return super().stored(name) if isinstance(rows, list) else rows
 
 
 def ids(spark, n=N):
@@ -384,8 +381,14 @@ def test_shuffles_are_sized_for_the_input(spark):
     assert shuffle_partitions(1024**4) == 4_096
     assert all(spark.conf.get(key) == value for key, value in SETTINGS.items())
     initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    with settings(spark, **{"spark.sql.files.maxPartitionBytes": "134217728", initial: "4"}):
+    splits = "spark.sql.files.maxPartitionBytes"
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    with settings(spark, **{initial: "4", splits: "134217728", advisory: "64MB"}):
+        configure(spark, 1)
+        assert [spark.conf.get(k) for k in (initial, splits, advisory)] == [
+            "4", "134217728", "64MB",
+        ]
         configure(spark, 10 * 1024**4)
         assert spark.conf.get(initial) == "32768"
-        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(512 * 1024**2)
-        configure(spark, 1)
+        assert spark.conf.get(splits) == str(512 * 1024**2)
+        assert spark.conf.get(advisory) == str(256 * 1024**2)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerstats.operators.firstwrite import insert_only
 from ledgerstats.operators.periods import Period
 from ledgerstats.plans import registry
-from ledgerstats.plans.registry import STATISTICS, compute, in_order
+from ledgerstats.plans.registry import STATISTICS, compute, prerequisites
 from ledgerstats.run import DependencyFailed, StatisticsFailed, run
 from ledgerstats.schemas import DERIVED_TABLES, SOURCE_TABLES
 from ledgerstats.sources import EventLedger, ParquetSource
@@ -116,18 +116,17 @@ def test_drop(spark, tmp_path):
 
 
 def test_dependencies_come_first_and_once():
-    names = [s.name for s in in_order(["daily_new_accounts_per_ecosystem_entity_count"] * 2)]
-    assert names == [
-        "near_ecosystem_entities",
-        "daily_accounts_added_per_ecosystem_entity",
-        "daily_new_accounts_per_ecosystem_entity_count",
-    ]
-    everything = [s.name for s in in_order(STATISTICS)]
-    assert sorted(everything) == sorted(STATISTICS)
-    for statistic in STATISTICS.values():
-        for before in (*statistic.depends_on, statistic.rollup_of):
-            if before:
-                assert everything.index(before) < everything.index(statistic.name)
+    added = "daily_accounts_added_per_ecosystem_entity"
+    per_entity = "daily_new_accounts_per_ecosystem_entity_count"
+    assert prerequisites([per_entity] * 2) == {
+        per_entity: {added}, added: {"near_ecosystem_entities"}, "near_ecosystem_entities": set(),
+    }
+    assert prerequisites(["weekly_active_accounts_count"]) == {
+        "weekly_active_accounts_count": set()
+    }
+    everything = prerequisites(STATISTICS)
+    assert everything.keys() == STATISTICS.keys()
+    assert everything["weekly_active_accounts_count"] == {PER_ACCOUNT}
 
 
 @pytest.fixture(scope="module")
@@ -146,7 +145,10 @@ def landed(spark, tmp_path_factory):
 @pytest.fixture(scope="module")
 def rebuilt(spark, landed, tmp_path_factory):
     store = Store(spark, str(tmp_path_factory.mktemp("rebuilt")))
-    assert sorted(run(landed, store, rebuild=True)) == sorted(STATISTICS)
+    computed = run(landed, store, rebuild=True)
+    assert sorted(computed) == sorted(STATISTICS)
+    for name, before in prerequisites(STATISTICS).items():
+        assert all(computed.index(other) < computed.index(name) for other in before)
     return store
 
 
