@@ -11,10 +11,14 @@ from ledgerstats.schemas import TIME_COLUMN
 from ledgerstats.sources.base import LedgerSource
 
 _MICRO_NS = 1_000
+_HOUR_NS = 3_600_000_000_000
 
 # The stored column has no zone; read as a timestamp it keeps its microseconds since
 # the epoch whatever the session's zone is.
-_EVENTS = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
+_EVENTS = (
+    "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, "
+    "event_type STRING, value DOUBLE, props STRING"
+)
 
 _PREPARED = [
     "event_id",
@@ -29,7 +33,7 @@ _K = "CAST(get_json_object(props, '$.k') AS BIGINT)"
 # always; a projected one once per use, and not at all where no result needs it.
 _K_PROJECTED, _K_GENERATED = f"{_K} AS k", f"explode(array({_K})) AS k"
 _GAS = "cents * 50000000000"
-_HOUR = "CAST(ts_ns div 3600000000000 AS STRING)"
+_HOUR = f"CAST(ts_ns div {_HOUR_NS} AS STRING)"
 
 # One action per event, and a second one for every ninth event.
 _COPIES = "explode(CASE WHEN event_id % 9 = 0 THEN array(1, 2) ELSE array(1) END) AS copy"
@@ -123,9 +127,11 @@ class EventLedger(LedgerSource):
     def between(self, name: str, from_ns: int, to_ns: int) -> DataFrame:
         events = self._events()
         if name in self._EVENT_TIMED:
-            first, stop = from_ns // _MICRO_NS, -(-to_ns // _MICRO_NS)
+            step = _HOUR_NS if name == "blocks" else _MICRO_NS  # a block is an hour of events
+            first, stop = from_ns // step * step, -(-to_ns // step) * step
             events = events.where(
-                f"ts >= timestamp_micros({first}) AND ts < timestamp_micros({stop})"
+                f"ts >= timestamp_micros({first // _MICRO_NS}) "
+                f"AND ts < timestamp_micros({stop // _MICRO_NS})"
             )
         k = _K_GENERATED if name == "execution_outcomes" else _K_PROJECTED
         return between(self._mapped(name, events, k), TIME_COLUMN[name], from_ns, to_ns)

@@ -148,7 +148,11 @@ def _per_period(value: str, type_: str, values: str, spine: str = "days") -> str
 
 
 def _per_key(columns: str, values: str) -> str:
-    return f"{LEDGER}, found AS ({values})\nSELECT {DAY} AS collected_for_day, {columns}\nFROM found JOIN days USING (d)"
+    return (
+        f"{LEDGER}, found AS ({values})\n"
+        f"SELECT {DAY} AS collected_for_day, {columns}\n"
+        "FROM found JOIN days USING (d)"
+    )
 
 
 def _day(column: str) -> str:
