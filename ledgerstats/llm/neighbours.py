@@ -7,8 +7,9 @@ visits its own bucket and those beside it in the order of the estimated chance t
 lies there, which follows from how near the query's projection is to each cell's edges, until
 these chances reach a given sum. The candidates of all tables are ranked by exact products.
 
-Buckets are dealt out to slabs by hash; a bucket of more rows than a slab holds is spread over
-several. A task takes one slab's vectors and the queries that visit its buckets.
+Buckets are dealt out to slabs by hash, and a slab of too many rows, as a large bucket makes
+one, is cut into parts by a hash of the id. A task takes the vectors of one part and the queries
+that visit buckets of its slab.
 """
 
 from __future__ import annotations
@@ -31,12 +32,13 @@ CELL = 2.0
 #: Distance of a neighbour that the chances are estimated for.
 NEAR = 1.15
 #: Sum of the chances at which a query stops visiting buckets of a table.
-MASS = 0.75
-#: Vectors of a slab, about.
-SLAB_ROWS = 8192
-#: Projections of a table: half the binary logarithm of the rows, within these.
+MASS = 0.68
+#: Vectors of a slab, about; one of more than twice as many is cut.
+SLAB_ROWS = 1 << 16
+#: Projections of a table: the binary logarithm of the rows by 2.5, within these.
 LEAST_CELLS, MOST_CELLS = 4, 9
-QUERY_BLOCK = 256
+#: Products of so many queries with a slab are held at a time.
+QUERY_BLOCK = 64
 
 
 class Tables:
@@ -169,56 +171,52 @@ def nearest(
         return spark.createDataFrame([], RANKED)
     if known["least"] != known["most"]:
         raise ValueError(f"vectors of {known['least']} and of {known['most']} components")
-    cells = min(MOST_CELLS, max(LEAST_CELLS, round(math.log2(known["n"]) / 2)))
+    cells = min(MOST_CELLS, max(LEAST_CELLS, round(math.log2(known["n"]) / 2.5)))
     tables = Tables(known["most"], cells, known["norm"])
     slabs = max(1, math.ceil(known["n"] / slab_rows))
 
+    def slab_of(buckets: np.ndarray) -> np.ndarray:
+        return (buckets.view(np.uint64) >> np.uint64(24)) % np.uint64(slabs)
+
     def index(frames):
         for frame in frames:
             if len(frame):
                 found = tables.buckets(_matrix(frame["embedding"]))
-                yield pd.DataFrame({"vec_id": frame["vec_id"], "buckets": found.tolist()})
+                for t in range(TABLES):
+                    bucket = np.ascontiguousarray(found[:, t])
+                    slab = slab_of(bucket).astype(np.int64)
+                    yield frame.assign(table=t, bucket=bucket, slab=slab)
 
     def visits(frames):
         for frame in frames:
-            rows = [tables.probes(v, mass) for v in _matrix(frame["embedding"])]
+            rows = []
+            for i, vector in enumerate(_matrix(frame["embedding"])):
+                for t, codes in enumerate(tables.probes(vector, mass)):
+                    slab = slab_of(codes)
+                    rows += [(i, t, int(x), codes[slab == x]) for x in np.unique(slab)]
             if rows:
-                found = [[x.tolist() for x in row] for row in rows]
-                yield pd.DataFrame({"query_id": frame["vec_id"], "visits": found})
-
-    placed = written(
-        vectors.mapInPandas(index, "vec_id long, buckets array<long>").select(
-            "vec_id", F.posexplode("buckets").alias("table", "bucket")
-        ),
-        "buckets",
-    )
-    visited = queries.mapInPandas(visits, "query_id long, visits array<array<long>>").select(
-        "query_id", F.posexplode("visits").alias("table", "codes")
+                place, table, slab, codes = zip(*rows)
+                found = frame.iloc[list(place)]
+                yield found.assign(table=table, slab=slab, codes=codes)
+
+    key = "table int, slab long"
+    held = vectors.mapInPandas(
+        index, f"vec_id long, embedding array<double>, {key}, bucket long"
     )
-    visited = visited.select("query_id", "table", F.explode("codes").alias("bucket"))
-    # Buckets that no slab could hold, and over how many parts each is spread.
-    large = (
-        placed.groupBy("table", "bucket")
-        .count()
-        .filter(F.col("count") > slab_rows)
-        .select("table", "bucket", F.ceil(F.col("count") / slab_rows).cast("int").alias("parts"))
+    asked = queries.mapInPandas(
+        visits, f"vec_id long, embedding array<double>, {key}, codes array<long>"
+    ).withColumnRenamed("vec_id", "query_id")
+    # How many parts a slab is cut into; one row a slab, of which there are few.
+    cuts = held.groupBy("table", "slab").agg(
+        F.ceil(F.count("*") / F.lit(2 * slab_rows)).cast("int").alias("parts")
     )
+    cuts = written(cuts.filter("parts > 1"), "cuts")
     parts = F.coalesce("parts", F.lit(1))
-
-    def slab(part):
-        return F.pmod(F.xxhash64("bucket", part), F.lit(slabs)).cast("int")
-
-    homes = placed.join(large, ["table", "bucket"], "left").withColumn(
-        "slab", slab(F.pmod(F.xxhash64("vec_id"), parts).cast("int"))
+    held = held.join(cuts, ["table", "slab"], "left").withColumn(
+        "part", F.pmod(F.xxhash64("vec_id"), parts).cast("int")
     )
-    held = homes.select("vec_id", "table", "bucket", "slab").join(vectors, "vec_id")
-    asked = (
-        visited.join(large, ["table", "bucket"], "left")
-        .withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .withColumn("slab", slab(F.col("part")))
-        .groupBy("query_id", "table", "slab")
-        .agg(F.collect_set("bucket").alias("codes"))
-        .join(queries.withColumnRenamed("vec_id", "query_id"), "query_id")
+    asked = asked.join(cuts, ["table", "slab"], "left").withColumn(
+        "part", F.explode(F.sequence(F.lit(0), parts - 1))
     )
 
     def search(key, own: pd.DataFrame, questions: pd.DataFrame) -> pd.DataFrame:
@@ -243,8 +241,8 @@ def nearest(
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), rows)))
 
     found = (
-        held.groupBy("table", "slab")
-        .cogroup(asked.groupBy("table", "slab"))
+        held.groupBy("table", "slab", "part")
+        .cogroup(asked.groupBy("table", "slab", "part"))
         .applyInPandas(search, FOUND)
     )
     # A vector found in several tables counts once; each slab gave k rows a query at most.
