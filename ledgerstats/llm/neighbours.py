@@ -214,10 +214,10 @@ def nearest(
     parts = F.coalesce("parts", F.lit(1))
     held = held.join(cuts, ["table", "slab"], "left").withColumn(
         "part", F.pmod(F.xxhash64("vec_id"), parts).cast("int")
-    )
+    ).drop("parts")
     asked = asked.join(cuts, ["table", "slab"], "left").withColumn(
         "part", F.explode(F.sequence(F.lit(0), parts - 1))
-    )
+    ).drop("parts")
 
     def search(key, own: pd.DataFrame, questions: pd.DataFrame) -> pd.DataFrame:
         if not len(own) or not len(questions):
