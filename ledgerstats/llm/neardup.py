@@ -3,11 +3,11 @@
 A document's sketch takes one hash of its shingles: its range is cut into bins, and each keeps
 the smallest value in it. An empty bin borrows from the first filled one in an order of bins of
 its own, drawn once for all documents, so that filled and borrowed bins agree as often as sets
-overlap. Bands of bins make buckets. A bucket's candidates are the edges of a star from one
-member, its centre, to those of other components. What the star leaves apart is tried again
-from further centres, until each bucket is one component or every pair of its members from
-different components has been compared. So a bucket of copies costs one edge a member, and no
-link between documents that share a bucket is lost.
+overlap. Bands of bins make buckets. A bucket's candidates are the edges of a star from its
+centre, the member that shares most buckets with others, so a bucket of copies costs one edge a
+member. Where confirmed edges do not make a bucket one component, the members that they leave
+apart are compared in blocks, each in a task that gives only what links components. So no link
+between documents that share a bucket is lost, and pairs are never rows.
 """
 
 from __future__ import annotations
@@ -15,11 +15,12 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerstats.llm.common import by_batch, written
+from ledgerstats.llm.common import by_batch, ship, written
 from ledgerstats.llm.components import components
 from ledgerstats.llm.shingles import combined, shingle_set
 
@@ -29,8 +30,10 @@ PERCENT = 85
 #: At similarity 0.85 the bins of at least one of the bands agree but for 3 in 10 million.
 BANDS, ROWS = 32, 6
 BINS = BANDS * ROWS
-#: A round of stars has so many times the centres of the round before.
-MORE_CENTRES = 4
+#: Shingles of the members of a block, about, where a bucket is compared in blocks.
+BLOCK_SHINGLES = 1 << 19
+#: Shingles whose counts in two members are multiplied at a time.
+COLUMNS = 1 << 12
 
 _EDGES = np.array([(i << 64) // BINS for i in range(BINS)], dtype=np.uint64)
 _ORDERS = np.stack([np.random.default_rng(i).permutation(BINS) for i in range(BINS)])
@@ -115,64 +118,123 @@ def confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.filter(100 * both >= percent * (small + large - both)).select("u", "v").distinct()
 
 
+def common(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements each two of the sets have in common."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, element, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times > 1
+    column = (np.cumsum(shared) - 1)[element]
+    owner, column = owner[shared[element]], column[shared[element]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    total = np.diag([len(x) for x in sets]).astype(np.float64)
+    np.fill_diagonal(total, 0)
+    for at in range(0, int(shared.sum()), COLUMNS):
+        first, last = np.searchsorted(column, [at, at + COLUMNS])
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[owner[first:last], column[first:last] - at] = 1
+        total += held @ held.T
+    return total
+
+
+def linking(ids: np.ndarray, names: np.ndarray, sets: list[np.ndarray], percent: int):
+    """Pairs of ids, fewer than there are members, that tie together all members which links
+    between different components tie together."""
+    both, sizes = common(sets), np.array([len(x) for x in sets])
+    similar = 100 * both >= percent * (sizes[:, None] + sizes[None] - both)
+    similar &= names[:, None] != names[None]
+    label = np.arange(len(ids))
+    while True:
+        least = np.where(similar, label[None], len(ids)).min(axis=1)
+        after = np.minimum(label, least)
+        if (after == label).all():
+            break
+        label = after
+    moved = np.flatnonzero(label != np.arange(len(ids)))
+    return ids[label[moved]], ids[moved]
+
+
+PAIRS = T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType())])
+
+
+def compared_in_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """What links different components of (bucket, doc_id, component) within a bucket.
+
+    A bucket whose sets are too much for one task is dealt out to blocks, and each two blocks
+    meet in a task.
+    """
+    sized = members.join(sets, "doc_id").withColumn("size", F.size("shingles").cast("long"))
+    blocks = (
+        members.join(sets.select("doc_id", F.size("shingles").alias("size")), "doc_id")
+        .groupBy("bucket")
+        .agg(F.ceil(F.sum("size") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    )
+    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    dealt = (
+        sized.join(blocks, "bucket")
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("low", F.least("own", "other"))
+        .withColumn("high", F.greatest("own", "other"))
+    )
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("doc_id")
+        found = linking(
+            rows["doc_id"].to_numpy(),
+            rows["component"].to_numpy(),
+            list(rows["shingles"]),
+            percent,
+        )
+        return pd.DataFrame({"u": found[0], "v": found[1]})
+
+    ship(members.sparkSession)
+    return dealt.groupBy("bucket", "low", "high").applyInPandas(compare, PAIRS).distinct()
+
+
 def near_links(docs: DataFrame, classes: DataFrame, text: str, width: int, percent: int):
     """(node, component) over the documents of `classes` that are linked with others."""
     keys = classes.select("doc_id", F.explode("bands").alias("bucket"))
     shared = (
         keys.groupBy("bucket")
-        .agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+        .agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n"))
+        .filter("a < b")
+        .select("bucket", "n")
+    )
+    members = written(keys.join(shared, "bucket").distinct(), "members")
+    # The member with most others in its buckets: of copies with edits, likely the original.
+    company = members.groupBy("doc_id").agg(F.sum("n").alias("company"))
+    sets = written(
+        shingle_sets(docs.join(company, "doc_id", "left_semi"), text, width).distinct(), "sets"
+    )
+    centre = F.max(F.struct("company", (-F.col("doc_id")).alias("minus")))
+    stars = (
+        members.join(company, "doc_id")
+        .groupBy("bucket")
+        .agg(centre.alias("c"))
+        .select("bucket", (-F.col("c.minus")).alias("centre"))
+    )
+    edges = written(
+        members.join(stars, "bucket")
+        .filter("doc_id <> centre")
+        .select(F.least("doc_id", "centre").alias("u"), F.greatest("doc_id", "centre").alias("v"))
+        .distinct(),
+        "edges",
+    )
+    links = written(confirmed(edges, sets, percent), "links")
+    found = written(components(links), "components")
+    current = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+        "bucket", "doc_id", F.coalesce("component", "doc_id").alias("component")
+    )
+    apart = (
+        current.groupBy("bucket")
+        .agg(F.min("component").alias("a"), F.max("component").alias("b"))
         .filter("a < b")
         .select("bucket")
     )
-    members = written(keys.join(shared, "bucket", "left_semi").distinct(), "members")
-    ids = members.select("doc_id").distinct()
-    sets = written(shingle_sets(docs.join(ids, "doc_id", "left_semi"), text, width), "sets")
-    links, found, tested, centres = None, None, None, 1
-    while True:
-        current = members.withColumn("component", F.col("doc_id"))
-        if found is not None:
-            named = found.withColumnRenamed("node", "doc_id")
-            current = members.join(named, "doc_id", "left").withColumn(
-                "component", F.coalesce("component", "doc_id")
-            )
-        apart = (
-            current.groupBy("bucket")
-            .agg(F.min("component").alias("a"), F.max("component").alias("b"))
-            .filter("a < b")
-            .select("bucket")
-        )
-        current = written(current.join(apart, "bucket", "left_semi"), "members")
-        if current.isEmpty():
-            return found
-        # One centre for each share of a bucket, drawn by hash.
-        drawn = F.xxhash64("doc_id", "bucket")
-        stars = written(
-            current.groupBy("bucket", F.pmod(drawn, F.lit(centres)).alias("share"))
-            .agg(F.min(F.struct(drawn, "doc_id", "component")).alias("c"))
-            .select(
-                "bucket",
-                F.col("c.doc_id").alias("centre"),
-                F.col("c.component").alias("of"),
-            ),
-            "stars",
-        )
-        edges = (
-            current.join(stars, "bucket")
-            .filter("component <> of")
-            .select(F.least("doc_id", "centre").alias("u"), F.greatest("doc_id", "centre").alias("v"))
-            .distinct()
-        )
-        if tested is not None:
-            edges = edges.join(tested, ["u", "v"], "left_anti")
-        edges = written(edges, "edges")
-        tested = edges if tested is None else tested.unionByName(edges)
-        new = written(confirmed(edges, sets, percent), "links")
-        if not new.isEmpty():
-            links = new if links is None else links.unionByName(new)
-            found = written(components(links), "components")
-        done = stars.select("bucket", F.col("centre").alias("doc_id"))
-        members = current.select("bucket", "doc_id").join(done, ["bucket", "doc_id"], "left_anti")
-        centres *= MORE_CENTRES
+    rest = written(current.join(apart, "bucket", "left_semi"), "apart")
+    more = written(compared_in_blocks(rest, sets, percent), "links")
+    return found if more.isEmpty() else written(components(links.unionByName(more)), "components")
 
 
 def near_duplicates(
@@ -196,11 +258,8 @@ def near_duplicates(
     )
     found = near_links(docs, classes, text, width, percent)
     named = classes.select("digest", F.col("doc_id").alias("node"))
-    if found is not None:
-        named = named.join(found, "node", "left")
-        named = named.select("digest", F.coalesce("component", "node").alias("component"))
-    else:
-        named = named.withColumnRenamed("node", "component")
+    named = named.join(found, "node", "left")
+    named = named.select("digest", F.coalesce("component", "node").alias("component"))
     rows = drawn.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
     known = F.col("doc_id").isNotNull()
     component = F.when(known, F.coalesce("component", "doc_id"))
