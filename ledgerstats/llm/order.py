@@ -1,10 +1,11 @@
 """Sequences of token ids in training order: fixed-stride shards by a keyed permutation.
 
-Texts are tokenized once, into sequences of at most `LENGTH` ids, and these are written to a
-table. A sequence's number is its place there. A Feistel network over pairs of numbers, keyed
-by a seed, permutes a domain a little larger than the number of sequences; a value outside is
-permuted again until it falls inside. The result is the sequence's slot, so that the order is
-as good as shuffled, needs no sort by random keys and can be computed for any slot alone.
+A sequence is known by its document's id and its number there; the two make one index. A
+Feistel network over pairs of numbers, keyed by a seed, permutes the domain of these indices,
+and a value that falls outside is permuted again until it falls inside. The domain has many
+more indices than there are sequences, which need not be counted before they are made: shards
+are equal ranges of the permuted domain, and a sequence's global slot is its rank there. So
+texts are tokenized and shuffled once, and the order depends on ids and key alone.
 
 Each shard has the records of a range of slots, all of one stride: record s of a shard begins
 at byte s * stride. A reader that stopped at a slot goes on there with one seek.
@@ -34,12 +35,14 @@ LENGTH = 256
 END = 0
 ID, ID_BYTES = "<u2", 2
 STRIDE = ID_BYTES * (LENGTH + 1)
-SHARD_ROWS = 1 << 15
+#: Bytes of text for a shard, which give 20 to 30 MB of records.
+SHARD_BYTES = 32 * 1024**2
 ROUNDS = 6
-#: A value is permuted again at most so often. The values outside are fewer than the domain's
-#: smaller side, so for small domains this always suffices; for others, with a chance of
-#: failure, which raises an error, of the inverse of that side to this power.
+#: A value is permuted again at most so often. Fewer values lie outside than one side of the
+#: domain has, so for small domains this always suffices; for others the chance that it does
+#: not, which raises an error, is the inverse of the other side to this power.
 WALKS = 48
+LARGEST_DOMAIN = 1 << 61
 
 SEQUENCES = T.StructType(
     [
@@ -72,40 +75,37 @@ def sequences(docs: DataFrame, files: tuple[str, str, str], length: int = LENGTH
 
 
 def sides(n: int) -> tuple[int, int]:
-    """Two numbers whose product is at least n, by less than the smaller one's size."""
-    a = max(1, math.isqrt(n))
-    return a, -(-n // a)
+    """A number of bits and a number whose product, as sizes, is n or a little more."""
+    bits = (n - 1).bit_length() // 2
+    return bits, -(-n >> bits)
 
 
-def slot_of(number: Column, n: int, key: int) -> Column:
-    """The slot of a sequence's number, both from 0 to n - 1."""
-    a, b = sides(n)
-    zero = F.lit(0).cast("long")
+def permuted(index: Column, n: int, key: int) -> Column:
+    """The place of an index, both from 0 to n - 1."""
+    bits, b = sides(n)
+    a = 1 << bits
 
     def once(x: Column) -> Column:
         def step(state: Column, i: Column) -> Column:
             left, right = state["l"], state["r"]
-            turned_l = F.pmod(left + F.pmod(F.xxhash64(right, F.lit(key), i), F.lit(a)), F.lit(a))
-            turned_r = F.pmod(right + F.pmod(F.xxhash64(left, F.lit(key), i), F.lit(b)), F.lit(b))
+            moved_l = F.pmod(left + F.pmod(F.xxhash64(right, F.lit(key), i), F.lit(a)), F.lit(a))
+            moved_r = F.pmod(right + F.pmod(F.xxhash64(left, F.lit(key), i), F.lit(b)), F.lit(b))
             odd = i % 2 == 1
             return F.struct(
-                F.when(odd, turned_l).otherwise(left).cast("long").alias("l"),
-                F.when(odd, right).otherwise(turned_r).cast("long").alias("r"),
+                F.when(odd, moved_l).otherwise(left).cast("long").alias("l"),
+                F.when(odd, right).otherwise(moved_r).cast("long").alias("r"),
             )
 
-        start = F.struct(
-            (x % a).cast("long").alias("l"), F.floor(x / F.lit(a)).cast("long").alias("r")
-        )
+        low, high = x.bitwiseAND(F.lit(a - 1)), F.shiftright(x, bits)
+        start = F.struct(low.cast("long").alias("l"), high.cast("long").alias("r"))
         rounds = F.sequence(F.lit(1), F.lit(ROUNDS))
-        return F.aggregate(rounds, start, step, lambda s: s["r"] * a + s["l"])
-
-    walks = F.sequence(F.lit(1), F.lit(WALKS))
+        return F.aggregate(rounds, start, step, lambda s: F.shiftleft(s["r"], bits) + s["l"])
 
     def walk(x: Column, i: Column) -> Column:
         return F.when((i > 1) & (x < n), x).otherwise(once(x))
 
-    found = F.aggregate(walks, (number + zero), walk)
-    return F.when(found < n, found).otherwise(F.raise_error(F.lit("a walk did not end")).cast("long"))
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), index.cast("long"), walk)
+    return F.when(found < n, found).otherwise(F.raise_error(F.lit("a walk did not end")))
 
 
 SLOTS = T.StructType(
@@ -122,67 +122,88 @@ SLOTS = T.StructType(
 )
 
 
+RANKS = T.StructType(
+    [
+        T.StructField("shard", T.IntegerType()),
+        T.StructField("rank", T.LongType()),
+        T.StructField("path", T.StringType()),
+        *SLOTS.fields[4:],
+    ]
+)
+
+
 def in_training_order(
     docs: DataFrame,
     files: tuple[str, str, str],
     key: int,
     folder: str | None = None,
-    shard_rows: int = SHARD_ROWS,
+    shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """Write all sequences to shards below `folder`; one row a sequence with its slot and place.
 
-    A null or empty text is the end id alone. Rows that repeat a doc_id are written each, and a
-    null doc_id is carried through. An empty table gives no shards and no rows. Further columns
-    are ignored. A task that is tried again writes under another name; only the shards that the
-    rows name count.
+    A null or empty text is the end id alone. Rows that repeat a doc_id are written each, next
+    to one another; rows without doc_id count as one id. Ids that span too wide a range for the
+    domain are replaced by a hash of them, and the few that then meet stand next to one
+    another too. An empty table gives no shards and no rows. Further columns are ignored. A
+    task that is tried again writes under another name; only shards that the rows name count.
     """
     spark = docs.sparkSession
     ship(spark)
     folder = folder or new_folder(spark, "shards")
-    stored = written(sequences(docs, files), "sequences")
-    place = stored.select(
-        "*",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.row_index").alias("row"),
-    )
-    # One row for each file, of which each task wrote one.
-    counts = place.groupBy("file").agg(F.count("*").alias("n"))
-    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    begins = counts.select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("begin"))
-    n = stored.count()
-    if not n:
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    known = docs.agg(
+        F.count("*").alias("n"),
+        F.coalesce(F.min("doc_id"), F.lit(0)).alias("least"),
+        F.coalesce(F.max("doc_id"), F.lit(0)).alias("most"),
+        F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("bytes"),
+        F.coalesce(F.max(F.octet_length("text")), F.lit(0)).alias("longest"),
+    ).first()
+    if not known["n"]:
         return spark.createDataFrame([], SLOTS)
-    shards = -(-n // shard_rows)
-    numbered = (
-        place.join(F.broadcast(begins), "file")
-        .withColumn("slot", slot_of(F.col("begin") + F.col("row"), n, key))
-        .withColumn("shard", F.floor(F.col("slot") / shard_rows).cast("int"))
-        .select("shard", "slot", "doc_id", "sequence", "ids")
+    # An id is a byte or more, so no text has more sequences than this.
+    per_doc = -(-(known["longest"] + 1) // LENGTH)
+    span = known["most"] - known["least"] + 2
+    if span * per_doc <= LARGEST_DOMAIN:
+        place = F.coalesce(F.col("doc_id") - known["least"] + 1, F.lit(0))
+    else:
+        span = LARGEST_DOMAIN // per_doc
+        place = F.pmod(F.xxhash64("doc_id"), F.lit(span))
+    domain = span * per_doc
+    shards = max(1, -(-known["bytes"] // shard_bytes))
+    index = place.cast("long") * per_doc + F.col("sequence")
+    width = F.lit(-(-domain // shards))
+    numbered = sequences(docs, files).withColumn("place", permuted(index, domain, key))
+    ranges = (
+        numbered.select(
+            F.round((F.col("place") - F.pmod("place", width)) / width).cast("int").alias("shard"),
+            "place",
+            "doc_id",
+            "sequence",
+            "ids",
+        )
+        .repartitionById(shards, F.col("shard"))
+        .sortWithinPartitions("place", "doc_id", "sequence", "ids")
     )
-    ranges = numbered.repartitionById(shards, F.col("shard")).sortWithinPartitions("slot")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = fs.FileSystem.from_uri(folder)
-        out, path, expected = None, "", -1
-        schema = to_arrow_schema(SLOTS)
+        out, path, rank = None, "", 0
+        schema = to_arrow_schema(RANKS)
         for batch in batches:
             rows, records = [], []
-            for shard, slot, doc_id, sequence, ids in zip(
+            for shard, _, doc_id, sequence, ids in zip(
                 *(batch.column(i).to_pylist() for i in range(5))
             ):
                 if out is None:
                     system.create_dir(base, recursive=True)
                     path = f"shard-{shard:08d}-{uuid.uuid4().hex}.bin"
-                    out, expected = system.open_output_stream(f"{base}/{path}"), shard * shard_rows
-                if slot != expected:
-                    raise ValueError(f"slot {slot} follows slot {expected - 1}")
+                    out = system.open_output_stream(f"{base}/{path}")
                 count = len(ids) // ID_BYTES
                 record = np.array([count], ID).tobytes() + ids
                 records.append(record.ljust(STRIDE, b"\0"))
-                at = (slot - shard * shard_rows) * STRIDE
                 crc = zlib.crc32(np.frombuffer(ids, ID).astype("<u4").tobytes())
-                rows.append((slot, shard, f"{folder}/{path}", at, doc_id, sequence, count, crc))
-                expected += 1
+                rows.append((shard, rank, path, doc_id, sequence, count, crc))
+                rank += 1
             if rows:
                 out.write(b"".join(records))
                 columns = [pa.array(x, f.type) for x, f in zip(zip(*rows), schema)]
@@ -190,7 +211,21 @@ def in_training_order(
         if out is not None:
             out.close()
 
-    return written(ranges.mapInArrow(run, SLOTS), "slots")
+    ranked = written(ranges.mapInArrow(run, RANKS), "slots")
+    # One row a shard, and a shard is `shard_bytes` of text: small beside what it numbers.
+    counts = ranked.groupBy("shard").agg(F.count("*").alias("n"))
+    earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    begins = counts.select("shard", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("begin"))
+    return ranked.join(F.broadcast(begins), "shard").select(
+        (F.col("begin") + F.col("rank")).alias("slot"),
+        "shard",
+        F.concat(F.lit(f"{folder}/"), "path").alias("path"),
+        (F.col("rank") * STRIDE).alias("byte_offset"),
+        "doc_id",
+        "sequence",
+        "n_tokens",
+        "ids_crc32",
+    )
 
 
 RECORDS = T.StructType(
@@ -198,11 +233,12 @@ RECORDS = T.StructType(
 )
 
 
-def read_from(slots: DataFrame, first: int = 0, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """The ids of every slot from `first` on, read from the shards that `slots` names."""
+def read_from(slots: DataFrame, first: int = 0) -> DataFrame:
+    """The ids of every slot from `first` on, read from the shards that `slots` names, each
+    from one seek to its end."""
     ship(slots.sparkSession)
-    shards = slots.filter(F.col("slot") >= first).groupBy("path", "shard").agg(
-        F.min("slot").alias("slot")
+    shards = slots.filter(F.col("slot") >= first).groupBy("path").agg(
+        F.min("slot").alias("slot"), F.min("byte_offset").alias("byte_offset")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +248,7 @@ def read_from(slots: DataFrame, first: int = 0, shard_rows: int = SHARD_ROWS) ->
                 system, path = fs.FileSystem.from_uri(row["path"])
                 slot = row["slot"]
                 with system.open_input_file(path) as stream:
-                    stream.seek((slot - row["shard"] * shard_rows) * STRIDE)
+                    stream.seek(row["byte_offset"])
                     while block := stream.read(4096 * STRIDE):
                         records = np.frombuffer(block, ID).reshape(-1, LENGTH + 1)
                         ids = [r[1 : 1 + r[0]].astype(np.int32) for r in records]
@@ -221,4 +257,4 @@ def read_from(slots: DataFrame, first: int = 0, shard_rows: int = SHARD_ROWS) ->
                         yield pa.RecordBatch.from_arrays(columns, schema=schema)
                         slot += len(ids)
 
-    return shards.select("path", "shard", "slot").mapInArrow(run, RECORDS)
+    return shards.mapInArrow(run, RECORDS)
