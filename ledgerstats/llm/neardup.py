@@ -214,16 +214,19 @@ def near_links(docs: DataFrame, classes: DataFrame, text: str, width: int, perce
         .agg(centre.alias("c"))
         .select("bucket", (-F.col("c.minus")).alias("centre"))
     )
+    # The centre is compared with every other member here, so it need not be again.
+    leaves = written(
+        members.join(stars, "bucket").filter("doc_id <> centre").drop("n"), "leaves"
+    )
     edges = written(
-        members.join(stars, "bucket")
-        .filter("doc_id <> centre")
-        .select(F.least("doc_id", "centre").alias("u"), F.greatest("doc_id", "centre").alias("v"))
-        .distinct(),
+        leaves.select(
+            F.least("doc_id", "centre").alias("u"), F.greatest("doc_id", "centre").alias("v")
+        ).distinct(),
         "edges",
     )
     links = written(confirmed(edges, sets, percent), "links")
     found = written(components(links), "components")
-    current = members.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+    current = leaves.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "bucket", "doc_id", F.coalesce("component", "doc_id").alias("component")
     )
     apart = (
