@@ -204,9 +204,9 @@ def near_links(docs: DataFrame, classes: DataFrame, text: str, width: int, perce
     members = written(keys.join(shared, "bucket").distinct(), "members")
     # The member with most others in its buckets: of copies with edits, likely the original.
     company = members.groupBy("doc_id").agg(F.sum("n").alias("company"))
-    sets = written(
-        shingle_sets(docs.join(company, "doc_id", "left_semi"), text, width).distinct(), "sets"
-    )
+    # The ids grow with the corpus, so the join is one that holds at any size.
+    shared_docs = docs.join(company.hint("merge"), "doc_id", "left_semi")
+    sets = written(shingle_sets(shared_docs, text, width).distinct(), "sets")
     centre = F.max(F.struct("company", (-F.col("doc_id")).alias("minus")))
     stars = (
         members.join(company, "doc_id")
