@@ -216,7 +216,8 @@ def only_identified(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """
     model = fit_language_model(docs.select("doc_id", "text", "lang"), sample)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    place = docs.columns.index("text")
+    names = docs.columns
+    place = names.index("text")
 
     def make():
         own = shared.value
@@ -227,7 +228,7 @@ def only_identified(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
                 language, _, ambiguous = own.predict(text.as_py())
                 kept.append(language != UNKNOWN and not ambiguous)
             found = batch.filter(pa.array(kept, pa.bool_()))
-            return dict(zip(docs.columns, found.columns))
+            return dict(zip(names, found.columns))
 
         return columns
 
