@@ -60,11 +60,14 @@ class Extent:
     last_ns: int
 
 
-def ledger_extent(blocks: DataFrame) -> Extent | None:
-    row = blocks.agg(
-        F.min("block_timestamp").alias("first"), F.max("block_timestamp").alias("last")
-    ).first()
-    return None if row["first"] is None else Extent(row["first"], row["last"])
+def ledger_extent(blocks: DataFrame, computed: bool = False) -> Extent | None:
+    """From the blocks, or from the one row (first_ns, last_ns) that a source has computed."""
+    if not computed:
+        blocks = blocks.agg(
+            F.min("block_timestamp").alias("first_ns"), F.max("block_timestamp").alias("last_ns")
+        )
+    row = blocks.select(*[F.col(c).cast("long") for c in ("first_ns", "last_ns")]).first()
+    return None if row["first_ns"] is None else Extent(row["first_ns"], row["last_ns"])
 
 
 def all_periods(extent: Extent | None, unit: str) -> Period:

@@ -105,15 +105,23 @@ def new_contracts_rollup(stored: DataFrame, period: Period) -> DataFrame:
 
 
 def new_unique_contracts_count(inputs: Inputs, period: Period) -> DataFrame:
-    """Code by the day it was first deployed, over all deployments up to the period's end."""
+    """Code by the day it was first deployed, over all deployments up to the period's end.
+
+    Only the period's own codes are grouped. Earlier deployments serve to tell which of
+    them are not new, and are first reduced to the period's codes, so that what is shuffled
+    follows the period and not the history.
+    """
+    deployed, code = inputs.derived("deployed_contracts"), "contract_code_sha256"
+    time = F.col("deployed_at_block_timestamp")
     first_seen = (
-        inputs.derived("deployed_contracts")
-        .filter(F.col("deployed_at_block_timestamp") < F.lit(period.to_ns))
-        .groupBy("contract_code_sha256")
+        deployed.filter((time >= F.lit(period.from_ns)) & (time < F.lit(period.to_ns)))
+        .groupBy(code)
         .agg(F.min("deployed_at_block_timestamp").alias("first_deployed"))
     )
+    seen = deployed.filter(time < F.lit(period.from_ns)).select(code)
+    known = seen.join(first_seen.select(code), code, "left_semi").distinct()
     counts = (
-        first_seen.filter(F.col("first_deployed") >= F.lit(period.from_ns))
+        first_seen.join(known, code, "left_anti")
         .groupBy(period.of("first_deployed"))
         .agg(F.count(F.lit(1)).cast("int").alias("new_unique_contracts_count"))
     )

@@ -5,32 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstats.functions.calendar import DAY_NS
 from ledgerstats.functions.jsonargs import DEPOSIT_FIELD
 from ledgerstats.functions.widesum import limbs_of, sum_limbs, with_digits
 from ledgerstats.operators.periods import Period, one_row_per_period
 from ledgerstats.plans.inputs import Inputs
 
-# How long before its execution a receipt is looked for first.
-LOOKBACK_NS = DAY_NS
-
-
-def _actions_behind(inputs: Inputs, period: Period, outcomes: DataFrame) -> DataFrame:
-    """Actions, among them all those of the outcomes' receipts.
-
-    Nothing bounds how long a receipt waits for its execution. For one period the actions
-    of its days and the day before are taken if a check on the receipt ids alone finds
-    every outcome's receipt there: the actions of a receipt share their time, so they are
-    then complete. Otherwise, and for the whole ledger, all actions are read.
-    """
-    name = "action_receipt_actions"
-    if inputs.one_period:
-        recent = inputs.between(name, period.from_ns - LOOKBACK_NS, period.to_ns)
-        found = recent.select("receipt_id").distinct()
-        if outcomes.join(found, "receipt_id", "left_anti").isEmpty():
-            return recent
-    return inputs.table(name)
-
 
 def _deposits(actions: DataFrame) -> DataFrame:
     """Deposits as text. `json_tuple` generates the column, so the arguments are parsed
@@ -54,11 +33,13 @@ def _successful(inputs: Inputs, period: Period) -> DataFrame:
 def deposit_amount(inputs: Inputs, period: Period) -> DataFrame:
     """Deposits by the day they were executed; a sum past 38 digits fails the job.
 
-    Actions are summed per receipt on the way into the join's shuffle.
+    Nothing bounds how long a receipt waits for its execution, so all actions are read for
+    any period; the ids of the period's outcomes filter them in the scan. They are summed
+    per receipt on the way into the join's shuffle.
     """
     outcomes = _successful(inputs, period)
     per_receipt = (
-        _deposits(_actions_behind(inputs, period, outcomes))
+        _deposits(inputs.table("action_receipt_actions"))
         .withColumn("deposit", F.col("deposit").cast("decimal(38,0)"))
         .filter(F.col("deposit") > 0)
         .groupBy("receipt_id")
@@ -78,7 +59,7 @@ def deposit_amount_wide(inputs: Inputs, period: Period) -> DataFrame:
     limbs = limbs_of(F.col("deposit"), 5)
     names = [f"_limb{i}" for i in range(len(limbs))]
     per_receipt = (
-        _deposits(_actions_behind(inputs, period, outcomes))
+        _deposits(inputs.table("action_receipt_actions"))
         .filter(F.col("deposit").isNotNull())
         .groupBy("receipt_id")
         .agg(*sum_limbs(limbs))

@@ -15,9 +15,6 @@ from ledgerstats.schemas import ENTITY_RECORD
 # Fixed value: the entity that stands for the network itself gains no accounts.
 NETWORK_ENTITY = "near"
 
-# Tasks a single contract's keys are spread over where the join has to shuffle.
-SALTS = 16
-
 CATALOGUE = "near_ecosystem_entities"
 ACCOUNTS_ADDED = "daily_accounts_added_per_ecosystem_entity"
 
@@ -34,8 +31,14 @@ def contract_entities(entities: DataFrame) -> DataFrame:
         identifier(F.col("slug")).alias("entity_id"),
         F.explode(F.split("contract", CONTRACT_SEPARATOR)).alias("contract_id"),
     )
-    return listed.groupBy(identifier(F.col("contract_id")).alias("contract_id")).agg(
-        F.min("entity_id").alias("entity_id")
+    contract = identifier(F.col("contract_id"))
+    # The length follows from the contract and changes no group, but the rows are then not
+    # dealt out by contract alone: a join on it shuffles them anew, and only a join of two
+    # such shuffles is one whose skew adaptive execution can split.
+    return (
+        listed.groupBy(contract.alias("contract_id"), F.length(contract).alias("length"))
+        .agg(F.min("entity_id").alias("entity_id"))
+        .drop("length")
     )
 
 
@@ -44,26 +47,23 @@ def accounts_added(
 ) -> DataFrame:
     """When each account first gave a contract of an entity a function-call key.
 
-    The catalogue has no broadcast hint: Spark broadcasts it while its size is within
-    `spark.sql.autoBroadcastJoinThreshold`, and otherwise shuffles both sides. For that
-    case a contract's keys are spread by account, and each contract is listed once for
-    every salt, so that one contract does not become one task.
+    Keys are reduced to the first of each contract and account before the join. The
+    catalogue has no broadcast hint: Spark broadcasts it while its size is within
+    `spark.sql.autoBroadcastJoinThreshold`. Otherwise both sides are shuffled by contract,
+    and adaptive execution splits a contract that many accounts gave keys.
     """
-    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    salted = contract_entities(inputs.derived(CATALOGUE)).withColumn("salt", F.explode(salts))
     granted = (
         inputs.between("action_receipt_actions", period.from_ns, period.to_ns)
         .filter(F.col("action_kind") == "ADD_KEY")
         .filter(argument(PERMISSION_KIND) == "FUNCTION_CALL")
-        .select(
+        .groupBy(
             argument(PERMITTED_CONTRACT).alias("contract_id"),
             F.col("receipt_receiver_account_id").alias("account_id"),
-            F.col("receipt_included_in_block_timestamp").alias("added_at"),
         )
-        .withColumn("salt", F.pmod(F.hash("account_id"), F.lit(SALTS)))
+        .agg(F.min("receipt_included_in_block_timestamp").alias("added_at"))
     )
     return (
-        granted.join(salted, ["contract_id", "salt"])
+        granted.join(contract_entities(inputs.derived(CATALOGUE)), "contract_id")
         .filter(~F.col("entity_id").isin(F.col("account_id"), F.lit(network_entity)))
         .groupBy("entity_id", "account_id")
         .agg(F.min("added_at").alias("added_at_block_timestamp"))

@@ -115,7 +115,7 @@ def compute(source: LedgerSource, name: str, timestamp: int | None = None) -> Da
 
     def plan(name: str, timestamp: int | None = None) -> DataFrame:
         statistic = STATISTICS[name]
-        inputs = Inputs(source, derived=plan, one_period=timestamp is not None)
+        inputs = Inputs(source, derived=plan)
         return statistic.plan(inputs, period_for(extent, statistic.unit, timestamp))
 
     return plan(name, timestamp)

@@ -55,7 +55,7 @@ def run(
 
     configure(source.spark, source.size_in_bytes())
     extent = source.extent()
-    inputs = Inputs(source, store.read, one_period=not rebuild)
+    inputs = Inputs(source, store.read)
     done: list[str] = []
     errors: dict[str, BaseException] = {}
 

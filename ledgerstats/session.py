@@ -19,38 +19,35 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # One day of a bounded table filters a table without bounds (at least 10 GB of scan)
     # before that is shuffled. By default Spark tries this for 10 MB of creating side only.
+    # A filter takes 32 MB on each executor. Past its number of ids it lets more rows by,
+    # up to all: days that large want tables bucketed by receipt id.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
-    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
-    "spark.sql.optimizer.runtime.bloomFilter.numBits": "67108864",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "64GB",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "32000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "32000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": "268435456",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "268435456",
 }
 
 TARGET_PARTITION_BYTES = 256 * 1024**2
-MAX_SHUFFLE_PARTITIONS = 32_768
-LARGE_INPUT_BYTES = 1024**4
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
-    """Apply `SETTINGS`; with the input size known, also size scans and shuffles for it.
+    """Apply `SETTINGS`; with the input size known, also size shuffles for it.
 
-    The number of shuffle partitions is only ever raised. Every statistic reads a few
-    narrow columns, so the shuffle is smaller than the input and adaptive execution
+    The number of partitions a shuffle starts with is in proportion to the input, and at
+    least `spark.sql.shuffle.partitions`; each call sets it anew. Every statistic reads a
+    few narrow columns, so the shuffle is smaller than the input and adaptive execution
     merges the partitions that turn out small.
     """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     if input_bytes is not None:
-        current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        wanted = shuffle_partitions(input_bytes)
-        if wanted > current:
-            spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", wanted)
-        if input_bytes >= LARGE_INPUT_BYTES:
-            spark.conf.set("spark.sql.files.maxPartitionBytes", 512 * 1024**2)
-            spark.conf.set(
-                "spark.sql.adaptive.advisoryPartitionSizeInBytes", TARGET_PARTITION_BYTES
-            )
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set(INITIAL_PARTITIONS, max(least, shuffle_partitions(input_bytes)))
     return spark
 
 
 def shuffle_partitions(input_bytes: int) -> int:
-    return min(MAX_SHUFFLE_PARTITIONS, max(1, math.ceil(input_bytes / TARGET_PARTITION_BYTES)))
+    return max(1, math.ceil(input_bytes / TARGET_PARTITION_BYTES))

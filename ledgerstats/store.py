@@ -18,6 +18,10 @@ from ledgerstats.operators.periods import Period
 from ledgerstats.schemas import DERIVED_TABLES, DerivedTable
 
 
+#: Files, markers included, of a table of one row a period.
+MOST_FILES = 32
+
+
 class Store:
     def __init__(
         self, spark: SparkSession, root: str, tables: dict[str, DerivedTable] = DERIVED_TABLES
@@ -51,7 +55,19 @@ class Store:
         if period is not None and table.dated_by:
             stored = stored.filter(_within(period, table.schema[table.dated_by]))
         fresh = new_rows(stored, _declared(name, table, rows), table.key)
-        self._write(table, fresh, self._path(name, versions[-1]))
+        path = self._path(name, versions[-1])
+        self._write(table, fresh, path)
+        one_row_a_period = table.key == (table.dated_by,)
+        if one_row_a_period and len(files.children(self.spark, path)) > MOST_FILES:
+            self.compact(name)
+
+    def compact(self, name: str) -> None:
+        """Write the table's rows anew in as few files as their size asks for.
+
+        A table of one row a period does so by itself once it has more than `MOST_FILES`
+        files; for a larger one the caller decides when rewriting it is worth while.
+        """
+        self.replace(name, self.read(name))
 
     def replace(self, name: str, rows: DataFrame) -> None:
         """Make the rows the whole table."""
@@ -85,7 +101,7 @@ class Store:
         """A table of many rows per day is kept by day: `rebalance` gathers a day's rows
         into few files and still splits a day too large for one task."""
         if table.partition_by is None:
-            rows.write.mode("append").parquet(path)
+            rows.hint("rebalance").write.mode("append").parquet(path)
             return
         (
             rows.hint("rebalance", table.partition_by)

@@ -169,6 +169,7 @@ _DEPOSITS = (
     "FROM fx_actions JOIN fx_outcomes USING (receipt_id) "
     "WHERE receipt_predecessor_account_id <> 'system' "
     "AND action_kind IN ('FUNCTION_CALL', 'TRANSFER') "
+    "AND CAST(json_extract_string(args, '$.deposit') AS DECIMAL(38,0)) > 0 "
     "AND status IN ('SUCCESS_VALUE', 'SUCCESS_RECEIPT_ID') GROUP BY 1"
 )
 _FEES = (
@@ -289,13 +290,13 @@ FROM deployed""",
     "entity_contract_map": f"{LEDGER}\nSELECT contract_id, entity_id FROM contract_map",
     "daily_deposit_amount_wide": _per_period("deposit_amount", "VARCHAR", _DEPOSITS),
     "daily_tokens_spent_on_fees_wide": _per_period("tokens_spent_on_fees", "VARCHAR", _FEES),
-    # Every signup and every purchase writes its user's first time into one table, signups first;
-    # a batch repeats keys, and the second batch also meets stored ones.
+    # Every event writes its user's first time into one table, signups first; a batch repeats
+    # keys, and the second batch also meets stored ones.
     "insert_only_merge": """
 WITH writes AS (
   SELECT CAST(user_id AS VARCHAR) AS account_id, epoch_us(ts) * 1000 AS added_at,
          CASE event_type WHEN 'signup' THEN 1 ELSE 2 END AS batch, event_id
-  FROM events WHERE event_type IN ('signup', 'purchase'))
+  FROM events)
 SELECT account_id, added_at, CAST(batch AS INTEGER) AS batch
 FROM (SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY batch, added_at, event_id) AS n
       FROM writes) AS numbered
@@ -315,3 +316,26 @@ SELECT DATE '1970-01-01' + {ONE_WEEK} AS collected_for_week,
 FROM fx_transactions
 WHERE {_day('block_timestamp')} BETWEEN {ONE_WEEK} AND {ONE_WEEK} + 6""",
 }
+
+
+def _one_day(name: str) -> str:
+    return f"SELECT * FROM ({ORACLES[name]}) WHERE collected_for_day = DATE '1970-01-01' + {ONE_DAY}"
+
+
+ORACLES |= {
+    "single_day_deposit_amount": _one_day("daily_deposit_amount"),
+    "single_day_gas_ranges": _one_day("daily_transaction_count_by_gas_burnt_ranges"),
+    "single_day_new_accounts": _one_day("daily_new_accounts_count"),
+    "single_day_gas_used": _one_day("daily_gas_used"),
+    # A roll-up gives what its statistic gives.
+    **{
+        f"rollup_{name}": ORACLES[name]
+        for name in (
+            "daily_active_accounts_count",
+            "daily_active_contracts_count",
+            "daily_new_contracts_count",
+            "daily_transactions_count",
+            "weekly_active_accounts_count",
+        )
+    },
+}

@@ -7,6 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerstats.functions.calendar import DAY_NS
 from ledgerstats.operators.periods import between
 from ledgerstats.schemas import SOURCE_TABLES, TIME_COLUMN
 from ledgerstats.sources import CatalogSource, EventLedger, ParquetSource, read_entities
@@ -83,3 +84,18 @@ def test_the_catalogue_document(spark, tmp_path):
 
 def test_a_landed_ledger_has_its_catalogue_beside_it(spark):
     assert ParquetSource(spark, "/data/ledger/").entities_path == "/data/ledger/entities.json"
+
+
+def test_times_landed_as_wide_decimals(spark, tmp_path):
+    """A table exported with numeric(20,0) times is read, and bounds still reach its scan."""
+    source = EventLedger(spark, SMALL)
+    blocks = source.table("blocks")
+    time = F.col("block_timestamp").cast("decimal(20,0)")
+    blocks.withColumn("block_timestamp", time).write.parquet(f"{tmp_path}/blocks")
+    landed = ParquetSource(spark, str(tmp_path))
+    assert landed.extent() == source.extent()
+    assert landed.table("blocks").schema["block_timestamp"].dataType.simpleString() == "bigint"
+    bounds = (source.extent().first_ns, source.extent().first_ns + DAY_NS)
+    day = landed.between("blocks", *bounds)
+    assert day.count() == source.between("blocks", *bounds).count()
+    assert "GreaterThanOrEqual(block_timestamp" in day._jdf.queryExecution().toString()

@@ -214,6 +214,24 @@ def test_deposits_of_receipts_that_waited(spark, waited):
     assert single == [(day, Decimal(12))]
 
 
+def test_deposits_of_a_receipt_whose_actions_differ_in_time(spark):
+    """One day gives what the whole range gives; negative deposits do not count."""
+    ledger = LiteralLedger(
+        spark,
+        days=6,
+        action_receipt_actions=[
+            action("r1", "TRANSFER", deposit(3), time=at(5, 7)),
+            action("r1", "TRANSFER", deposit(5), time=at(1, 7)),
+            action("r1", "TRANSFER", deposit(-2), time=at(5, 7)),
+        ],
+        execution_outcomes=[("r1", at(5, 9), Decimal(0), "SUCCESS_VALUE")],
+    )
+    day = dt.date(2024, 1, 6)
+    assert result(ledger, "daily_deposit_amount")[-1] == (day, Decimal(8))
+    single = result(ledger, "daily_deposit_amount", timestamp=(MONDAY + 5) * 86400)
+    assert single == [(day, Decimal(8))]
+
+
 def test_a_malformed_deposit_fails(spark):
     ledger = LiteralLedger(
         spark,

@@ -253,3 +253,14 @@ def test_out_of_order_days_keep_the_first_write(spark, tmp_path):
     assert rows(store.read(name)) == [("e", "x", at(1))]
     run(ledger, store, [name], rebuild=True)
     assert rows(store.read(name)) == [("e", "x", at(0))]
+
+
+def test_many_inserts_leave_few_files(spark, tmp_path):
+    """A table of one row a period is rewritten now and then, and keeps every row."""
+    store = Store(spark, str(tmp_path))
+    days = [DAY0 + dt.timedelta(days=i) for i in range(40)]
+    for i, day in enumerate(days):
+        store.insert(COUNTS, frame(spark, COUNTS, [(day, i)]))
+    assert rows(store.read(COUNTS)) == [(day, i) for i, day in enumerate(days)]
+    newest = max((tmp_path / COUNTS).iterdir())
+    assert len([f for f in newest.iterdir() if f.suffix == ".parquet"]) <= 32
