@@ -136,11 +136,16 @@ def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     known = docs.filter(F.col("doc_id").isNotNull() & F.col(text).isNotNull())
     named = known.select(F.col("doc_id").cast("long"), version.alias("version"), text)
     again = repeated_units(named).select(
-        F.col("doc_id").alias("_again_id"), F.col("version").alias("_again_v"), "starts"
+        F.col("doc_id").alias("again_id"), F.col("version").alias("again_version"), "starts"
     )
-    same = (F.col("doc_id").cast("long") == F.col("_again_id")) & (version == F.col("_again_v"))
-    body = F.struct(*[F.col(c) for c in columns]).alias("row")
-    rows = docs.join(again, same, "left").select(body, F.col("starts"))
+    # All columns of the rows in one, so that none has a name of those used here.
+    whole = docs.select(
+        F.struct(*[F.col(c) for c in columns]).alias("row"),
+        F.col("doc_id").cast("long").alias("own_id"),
+        version.alias("own_version"),
+    )
+    same = "own_id = again_id AND own_version = again_version"
+    rows = whole.join(again, F.expr(same), "left").select("row", "starts")
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
     row = T.StructType([docs.schema[c] for c in columns])
     schema = T.StructType(

@@ -38,6 +38,7 @@ class PrefixTable:
         self.rank: dict[str, float] = {}
         self.byte_id: dict[int, int] = {}
         self.surface: dict[str, str] = {}
+        self.spaced: set[int] = set()
         self.automaton = ahocorasick.Automaton()
         for i in range(model.get_piece_size()):
             piece = model.id_to_piece(i)
@@ -52,6 +53,8 @@ class PrefixTable:
                 self.surface[str(i)] = " ⁇ "
             else:
                 self.ids[piece] = i
+                if piece.startswith(SPACE):
+                    self.spaced.add(i)
                 self.rank[piece] = -model.get_score(i)
                 self.surface[str(i)] = piece.replace(SPACE, " ")
                 self.automaton.add_word(piece, (piece, len(piece)))
@@ -113,7 +116,7 @@ class PrefixTable:
         """The text of decimal ids in UTF-8; bytes that form no character become U+FFFD."""
         first = next((i for i, x in enumerate(ids) if self.surface[x]), len(ids))
         parts = list(map(self.surface.__getitem__, ids[first:]))
-        if parts and parts[0][0] == " " and ids[first] != "0":
+        if parts and parts[0][0] == " " and int(ids[first]) in self.spaced:
             parts[0] = parts[0][1:]
         try:
             return "".join(parts).encode()

@@ -1,0 +1,406 @@
+"""Near copies, repeats, packing, order, archives and neighbours, against brute force."""
+
+from __future__ import annotations
+
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import zstandard
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from ledgerstats.llm import neardup, neighbours, order, packing, passages, warc
+from ledgerstats.llm.common import new_folder, written
+from ledgerstats.llm.components import components
+from ledgerstats.llm.queries import QUERIES, byte_bpe
+from ledgerstats.llm.shingles import shingle_set
+from tests.llm.conftest import AWKWARD, SF
+
+
+def plain_shingles(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    for c in "\t\n\x0b\x0c\r":
+        lowered = lowered.replace(c, " ")
+    words = [w for w in lowered.split(" ") if w]
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def plain_components(texts):
+    """texts: by id. All pairs of sets are compared."""
+    sets, parent = {i: plain_shingles(t) for i, t in texts.items()}, {i: i for i in texts}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    ids = sorted(texts)
+    for a in ids:
+        for b in ids:
+            if a < b and sets[a] and sets[b]:
+                both = len(sets[a] & sets[b])
+                if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+                    x, y = sorted((root(a), root(b)))
+                    parent[y] = x
+    return {i: root(i) for i in ids}, {i: len(s) for i, s in sets.items()}
+
+
+def check_components(found, texts):
+    expected, sizes = plain_components(texts)
+    assert {r.doc_id: r.component_id for r in found} == expected
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found)
+    assert {r.doc_id: r.n_shingles for r in found} == sizes
+
+
+def test_near_copies_are_those_of_all_pairs(spark, documents):
+    rows = documents.select("doc_id", "text").collect()
+    check_components(QUERIES["op5_near_duplicates"](spark, SF).collect(), dict(rows))
+
+
+def test_copies_with_many_edits_of_one_original(frame, monkeypatch):
+    """Pairs of edits are apart, some edits are near one another, in buckets cut to blocks."""
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", 600)
+    draw = np.random.default_rng(5)
+    original, texts = [f"w{i}" for i in range(60)], {}
+    for i in range(90):
+        edited = list(original)
+        for place in draw.choice(60, draw.integers(1, 4), replace=False):
+            edited[place] = f"edit{draw.integers(0, 30)}"
+        texts[1000 - i] = " ".join(edited)
+    assert len(set(plain_components(texts)[0].values())) not in (1, 90)
+    check_components(neardup.near_duplicates(frame(list(texts.items()))).collect(), texts)
+
+
+def test_near_copies_of_awkward_rows(frame):
+    rows = AWKWARD + [(20, "one SENTENCE alone."), (21, "a b c"), (22, "A\tb\nC")]
+    found = neardup.near_duplicates(frame(rows)).collect()
+    assert len(found) == len(rows)
+    assert all(r.component_id is None and r.kept for r in found if r.doc_id is None)
+    known = {i: t for i, t in rows if i is not None}
+    check_components({r.doc_id: r for r in found if r.doc_id is not None}.values(), known)
+    assert neardup.near_duplicates(frame([])).count() == 0
+    kept = neardup.without_near_duplicates(frame(rows))
+    assert kept.columns == frame([]).columns
+    assert Counter(r.doc_id for r in kept.collect())[22] == 0
+
+
+def test_shingles_of_long_texts_do_not_depend_on_parts(monkeypatch):
+    text = " ".join(f"word{i % 977}" for i in range(20_000))
+    whole = shingle_set(text, 5)
+    monkeypatch.setattr("ledgerstats.llm.shingles.PART", 1000)
+    assert (shingle_set(text, 5) == whole).all() and len(whole) == len(plain_shingles(text))
+
+
+def test_components_of_a_path_and_a_star(spark):
+    edges = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 160)] + [(7, 7)]
+    found = components(spark.createDataFrame(edges, "u long, v long")).collect()
+    expected = {i: 1 for i in range(1, 41)} | {i: 100 for i in range(100, 160)}
+    assert {r.node: r.component for r in found} == expected and len(found) == len(expected)
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def plain_repeats(rows):
+    """What is cut from each text: every text in order of id, units remembered."""
+    seen, cut = {}, {}
+    for doc_id, text in sorted(rows):
+        again = [s for s, _, w in passages.units(text) if seen.get(" ".join(w), doc_id) != doc_id]
+        for _, _, w in passages.units(text):
+            if len(w) >= passages.LEAST_UNIT:
+                seen.setdefault(" ".join(w), doc_id)
+        again = [s for s, _, w in passages.units(text) if s in again and len(w) >= 4]
+        cut[doc_id] = passages.without(text, passages.removed_spans(text, again))
+    return cut
+
+
+def test_repeats_are_those_of_a_plain_loop(spark, documents):
+    rows = [tuple(r) for r in documents.select("doc_id", "text").collect()]
+    found = QUERIES["op7_repeated_passages"](spark, SF).collect()
+    assert {r.doc_id: r.text for r in found} == plain_repeats(rows)
+    for row in found:  # offsets are those of the original
+        spans = [(s.start, s.end) for s in row.removed_spans]
+        assert passages.without(dict(rows)[row.doc_id], spans) == row.text
+    assert any(r.removed_spans for r in found)
+
+
+PASSAGE = " ".join(
+    f"Sentence {i} of a passage that others copy says something of its own." for i in range(6)
+)
+
+
+def test_a_passage_within_other_lines_goes_but_for_the_first(frame):
+    rows = [
+        (1, f"The first author writes alone here. {PASSAGE} And goes on in the same line."),
+        (2, f"Another author begins otherwise.\n{PASSAGE}\nAnd ends otherwise too."),
+        (3, "A clean text. All rights reserved. It has words of its own and no others."),
+        (4, "Also clean. All rights reserved. Its own words are here and not elsewhere."),
+        (5, f"Twice in one text. {PASSAGE} Between the two of them. {PASSAGE}"),
+    ]
+    found = {r.doc_id: r for r in passages.remove_repeats(frame(rows)).collect()}
+    assert [bool(found[i].removed_spans) for i in (1, 2, 3, 4, 5)] == [0, 1, 0, 0, 1]
+    assert found[2].text == "Another author begins otherwise.\nAnd ends otherwise too."
+    assert "passage" not in found[5].text and "Between the two" in found[5].text
+    assert found[1].bucket == "x" and passages.remove_repeats(frame(rows)).columns == [
+        *frame([]).columns, "removed_spans",
+    ]
+
+
+def test_repeats_of_awkward_rows(frame):
+    rows = [*AWKWARD, (None, PASSAGE), (9, PASSAGE), (9, PASSAGE), (10, PASSAGE)]
+    found = passages.remove_repeats(frame(rows)).collect()
+    assert len(found) == len(rows)
+    kept = Counter((r.doc_id, r.text == PASSAGE) for r in found)
+    assert kept[None, True] == 1 and kept[9, True] == 2 and kept[10, True] == 0
+    assert passages.remove_repeats(frame([])).count() == 0
+
+
+def ids_of(texts):
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    whole.encode_special_tokens = True
+    return [x.ids + [0] for x in whole.encode_batch(texts, add_special_tokens=False)]
+
+
+def check_packing(rows, found, capacity=packing.CAPACITY):
+    """rows: (doc_id, text) without repeated ids."""
+    ids = dict(zip([i for i, _ in rows], ids_of([t or "" for _, t in rows])))
+    by_doc, by_sequence = {}, {}
+    for r in found:
+        by_doc.setdefault(r.doc_id, []).append(r)
+        by_sequence.setdefault(r.sequence_id, []).append(r)
+    assert by_doc.keys() == ids.keys()
+    for doc_id, own in by_doc.items():
+        own.sort(key=lambda r: r.piece)
+        assert [r.piece for r in own] == list(range(len(own)))
+        assert [r.start for r in own] == [sum(x.length for x in own[:i]) for i in range(len(own))]
+        assert all(r.length == capacity for r in own[1:]) and 0 < own[0].length <= capacity
+        assert sum(r.length for r in own) == len(ids[doc_id])
+        for r in own:
+            part = np.array(ids[doc_id][r.start : r.start + r.length], "<u4")
+            assert r.ids_crc32 == zlib.crc32(part.tobytes())
+    for own in by_sequence.values():
+        own.sort(key=lambda r: r.offset)
+        at = 0
+        for r in own:
+            assert r.offset == at
+            at += r.length
+        assert at <= capacity
+    return len(by_sequence), -(-sum(map(len, ids.values())) // capacity)
+
+
+def test_packing_is_gapless_and_nearly_full(spark, documents):
+    rows = [tuple(r) for r in documents.select("doc_id", "text").collect()]
+    used, least = check_packing(rows, QUERIES["op4_packing"](spark, SF).collect())
+    assert used <= math.ceil(1.02 * least)
+
+
+def test_packing_of_awkward_rows(frame):
+    rows = [r for i, r in enumerate(AWKWARD) if i not in (4, 6)]
+    check_packing(rows, packing.pack(frame(rows), byte_bpe()).collect())
+    assert packing.pack(frame(AWKWARD), byte_bpe()).select("doc_id").count() > len(AWKWARD)
+    assert packing.pack(frame([]), byte_bpe()).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plans_hold_every_piece_once(seed):
+    draw = np.random.default_rng(seed)
+    capacity = int(draw.choice([10, 64, 200]))
+    lengths = draw.choice(np.arange(1, capacity + 1), draw.integers(1, 9))
+    histogram = {int(n): int(draw.integers(1, 5000)) for n in lengths}
+    groups, held = packing.plan(histogram, capacity), Counter()
+    for group in groups:
+        assert sum(n * t for n, t in group.held) <= capacity and group.number > 0
+        for n, t in group.held:
+            held[n] += t * group.number
+    assert held == histogram
+    least = sum(n * c for n, c in histogram.items()) / capacity
+    if min(histogram) <= capacity // 8:
+        assert sum(g.number for g in groups) <= 1.5 * least + 5
+
+
+def test_the_plan_beats_best_fit_where_lengths_must_be_matched():
+    """Thirds a little too large: best fit pairs the wrong ones, configurations do not."""
+    histogram = {51: 3000, 27: 3000, 22: 3000}
+    assert sum(g.number for g in packing.plan(histogram, 100)) <= 3060
+
+
+def test_training_order_has_every_sequence_once(spark, documents):
+    rows = [tuple(r) for r in documents.select("doc_id", "text").collect()]
+    slots = order.in_training_order(documents, byte_bpe(), key=1, shard_bytes=100_000).collect()
+    assert sorted(r.slot for r in slots) == list(range(len(slots)))
+    ids = dict(zip([i for i, _ in rows], ids_of([t or "" for _, t in rows])))
+    assert Counter(r.doc_id for r in slots) == {
+        i: -(-len(x) // order.LENGTH) for i, x in ids.items()
+    }
+    frame = spark.createDataFrame(slots)
+    for first in (0, len(slots) // 3, len(slots) - 1):
+        read = {r.slot: r.ids for r in order.read_from(frame, first).collect()}
+        assert sorted(read) == list(range(first, len(slots)))
+        for r in slots:
+            if r.slot >= first:
+                at = r.sequence * order.LENGTH
+                assert read[r.slot] == ids[r.doc_id][at : at + order.LENGTH]
+    again = order.in_training_order(documents, byte_bpe(), key=1, shard_bytes=100_000)
+    other = order.in_training_order(documents, byte_bpe(), key=2, shard_bytes=100_000)
+    places = [{(r.doc_id, r.sequence): r.slot for r in x} for x in (slots, again.collect())]
+    assert places[0] == places[1]
+    assert places[0] != {(r.doc_id, r.sequence): r.slot for r in other.collect()}
+    by_slot = [r.doc_id for r in sorted(slots, key=lambda r: r.slot)]
+    assert abs(np.corrcoef(by_slot, range(len(by_slot)))[0, 1]) < 0.15
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 64, 1000, 4097])
+def test_the_permutation_is_one(spark, n):
+    found = spark.range(n).select(order.permuted(F.col("id"), n, 5).alias("x")).collect()
+    assert sorted(r.x for r in found) == list(range(n))
+
+
+def test_training_order_of_awkward_rows(frame):
+    found = order.in_training_order(frame(AWKWARD), byte_bpe(), key=3).collect()
+    assert sorted(r.slot for r in found) == list(range(len(found)))
+    assert {r.doc_id for r in found} == {i for i, _ in AWKWARD}
+    assert order.in_training_order(frame([]), byte_bpe(), key=3).count() == 0
+
+
+PAGES = "page_id long, url string, html string, payload string, _first int, record_type int"
+
+
+def test_archives_of_awkward_pages(spark):
+    long_, same = "<p>" + "é" * 300_000, "s" * 120
+    rows = [
+        (1, None, None), (2, "u", ""), (3, "u\r\nx: y", long_), (4, "u", same), (5, "u", same),
+        (5, "u", same), (None, "u", same), (6, "u", "short"), (7, "u", "short"), (8, "中", "é"),
+    ]
+    pages = spark.createDataFrame([(*r, "x", 1, 1) for r in rows], PAGES)
+    found = warc.archive_pages(pages)
+    kinds = Counter((r.page_id, r.record_type, r.refers_to) for r in found.collect())
+    assert kinds[5, "revisit", 4] == 2 and kinds[4, "response", None] == 1
+    assert kinds[None, "response", None] == 1 and kinds[7, "response", None] == 1
+    assert sum(kinds.values()) == len(rows)
+    payloads = {r.page_id: bytes(r.payload) for r in found.collect() if r.record_type == "response"}
+    assert payloads[3] == long_.encode() and payloads[1] == b"" and payloads[8] == "é".encode()
+    assert warc.archive_pages(spark.createDataFrame([], PAGES)).count() == 0
+
+
+class Bytes:
+    def __init__(self, data, step=7):
+        self.data, self.step = data, step
+
+    def read(self, n):
+        part, self.data = self.data[: self.step], self.data[self.step :]
+        return part
+
+
+def archive(dictionary=b"", parts=(b"one", b"two" * 50)):
+    options = {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
+    compressor = zstandard.ZstdCompressor(**options)
+    return warc.dictionary_frame(dictionary) + b"".join(compressor.compress(p) for p in parts)
+
+
+def test_frames_are_read_one_at_a_time_with_the_dictionary():
+    samples = [f"<html><p>some text {i} of pages {i * 7}</p></html>".encode() for i in range(800)]
+    dictionary = zstandard.train_dictionary(2048, samples).as_bytes()
+    for held in (b"", dictionary):
+        assert list(warc.read_frames(Bytes(archive(held)))) == [b"one", b"two" * 50]
+    packed = zstandard.ZstdCompressor().compress(dictionary)
+    body = archive(dictionary)[len(warc.dictionary_frame(dictionary)) :]
+    found = warc.read_frames(Bytes(warc.dictionary_frame(packed) + body))
+    assert list(found) == [b"one", b"two" * 50]
+
+
+def test_broken_archives_are_refused():
+    whole = archive()
+    for data in (whole[:-3], whole + b"junk", whole[:5], whole + b"x"):
+        with pytest.raises(warc.BadArchive):
+            list(warc.read_frames(Bytes(data)))
+    row = {"payload_bytes": 2, "record_type": "response", "payload_digest": "0" * 64, "page_id": 1,
+           "url": "u", "record_key": "k", "payload": b"ab"}
+    good = warc.page_record(row)
+    for bad in (good.replace(b"WARC/1.1", b"WARC/9"), good[:-1], good + b"x", good,
+                good.replace(b"WARC-Date", b"Date"), good.replace(b"Content-Length: 2", b"X: 2")):
+        with pytest.raises(warc.BadArchive):
+            warc.page_of(bad)
+
+
+def test_neighbours_are_nearly_those_of_brute_force(spark):
+    where = "/root/testdata/sf0.01"
+    rows = spark.read.parquet(f"{where}/embeddings.parquet").collect()
+    ids = np.array([r.vec_id for r in rows])
+    vectors = np.array([r.embedding for r in rows], float)
+    found = {}
+    for r in QUERIES["op1_neighbours"](spark, where).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    hits = total = 0
+    for q in np.flatnonzero(ids % 20 == 0):
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        best = set(ids[np.argsort(-scores)[:20]].tolist())
+        own = sorted(found[ids[q]])
+        assert [r for r, _, _ in own] == list(range(1, len(own) + 1))
+        assert [s for _, _, s in own] == sorted((s for _, _, s in own), reverse=True)
+        place = {int(v): i for i, v in enumerate(ids)}
+        assert all(abs(scores[place[v]] - s) < 1e-12 for _, v, s in own)
+        hits, total = hits + len(best & {v for _, v, _ in own}), total + 20
+    assert hits >= 0.9 * total
+
+
+def test_neighbours_of_awkward_vectors(spark):
+    schema = T.StructType(
+        [
+            T.StructField("vec_id", T.LongType()),
+            T.StructField("embedding", T.ArrayType(T.FloatType())),
+            T.StructField("slab", T.StringType()),
+            T.StructField("parts", T.StringType()),
+        ]
+    )
+    same = [1.0, 2.0]
+    rows = [(i, same) for i in range(40, 0, -1)] + [
+        (50, None), (51, [0.0, 0.0]), (52, [1.0, None]), (53, [float("nan"), 1.0]),
+        (54, [float("inf"), 1.0]), (None, same), (60, [1.5, 3.0]), (61, [-1.0, -2.0]),
+    ]
+    vectors = spark.createDataFrame([(*r, "x", "x") for r in rows], schema)
+    found = neighbours.nearest(vectors, vectors.filter("vec_id in (1, 20, 50, 51)"), 5, slab_rows=8)
+    by_query = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        by_query.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert by_query.keys() == {1, 20}
+    assert by_query[20] == [(60, 7.5), (1, 5.0), (2, 5.0), (3, 5.0), (4, 5.0)]
+    assert by_query[1] == [(60, 7.5), (2, 5.0), (3, 5.0), (4, 5.0), (5, 5.0)]
+    none = vectors.filter("vec_id = 51")
+    assert neighbours.nearest(none, none, 5).count() == 0
+    few = vectors.filter("vec_id in (1, 2)")
+    assert [(r.query_id, r.vec_id) for r in neighbours.nearest(few, few, 5).collect()] in (
+        [(1, 2), (2, 1)], [(2, 1), (1, 2)],
+    )
+
+
+def test_the_pipeline_is_its_stages(spark, documents):
+    rows = documents
+    for name, stage in corpus_pipeline.STAGES:
+        before = rows
+        rows = written(stage(spark, rows, SF), name)
+        if name != "packing":
+            assert rows.schema.names == documents.schema.names
+            assert rows.count() <= before.count()
+        if name == "near_duplicate":
+            texts = {r.doc_id: r.text for r in before.collect()}
+            firsts = plain_components(texts)[0]
+            assert {r.doc_id for r in rows.collect()} == set(firsts.values())
+        if name == "repeated_passages":
+            cut = plain_repeats([(r.doc_id, r.text) for r in before.collect()])
+            assert {r.doc_id: r.text for r in rows.collect()} == cut
+            assert all(r.n_chars == len(r.text) for r in rows.collect())
+    used, _ = check_packing([(r.doc_id, r.text) for r in before.collect()], rows.collect())
+    assert used > 0
+    whole = corpus_pipeline.run(spark, SF)
+    assert Counter(whole.drop("sequence_id", "offset").collect()) == Counter(
+        rows.drop("sequence_id", "offset").collect()
+    )
+
+
+def test_folders_are_new(spark):
+    assert new_folder(spark, "x") != new_folder(spark, "x")
