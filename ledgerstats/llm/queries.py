@@ -89,6 +89,34 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op5_near_duplicates": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, unnest(
+                CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+                    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                    ELSE list_transform(range(1, len(w) - 3),
+                                        lambda i: array_to_string(w[i:i + 4], ' ')) END) AS x
+            FROM d
+        ), n AS (
+            SELECT doc_id, count(x) AS n FROM d LEFT JOIN s USING (doc_id) GROUP BY doc_id
+        ), p AS (
+            SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c
+            FROM s AS a JOIN s AS b USING (x) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2
+        ), l AS (
+            SELECT u, v FROM p JOIN n AS a ON a.doc_id = u JOIN n AS b ON b.doc_id = v
+            WHERE 100 * c >= 85 * (a.n + b.n - c)
+        ), r AS (
+            SELECT doc_id, doc_id AS c FROM d
+            UNION SELECT l.v, r.c FROM r JOIN l ON r.doc_id = l.u
+        ), m AS (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id)
+        SELECT doc_id, n AS n_shingles, c AS component_id, doc_id = c AS kept
+        FROM n JOIN m USING (doc_id)
+    """,
     "op8_warc": """
         WITH p AS (
             SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
