@@ -13,7 +13,6 @@ at byte s * stride. A reader that stopped at a slot goes on there with one seek.
 
 from __future__ import annotations
 
-import math
 import uuid
 import zlib
 from collections.abc import Iterator

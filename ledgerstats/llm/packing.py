@@ -234,7 +234,8 @@ def pack(docs: DataFrame, files: tuple[str, str, str], capacity: int = CAPACITY)
     table = slots(plan({r["length"]: r["n"] for r in histogram}, capacity))
     shared = spark.sparkContext.broadcast(table)
     # A length's parts are numbered one after the other, each within itself.
-    earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts_before = Window.partitionBy("length").orderBy("part")
+    earlier = parts_before.rowsBetween(Window.unboundedPreceding, -1)
     begins = counted.select(
         "length", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("begin")
     )

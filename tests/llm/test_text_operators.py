@@ -201,6 +201,7 @@ def test_fingerprints_of_awkward_rows(frame):
 def test_the_next_row_crosses_ranges(spark, ranges):
     ids = [3, 9, 10, 11, 50, 51, 52, 1000, None, -7]
     rows = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id long, body string")
-    found = {r.doc_id: r.next_body for r in fingerprints.with_next(rows, ["body"], ranges).collect()}
+    following = fingerprints.with_next(rows, ["body"], ranges).collect()
+    found = {r.doc_id: r.next_body for r in following}
     order = [None, *sorted(i for i in ids if i is not None)]
     assert found == {a: f"t{b}" for a, b in zip(order, order[1:] + order[:1])}
