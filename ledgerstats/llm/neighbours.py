@@ -7,9 +7,10 @@ visits its own bucket and those beside it in the order of the estimated chance t
 lies there, which follows from how near the query's projection is to each cell's edges, until
 these chances reach a given sum. The candidates of all tables are ranked by exact products.
 
-Buckets are dealt out to slabs by hash, and a slab of too many rows, as a large bucket makes
-one, is cut into parts by a hash of the id. A task takes the vectors of one part and the queries
-that visit buckets of its slab.
+Buckets are dealt out to slabs by hash. A slab of too many rows, as a large bucket makes one,
+is cut into parts by a hash of the id, and the queries that visit it into blocks; a task takes
+one part of the vectors and one block of the queries. A query that found fewer than it asked for
+is compared with all vectors, dealt out in the same way.
 """
 
 from __future__ import annotations
@@ -37,8 +38,10 @@ MASS = 0.68
 SLAB_ROWS = 1 << 16
 #: Projections of a table: the binary logarithm of the rows by 2.5, within these.
 LEAST_CELLS, MOST_CELLS = 4, 9
+#: Queries of a block, about.
+BLOCK_ROWS = 1 << 12
 #: Products of so many queries with a slab are held at a time.
-QUERY_BLOCK = 64
+QUERIES_AT_ONCE = 64
 
 
 class Tables:
@@ -105,14 +108,19 @@ def _matrix(series: pd.Series) -> np.ndarray:
     return np.array(series.tolist(), np.float64).reshape(len(series), -1)
 
 
-def _best(frame_ids, frame_vectors, query_ids, queries, mask, k):
-    """The k largest products of each query with the vectors that `mask` admits, exact ties by
-    smaller id. Products are first found in blocks, then again one by one, each in the same
-    order of terms, so that equal vectors have equal scores."""
+def _best(frame_ids, frame_vectors, buckets, query_ids, queries, visited, k):
+    """The k largest products of each query with the vectors in buckets that it visits, exact
+    ties by smaller id. Products are first found for some queries at a time, then again one by
+    one, each in the same order of terms, so that equal vectors have equal scores."""
+    codes, place = np.unique(buckets, return_inverse=True)
     out = []
-    for at in range(0, len(queries), QUERY_BLOCK):
-        block = queries[at : at + QUERY_BLOCK]
-        rough = np.where(mask[at : at + QUERY_BLOCK], block @ frame_vectors.T, -np.inf)
+    for at in range(0, len(queries), QUERIES_AT_ONCE):
+        block = queries[at : at + QUERIES_AT_ONCE]
+        wanted = np.zeros((len(block), len(codes)), bool)
+        for i, own in enumerate(visited[at : at + QUERIES_AT_ONCE]):
+            found = np.minimum(np.searchsorted(codes, own), len(codes) - 1)
+            wanted[i, found[codes[found] == own]] = True
+        rough = np.where(wanted[:, place], block @ frame_vectors.T, -np.inf)
         for i, row in enumerate(rough):
             query_id = query_ids[at + i]
             row[frame_ids == query_id] = -np.inf
@@ -138,16 +146,82 @@ FOUND = T.StructType(
 )
 
 
+def _compared(
+    held: DataFrame, asked: DataFrame, k: int, slab_rows: int, block_rows: int
+) -> DataFrame:
+    """The k best of (vec_id, embedding, table, slab, bucket) for each (query_id, embedding,
+    table, slab, codes), of the vectors in the buckets that `codes` lists.
+
+    Slabs of many vectors or queries are cut, and each part meets each block. A vector found
+    in several tables counts once.
+    """
+    key = ["table", "slab"]
+    # One row a slab, of which there are few.
+    sizes = (
+        held.select(*key, F.lit(1).alias("own"), F.lit(0).alias("query"))
+        .unionByName(asked.select(*key, F.lit(0).alias("own"), F.lit(1).alias("query")))
+        .groupBy(*key)
+        .agg(
+            F.ceil(F.sum("own") / F.lit(2 * slab_rows)).cast("int").alias("parts"),
+            F.ceil(F.sum("query") / F.lit(2 * block_rows)).cast("int").alias("blocks"),
+        )
+    )
+    cuts = written(sizes.filter("parts > 1 OR blocks > 1"), "cuts")
+
+    def dealt(rows: DataFrame, row_id: str, own: str, own_n: str, other: str, other_n: str):
+        """Each row in a share of its own by hash, once for every share of the other side."""
+        n, others = (F.greatest(F.coalesce(x, F.lit(1)), F.lit(1)) for x in (own_n, other_n))
+        return (
+            rows.join(cuts, key, "left")
+            .withColumn(own, F.pmod(F.xxhash64(row_id), n).cast("int"))
+            .withColumn(other, F.explode(F.sequence(F.lit(0), others - 1)))
+            .drop("parts", "blocks")
+            .groupBy(*key, "part", "block")
+        )
+
+    def search(of, own: pd.DataFrame, questions: pd.DataFrame) -> pd.DataFrame:
+        if not len(own) or not len(questions):
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        own = own.drop_duplicates("vec_id").sort_values("vec_id")
+        questions = questions.drop_duplicates("query_id")
+        rows = _best(
+            own["vec_id"].to_numpy(),
+            _matrix(own["embedding"]),
+            own["bucket"].to_numpy(),
+            questions["query_id"].to_numpy(),
+            _matrix(questions["embedding"]),
+            questions["codes"].tolist(),
+            k,
+        )
+        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), rows)))
+
+    found = (
+        dealt(held, "vec_id", "part", "parts", "block", "blocks")
+        .cogroup(dealt(asked, "query_id", "block", "blocks", "part", "parts"))
+        .applyInPandas(search, FOUND)
+    )
+    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    ranked = once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
+
+
 def nearest(
-    vectors: DataFrame, queries: DataFrame, k: int, mass: float = MASS, slab_rows: int = SLAB_ROWS
+    vectors: DataFrame,
+    queries: DataFrame,
+    k: int,
+    mass: float = MASS,
+    slab_rows: int = SLAB_ROWS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """The k nearest of (vec_id, embedding) found for each query, itself left out.
 
     Nearness is the inner product of the original vectors in double precision; ties go to the
-    smaller vec_id. Null or zero vectors, those with a null or non-finite component, and rows
+    smaller vec_id. A query has k rows, fewer only where the table has fewer other vectors: where
+    the buckets that it visits hold too few, it is compared with all. Null or zero vectors, those with a null or non-finite component, and rows
     without vec_id take no part. All vectors must have one length; a table that mixes lengths
-    fails. Rows that repeat a vec_id are one vector, whichever of them. A query with fewer
-    candidates has fewer rows; an empty table gives none. Further columns are ignored.
+    fails. Rows that repeat a vec_id are one vector, whichever of them. An empty table
+    gives no rows. Further columns are ignored.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -206,50 +280,25 @@ def nearest(
     asked = queries.mapInPandas(
         visits, f"vec_id long, embedding array<double>, {key}, codes array<long>"
     ).withColumnRenamed("vec_id", "query_id")
-    # How many parts a slab is cut into; one row a slab, of which there are few.
-    cuts = held.groupBy("table", "slab").agg(
-        F.ceil(F.count("*") / F.lit(2 * slab_rows)).cast("int").alias("parts")
-    )
-    cuts = written(cuts.filter("parts > 1"), "cuts")
-    parts = F.coalesce("parts", F.lit(1))
-    held = held.join(cuts, ["table", "slab"], "left").withColumn(
-        "part", F.pmod(F.xxhash64("vec_id"), parts).cast("int")
-    ).drop("parts")
-    asked = asked.join(cuts, ["table", "slab"], "left").withColumn(
-        "part", F.explode(F.sequence(F.lit(0), parts - 1))
-    ).drop("parts")
-
-    def search(key, own: pd.DataFrame, questions: pd.DataFrame) -> pd.DataFrame:
-        if not len(own) or not len(questions):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        own = own.drop_duplicates("vec_id").sort_values("vec_id")
-        questions = questions.drop_duplicates("query_id")
-        codes, place = np.unique(own["bucket"].to_numpy(), return_inverse=True)
-        wanted = np.zeros((len(questions), len(codes)), bool)
-        for i, visited_codes in enumerate(questions["codes"]):
-            at = np.searchsorted(codes, visited_codes)
-            at = np.minimum(at, len(codes) - 1)
-            wanted[i, at[codes[at] == visited_codes]] = True
-        rows = _best(
-            own["vec_id"].to_numpy(),
-            _matrix(own["embedding"]),
-            questions["query_id"].to_numpy(),
-            _matrix(questions["embedding"]),
-            wanted[:, place],
-            k,
-        )
-        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), rows)))
-
-    found = (
-        held.groupBy("table", "slab", "part")
-        .cogroup(asked.groupBy("table", "slab", "part"))
-        .applyInPandas(search, FOUND)
+    found = written(_compared(held, asked, k, slab_rows, block_rows), "nearest")
+    most = min(k, known["n"] - 1)
+    full = found.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= most)
+    short = queries.withColumnRenamed("vec_id", "query_id").join(full, "query_id", "left_anti")
+    short = written(short, "short")
+    if short.isEmpty():
+        return found
+    # All vectors in slabs by id, each one bucket, and every query visits all of them.
+    table = F.lit(0).alias("table")
+    slab = F.pmod(F.xxhash64("vec_id"), F.lit(slabs))
+    all_held = vectors.select("*", table, slab.alias("slab"), F.lit(0).cast("long").alias("bucket"))
+    all_asked = short.select(
+        "*",
+        table,
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slabs - 1).cast("long"))).alias("slab"),
+        F.array(F.lit(0).cast("long")).alias("codes"),
     )
-    # A vector found in several tables counts once; each slab gave k rows a query at most.
-    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    ranked = once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    rest = _compared(all_held, all_asked, k, slab_rows, block_rows)
+    return found.join(short, "query_id", "left_anti").unionByName(rest)
 
 
 RANKED = T.StructType(

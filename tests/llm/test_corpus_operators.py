@@ -363,19 +363,32 @@ def test_neighbours_of_awkward_vectors(spark):
         (54, [float("inf"), 1.0]), (None, same), (60, [1.5, 3.0]), (61, [-1.0, -2.0]),
     ]
     vectors = spark.createDataFrame([(*r, "x", "x") for r in rows], schema)
-    found = neighbours.nearest(vectors, vectors.filter("vec_id in (1, 20, 50, 51)"), 5, slab_rows=8)
+    queries = vectors.filter("vec_id in (1, 20, 50, 51)")
+    found = neighbours.nearest(vectors, queries, 5, slab_rows=8, block_rows=1)
     by_query = {}
     for r in found.orderBy("query_id", "rank").collect():
         by_query.setdefault(r.query_id, []).append((r.vec_id, r.score))
     assert by_query.keys() == {1, 20}
     assert by_query[20] == [(60, 7.5), (1, 5.0), (2, 5.0), (3, 5.0), (4, 5.0)]
     assert by_query[1] == [(60, 7.5), (2, 5.0), (3, 5.0), (4, 5.0), (5, 5.0)]
+    # The buckets about a query far from all others are empty; it is compared with all.
+    far = neighbours.nearest(vectors, vectors.filter("vec_id = 61"), 41, slab_rows=8)
+    assert [(r.rank, r.vec_id, r.score) for r in far.orderBy("rank").collect()] == [
+        *((i, i, -5.0) for i in range(1, 41)), (41, 60, -7.5)
+    ]
     none = vectors.filter("vec_id = 51")
     assert neighbours.nearest(none, none, 5).count() == 0
     few = vectors.filter("vec_id in (1, 2)")
-    assert [(r.query_id, r.vec_id) for r in neighbours.nearest(few, few, 5).collect()] in (
-        [(1, 2), (2, 1)], [(2, 1), (1, 2)],
-    )
+    pairs = neighbours.nearest(few, few, 5).collect()
+    assert sorted((r.query_id, r.vec_id) for r in pairs) == [(1, 2), (2, 1)]
+
+
+def test_neighbours_in_parts_and_blocks_are_the_same(spark):
+    vectors = spark.read.parquet(f"{SF}/embeddings.parquet")
+    queries = vectors.filter("vec_id % 20 = 0")
+    whole = neighbours.nearest(vectors, queries, 20, mass=1.0)
+    cut_up = neighbours.nearest(vectors, queries, 20, mass=1.0, slab_rows=50, block_rows=3)
+    assert sorted(whole.collect()) == sorted(cut_up.collect())
 
 
 def test_the_pipeline_is_its_stages(spark, documents):
