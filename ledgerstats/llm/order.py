@@ -57,6 +57,8 @@ def sequences(docs: DataFrame, files: tuple[str, str, str], length: int = LENGTH
 
     def make():
         own = tokenizer(*files)
+        if own.size > np.iinfo(ID).max + 1:
+            raise ValueError(f"ids of {own.size} tokens do not fit {ID_BYTES} bytes")
 
         def columns(batch):
             doc_ids, numbers, parts = [], [], []

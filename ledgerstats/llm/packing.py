@@ -28,8 +28,10 @@ CAPACITY = 2048
 END = 0  # the id that ends every document
 #: Rounds of prices and the step they fall by.
 ROUNDS, STEP = 60, 0.15
-#: Parts that the pieces of one length are numbered in, per shuffle partition.
+#: Parts that the pieces of one length are numbered in: so many per shuffle partition, and
+#: more where all pieces, of which most may have one length, are more than this a part.
 PARTS_PER_PARTITION = 4
+PART_ROWS = 1 << 20
 
 PIECES = T.StructType(
     [
@@ -225,9 +227,11 @@ def pack(docs: DataFrame, files: tuple[str, str, str], capacity: int = CAPACITY)
     `files` are the vocabulary as JSON, its ranks, and the pattern of words.
     """
     spark = docs.sparkSession
-    parts = PARTS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cut_up = written(pieces(docs, files, capacity), "pieces")
+    least = PARTS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, math.ceil(cut_up.count() / PART_ROWS))
     part = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts)).cast("int")
-    cut_up = written(pieces(docs, files, capacity).withColumn("part", part), "pieces")
+    cut_up = cut_up.withColumn("part", part)
     counted = written(cut_up.groupBy("length", "part").agg(F.count("*").alias("n")), "counts")
     # One row a length: at most `capacity`.
     histogram = counted.groupBy("length").agg(F.sum("n").alias("n")).collect()

@@ -25,6 +25,7 @@ class ByteTokenizer:
 
         self.whole = Tokenizer.from_file(json_file)
         self.whole.encode_special_tokens = True  # in a text their names are plain text
+        self.size = self.whole.get_vocab_size()
         with open(ranks_file, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding(
