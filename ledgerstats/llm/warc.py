@@ -35,6 +35,8 @@ LEAST_BYTES = 100
 ARCHIVE_BYTES = 64 * 1024**2
 #: Rows and bytes the dictionary is trained on, at most, and its size.
 DICTIONARY_ROWS, DICTIONARY_SAMPLE, DICTIONARY_BYTES = 512, 8 * 1024**2, 32 * 1024
+#: Bytes read at a time; what follows a frame among them is copied when it ends.
+READ_BYTES = 1 << 16
 DATE = "1970-01-01T00:00:00Z"  # the pages carry no date
 
 
@@ -88,7 +90,7 @@ def read_frames(stream) -> Iterator[bytes]:
 
     def more(n: int) -> bytes:
         nonlocal pending
-        while len(pending) < n and (got := stream.read(1 << 20)):
+        while len(pending) < n and (got := stream.read(READ_BYTES)):
             pending += got
         return pending
 
@@ -281,7 +283,7 @@ def read_archives(archives: DataFrame) -> DataFrame:
             for archive in batch.to_pylist():
                 system, path = fs.FileSystem.from_uri(archive["path"])
                 rows, held, n = [], 0, 0
-                with system.open_input_stream(path) as stream:
+                with system.open_input_stream(path, buffer_size=1 << 20) as stream:
                     for data in read_frames(stream):
                         rows.append(page_of(data))
                         held, n = held + len(data), n + 1
