@@ -41,6 +41,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt_to_tasks(files: DataFrame, per_task: int) -> DataFrame:
+    """A list of files, a row each, in about so many a task, but in as many tasks as run at
+    once where there are fewer. The number is stated, as adaptive execution would else merge
+    the short list into one task, which would read all files."""
+    n, at_once = files.count(), files.sparkSession.sparkContext.defaultParallelism
+    return files.repartition(max(1, min(n, at_once), -(-n // per_task)))
+
+
 def ship(spark: SparkSession) -> None:
     """Give this package to the executors, once an application."""
     context = spark.sparkContext

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
-from ledgerstats.llm.common import by_batch, new_folder, ship, written
+from ledgerstats.llm.common import by_batch, dealt_to_tasks, new_folder, ship, written
 from ledgerstats.llm.tokens import tokenizer
 
 #: Ids of a sequence at most; a record has a count before them and is filled up with zeros.
@@ -36,6 +36,8 @@ ID, ID_BYTES = "<u2", 2
 STRIDE = ID_BYTES * (LENGTH + 1)
 #: Bytes of text for a shard, which give 20 to 30 MB of records.
 SHARD_BYTES = 32 * 1024**2
+#: Shards that a task reads, about, where there are many.
+SHARDS_PER_TASK = 8
 ROUNDS = 6
 #: A value is permuted again at most so often. Fewer values lie outside than one side of the
 #: domain has, so for small domains this always suffices; for others the chance that it does
@@ -258,4 +260,5 @@ def read_from(slots: DataFrame, first: int = 0) -> DataFrame:
                         yield pa.RecordBatch.from_arrays(columns, schema=schema)
                         slot += len(ids)
 
+    shards = dealt_to_tasks(written(shards, "shards-to-read"), SHARDS_PER_TASK)
     return shards.mapInArrow(run, RECORDS)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ledgerstats.llm.common import new_folder, ship, written
+from ledgerstats.llm.common import dealt_to_tasks, new_folder, ship, written
 
 # Fixed values of the formats.
 DICTIONARY_FRAME = 0x184D2A5D
@@ -33,6 +33,8 @@ NEEDED = {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"}
 LEAST_BYTES = 100
 #: An archive is closed once it has so many bytes.
 ARCHIVE_BYTES = 64 * 1024**2
+#: Archives that a task reads, about, where there are many.
+ARCHIVES_PER_TASK = 4
 #: Rows and bytes the dictionary is trained on, at most, and its size.
 DICTIONARY_ROWS, DICTIONARY_SAMPLE, DICTIONARY_BYTES = 512, 8 * 1024**2, 32 * 1024
 #: Bytes read at a time; what follows a frame among them is copied when it ends.
@@ -295,8 +297,7 @@ def read_archives(archives: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     ship(archives.sparkSession)
-    listed = archives.select("path", "records")
-    spread = listed.repartition("path")
+    spread = dealt_to_tasks(archives.select("path", "records"), ARCHIVES_PER_TASK)
     return spread.mapInArrow(run, RECORDS).select(*names)
 
 

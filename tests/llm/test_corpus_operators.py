@@ -312,6 +312,16 @@ def test_frames_are_read_one_at_a_time_with_the_dictionary():
     assert list(found) == [b"one", b"two" * 50]
 
 
+def test_archives_are_read_in_several_tasks(spark, tmp_path):
+    pages = spark.range(60).selectExpr("id AS page_id", "'u' AS url", "repeat(id, 200) AS html")
+    archives = warc.write_archives(pages.repartition(3), f"file://{tmp_path}", archive_bytes=2000)
+    assert archives.count() > 3
+    parts = warc.read_archives(archives).select("page_id", F.spark_partition_id().alias("part"))
+    rows = parts.collect()
+    assert sorted(r.page_id for r in rows) == list(range(60))
+    assert len({r.part for r in rows}) > 1
+
+
 def test_broken_archives_are_refused():
     whole = archive()
     for data in (whole[:-3], whole + b"junk", whole[:5], whole + b"x"):
