@@ -16,6 +16,9 @@ from ledgerstats.llm.packing import pack
 from ledgerstats.llm.passages import remove_repeats
 from ledgerstats.llm.queries import byte_bpe
 
+#: The stage's near copies are those from this similarity on, in hundredths; op5 has its own.
+NEAR_PERCENT = 80
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or that two languages fit alike, go."""
@@ -24,7 +27,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
-    return without_near_duplicates(docs)
+    return without_near_duplicates(docs, percent=NEAR_PERCENT)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,6 +13,8 @@ between documents that share a bucket is lost, and pairs are never rows.
 from __future__ import annotations
 
 import hashlib
+import math
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -27,17 +29,27 @@ from ledgerstats.llm.shingles import combined, shingle_set
 WIDTH = 5
 #: Documents are linked from this similarity on, in hundredths.
 PERCENT = 85
-#: At similarity 0.85 the bins of at least one of the bands agree but for 3 in 10 million.
-BANDS, ROWS = 32, 6
-BINS = BANDS * ROWS
+#: The chance at most that no band of two sets agrees in all its bins at the least similarity.
+MISS = 3e-7
 #: Shingles of the members of a block, about, where a bucket is compared in blocks.
 BLOCK_SHINGLES = 1 << 19
 #: Shingles whose counts in two members are multiplied at a time.
 COLUMNS = 1 << 12
 
-_EDGES = np.array([(i << 64) // BINS for i in range(BINS)], dtype=np.uint64)
-_ORDERS = np.stack([np.random.default_rng(i).permutation(BINS) for i in range(BINS)])
-_BAND = np.arange(BANDS)
+
+def shape(percent: int) -> tuple[int, int]:
+    """Bands, and bins of each, for links from `percent` on: 32 of 6 at 85, 38 of 5 at 80."""
+    rows = 6 if percent >= 85 else 5
+    differ = max(1 - (percent / 100) ** rows, MISS)
+    return math.ceil(math.log(MISS) / math.log(differ)), rows
+
+
+@lru_cache
+def _bins(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where each of n bins begins, and whom it borrows from in turn."""
+    edges = np.array([(i << 64) // n for i in range(n)], dtype=np.uint64)
+    return edges, np.stack([np.random.default_rng(i).permutation(n) for i in range(n)])
+
 
 SKETCHES = T.StructType(
     [
@@ -55,24 +67,29 @@ SETS = T.StructType(
 )
 
 
-def sketch(shingles: np.ndarray) -> np.ndarray:
-    """The smallest hash of each bin, empty bins filled from others."""
-    at = np.searchsorted(shingles, _EDGES)
+def sketch(shingles: np.ndarray, n: int) -> np.ndarray:
+    """The smallest hash of each of n bins, empty bins filled from others."""
+    edges, borrowed = _bins(n)
+    at = np.searchsorted(shingles, edges)
     filled = np.diff(np.append(at, len(shingles))) > 0
     values = shingles[np.minimum(at, len(shingles) - 1)]
     empty = np.flatnonzero(~filled)
     if len(empty):
-        orders = _ORDERS[empty]
+        orders = borrowed[empty]
         lender = orders[np.arange(len(empty)), filled[orders].argmax(axis=1)]
         values[empty] = values[lender]
     return values
 
 
-def band_keys(shingles: np.ndarray) -> np.ndarray:
-    return combined(sketch(shingles).reshape(BANDS, ROWS), _BAND).view(np.int64)
+def band_keys(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    bands, rows = shape(percent)
+    bins = sketch(shingles, bands * rows).reshape(bands, rows)
+    return combined(bins, np.arange(bands)).view(np.int64)
 
 
-def sketches(docs: DataFrame, text: str = "text", width: int = WIDTH) -> DataFrame:
+def sketches(
+    docs: DataFrame, text: str = "text", width: int = WIDTH, percent: int = PERCENT
+) -> DataFrame:
     """Set size, digest of the set and bucket keys of every whole text."""
 
     def make():
@@ -81,7 +98,7 @@ def sketches(docs: DataFrame, text: str = "text", width: int = WIDTH) -> DataFra
             if not len(shingles):
                 return 0, None, None
             digest = hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
-            return len(shingles), digest, band_keys(shingles)
+            return len(shingles), digest, band_keys(shingles, percent)
 
         def columns(batch):
             rows = [one(x.as_py()) for x in batch.column(1)]
@@ -252,7 +269,7 @@ def near_duplicates(
     and it is kept. Further columns are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text)
-    drawn = written(sketches(docs, text, width), "sketches")
+    drawn = written(sketches(docs, text, width, percent), "sketches")
     own = drawn.filter(F.col("doc_id").isNotNull() & F.col("digest").isNotNull())
     # Equal digests have equal bands, so any of them will do.
     classes = written(
@@ -274,7 +291,9 @@ def near_duplicates(
     )
 
 
-def without_near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
+def without_near_duplicates(
+    docs: DataFrame, text: str = "text", percent: int = PERCENT
+) -> DataFrame:
     """The rows of one document of each group, with all their columns."""
-    gone = near_duplicates(docs, text).filter(~F.col("kept")).select("doc_id").distinct()
+    gone = near_duplicates(docs, text, percent=percent).filter(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

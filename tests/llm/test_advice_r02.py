@@ -1,0 +1,39 @@
+"""Where the operators did less than the whole job."""
+
+from __future__ import annotations
+
+import corpus_pipeline
+import numpy as np
+import pytest
+
+from ledgerstats.llm import neardup
+from tests.llm.conftest import SF
+from tests.llm.test_corpus_operators import plain_shingles
+
+
+def plain_firsts(texts, percent):
+    """The least id of each component, from all pairs of sets."""
+    sets, label = {i: plain_shingles(t) for i, t in texts.items()}, {i: i for i in texts}
+    for a in texts:
+        for b in texts:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                low, high = sorted((label[a], label[b]))
+                label = {i: low if x == high else x for i, x in label.items()}
+    return set(label.values())
+
+
+def test_the_near_duplicate_stage_links_from_80_on(spark, documents):
+    texts = dict(documents.select("doc_id", "text").collect())
+    found = dict(corpus_pipeline.STAGES)["near_duplicate"](spark, documents, SF).collect()
+    assert {r.doc_id for r in found} == plain_firsts(texts, 80)
+    assert plain_firsts(texts, 80) < plain_firsts(texts, 85)
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_bands_miss_few_pairs_at_the_least_similarity(percent):
+    bands, rows = neardup.shape(percent)
+    assert (1 - (percent / 100) ** rows) ** bands <= 3e-7
+    sets = [np.sort(np.random.default_rng(i).integers(0, 2**64, 300, np.uint64)) for i in (1, 2)]
+    assert len(neardup.band_keys(sets[0], percent)) == bands
+    assert not set(neardup.band_keys(sets[0], percent)) & set(neardup.band_keys(sets[1], percent))
