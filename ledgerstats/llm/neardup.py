@@ -33,6 +33,10 @@ PERCENT = 85
 MISS = 3e-7
 #: Shingles of the members of a block, about, where a bucket is compared in blocks.
 BLOCK_SHINGLES = 1 << 19
+#: And members of a block: those of two blocks meet in matrices of their number squared.
+BLOCK_MEMBERS = 1 << 11
+#: Rows of such a matrix that are compared at a time.
+SLAB = 1 << 8
 #: Shingles whose counts in two members are multiplied at a time.
 COLUMNS = 1 << 12
 
@@ -144,13 +148,13 @@ def common(sets: list[np.ndarray]) -> np.ndarray:
     owner, column = owner[shared[element]], column[shared[element]]
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
-    total = np.diag([len(x) for x in sets]).astype(np.float64)
-    np.fill_diagonal(total, 0)
+    total = np.zeros((len(sets), len(sets)), np.int32)
     for at in range(0, int(shared.sum()), COLUMNS):
         first, last = np.searchsorted(column, [at, at + COLUMNS])
         held = np.zeros((len(sets), COLUMNS), np.float32)
         held[owner[first:last], column[first:last] - at] = 1
-        total += held @ held.T
+        for row in range(0, len(sets), SLAB):
+            total[row : row + SLAB] += (held[row : row + SLAB] @ held.T).astype(np.int32)
     return total
 
 
@@ -158,11 +162,17 @@ def linking(ids: np.ndarray, names: np.ndarray, sets: list[np.ndarray], percent:
     """Pairs of ids, fewer than there are members, that tie together all members which links
     between different components tie together."""
     both, sizes = common(sets), np.array([len(x) for x in sets])
-    similar = 100 * both >= percent * (sizes[:, None] + sizes[None] - both)
-    similar &= names[:, None] != names[None]
+    similar = np.empty(both.shape, bool)
+    slabs = [slice(at, at + SLAB) for at in range(0, len(ids), SLAB)]
+    for rows in slabs:
+        shared = both[rows].astype(np.int64)
+        similar[rows] = 100 * shared >= percent * (sizes[rows, None] + sizes[None] - shared)
+        similar[rows] &= names[rows, None] != names[None]
+    del both
     label = np.arange(len(ids))
     while True:
-        least = np.where(similar, label[None], len(ids)).min(axis=1)
+        least = [np.where(similar[rows], label, len(ids)).min(axis=1) for rows in slabs]
+        least = np.concatenate(least)
         after = np.minimum(label, least)
         if (after == label).all():
             break
@@ -174,20 +184,20 @@ def linking(ids: np.ndarray, names: np.ndarray, sets: list[np.ndarray], percent:
 PAIRS = T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType())])
 
 
-def compared_in_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """What links different components of (bucket, doc_id, component) within a bucket.
+def dealt_to_blocks(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """The members of each bucket with their sets, for each two blocks (low, high) that meet.
 
-    A bucket whose sets are too much for one task is dealt out to blocks, and each two blocks
-    meet in a task.
+    A bucket whose sets or members are too many for one task has several blocks.
     """
     sized = members.join(sets, "doc_id").withColumn("size", F.size("shingles").cast("long"))
+    loads = F.sum("size") / F.lit(BLOCK_SHINGLES), F.count("*") / F.lit(BLOCK_MEMBERS)
     blocks = (
         members.join(sets.select("doc_id", F.size("shingles").alias("size")), "doc_id")
         .groupBy("bucket")
-        .agg(F.ceil(F.sum("size") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks"))
+        .agg(F.greatest(*[F.ceil(x) for x in loads]).cast("int").alias("blocks"))
     )
     own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    dealt = (
+    return (
         sized.join(blocks, "bucket")
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -195,6 +205,11 @@ def compared_in_blocks(members: DataFrame, sets: DataFrame, percent: int) -> Dat
         .withColumn("high", F.greatest("own", "other"))
     )
 
+
+def compared_in_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """What links different components of (bucket, doc_id, component) within a bucket, each
+    two of its blocks compared in a task."""
+
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("doc_id")
         found = linking(
@@ -206,12 +221,16 @@ def compared_in_blocks(members: DataFrame, sets: DataFrame, percent: int) -> Dat
         return pd.DataFrame({"u": found[0], "v": found[1]})
 
     ship(members.sparkSession)
-    return dealt.groupBy("bucket", "low", "high").applyInPandas(compare, PAIRS).distinct()
+    dealt = dealt_to_blocks(members, sets).groupBy("bucket", "low", "high")
+    return dealt.applyInPandas(compare, PAIRS).distinct()
 
 
 def near_links(docs: DataFrame, classes: DataFrame, text: str, width: int, percent: int):
     """(node, component) over the documents of `classes` that are linked with others."""
-    keys = classes.select("doc_id", F.explode("bands").alias("bucket"))
+    # Two different sets have n of n + 1 shingles in common at most, n those of the smaller.
+    # So a set below this size is near no other one.
+    able = classes.filter(F.lit(100) * F.col("n_shingles") >= percent * (F.col("n_shingles") + 1))
+    keys = able.select("doc_id", F.explode("bands").alias("bucket"))
     shared = (
         keys.groupBy("bucket")
         .agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n"))
@@ -273,7 +292,11 @@ def near_duplicates(
     own = drawn.filter(F.col("doc_id").isNotNull() & F.col("digest").isNotNull())
     # Equal digests have equal bands, so any of them will do.
     classes = written(
-        own.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")),
+        own.groupBy("digest").agg(
+            F.min("doc_id").alias("doc_id"),
+            F.first("n_shingles").alias("n_shingles"),
+            F.first("bands").alias("bands"),
+        ),
         "classes",
     )
     found = near_links(docs, classes, text, width, percent)

@@ -37,3 +37,51 @@ def test_bands_miss_few_pairs_at_the_least_similarity(percent):
     sets = [np.sort(np.random.default_rng(i).integers(0, 2**64, 300, np.uint64)) for i in (1, 2)]
     assert len(neardup.band_keys(sets[0], percent)) == bands
     assert not set(neardup.band_keys(sets[0], percent)) & set(neardup.band_keys(sets[1], percent))
+
+
+def test_blocks_have_a_bounded_number_of_members(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK_MEMBERS", 20)
+    members = spark.range(400).selectExpr("1L AS bucket", "id AS doc_id", "id AS component")
+    sets = members.selectExpr("doc_id", "array(-1L, doc_id) AS shingles")
+    sizes = neardup.dealt_to_blocks(members, sets).groupBy("low", "high").count().collect()
+    assert len(sizes) == 20 * 21 // 2
+    assert max(r["count"] for r in sizes) <= 4 * 20
+
+
+def test_links_in_blocks_of_few_members_are_those_of_all_pairs(frame, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK_MEMBERS", 12)
+    draw, original, texts = np.random.default_rng(8), [f"w{i}" for i in range(60)], {}
+    for i in range(80):
+        edited = list(original)
+        for place in draw.choice(60, draw.integers(1, 4), replace=False):
+            edited[place] = f"edit{draw.integers(0, 30)}"
+        texts[i] = " ".join(edited)
+    found = neardup.near_duplicates(frame(list(texts.items()))).filter("kept").collect()
+    assert len(plain_firsts(texts, 85)) not in (1, 80)
+    assert {r.doc_id for r in found} == plain_firsts(texts, 85)
+
+
+def test_sets_too_small_to_be_near_any_other_have_no_buckets(frame, monkeypatch):
+    counts, write = {}, neardup.written
+
+    def counted(df, name):
+        rows = write(df, name)
+        counts.setdefault(name, rows.count())
+        return rows
+
+    monkeypatch.setattr(neardup, "written", counted)
+    short = [(i, f"the same five words begin{i}") for i in range(300)]
+    short += [(1000 + i, f"five words {i} the same opening of all") for i in range(300)]
+    found = neardup.near_duplicates(frame(short)).collect()
+    assert all(r.kept for r in found) and counts["members"] == 0
+
+
+@pytest.mark.parametrize("percent, words", [(85, 10), (80, 8)])
+def test_the_smallest_sets_that_can_be_near_are_linked(frame, percent, words):
+    """Six shingles of seven, four of five; one fewer is not enough."""
+    rows = []
+    for n in (words, words - 1):
+        text = " ".join(f"n{n}w{i}" for i in range(n + 1))
+        rows += [(10 * n, text), (10 * n + 1, text.rsplit(" ", 1)[0])]
+    found = neardup.near_duplicates(frame(rows), percent=percent).collect()
+    assert {r.doc_id for r in found if not r.kept} == {10 * words + 1}
