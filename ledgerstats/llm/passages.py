@@ -1,10 +1,10 @@
 """Passages that occur before: lines and sentences by digest, all but the first removed.
 
 A text is divided into units, lines and within them sentences. The words of each, in lower
-case, have a digest; the earliest unit of a digest, by doc_id and place, stays. The other ones
-go where a run of them, one after the other but for short ones, has enough words, so that a
-sentence of a few words that two authors happened to write is left alone. What goes is given
-with its place in the original text.
+case, have a digest; the earliest unit of a digest, by doc_id and place, stays. The other lines
+go. The other sentences inside lines go where a run of them, one after the other but for short
+ones, has enough words, so that a sentence of a few words that two authors happened to write is
+left alone. What goes is given with its place in the original text.
 """
 
 from __future__ import annotations
@@ -21,9 +21,9 @@ from ledgerstats.llm.common import by_batch, written
 
 #: Units of fewer words are neither compared nor end a run.
 LEAST_UNIT = 4
-#: A run of repeated units goes if it has so many words.
+#: A run of repeated units goes if it has so many words, or if it is a whole line.
 LEAST_RUN = 13
-BREAK = re.compile(r"[.!?][^\S\n]+|\n+")
+BREAK = re.compile(r"[.!?][^\S\n]++(?!\n)|\n+")
 
 UNITS = T.StructType(
     [
@@ -36,12 +36,19 @@ UNITS = T.StructType(
 
 
 def units(text: str) -> list[tuple[int, int, list[str]]]:
-    """Start, end and words of every unit; ends include the white space that follows."""
-    found, at = [], 0
+    """Start, end and words of every sentence, and after its last one, of every line of
+    several; ends include the white space that follows. A line of one sentence is that
+    sentence. The start of a line of several is given as its complement, ~start."""
+    found, line, at = [], [], 0
     for end in [*(m.end() for m in BREAK.finditer(text)), len(text)]:
         if end > at:
-            found.append((at, end, text[at:end].lower().split()))
+            line.append((at, end, text[at:end].lower().split()))
             at = end
+        if line and (end == len(text) or text[end - 1] == "\n"):
+            found += line
+            if len(line) > 1:
+                found.append((~line[0][0], end, [w for _, _, words in line for w in words]))
+            line = []
     return found
 
 
@@ -87,30 +94,42 @@ def repeated_units(docs: DataFrame) -> DataFrame:
 
 
 def removed_spans(text: str, starts: list[int]) -> list[tuple[int, int]]:
-    """The spans, merged where they meet, of the runs that are long enough of units that begin
-    at `starts` or stand earlier in the text too."""
-    again, seen, spans, run, words = set(starts), set(), [], [], 0
+    """The spans, merged where they meet, of the lines and of the runs that are long enough of
+    units that begin at `starts` or stand earlier in the text too."""
+    again, seen, gone, run, words = set(starts), set(), [], [], 0
 
     def close():
         if words >= LEAST_RUN:
-            for start, end in run:
-                if spans and spans[-1][1] == start:
-                    spans[-1] = (spans[-1][0], end)
-                else:
-                    spans.append((start, end))
+            gone.extend(run)
 
     for start, end, unit in units(text):
         if len(unit) < LEAST_UNIT:
             continue
         normal = " ".join(unit)
-        if start in again or normal in seen:
+        repeated = start in again or normal in seen
+        seen.add(normal)
+        if start < 0:  # a line of several sentences, which were here before
+            if repeated:
+                gone.append((~start, end))
+            continue
+        whole = (start == 0 or text[start - 1] == "\n") and (
+            end == len(text) or text[end - 1] == "\n"
+        )
+        if repeated:
+            if whole:
+                gone.append((start, end))
             run.append((start, end))
             words += len(unit)
         else:
             close()
             run, words = [], 0
-        seen.add(normal)
     close()
+    spans = []
+    for start, end in sorted(gone):
+        if spans and spans[-1][1] >= start:
+            spans[-1] = (spans[-1][0], max(spans[-1][1], end))
+        else:
+            spans.append((start, end))
     return spans
 
 

@@ -6,7 +6,7 @@ import corpus_pipeline
 import numpy as np
 import pytest
 
-from ledgerstats.llm import neardup
+from ledgerstats.llm import neardup, passages
 from tests.llm.conftest import SF
 from tests.llm.test_corpus_operators import plain_shingles
 
@@ -85,3 +85,31 @@ def test_the_smallest_sets_that_can_be_near_are_linked(frame, percent, words):
         rows += [(10 * n, text), (10 * n + 1, text.rsplit(" ", 1)[0])]
     found = neardup.near_duplicates(frame(rows), percent=percent).collect()
     assert {r.doc_id for r in found if not r.kept} == {10 * words + 1}
+
+
+def test_repeated_lines_go_at_any_length_and_sentences_inside_lines_by_the_run_rule(frame):
+    several = "Yes. It is here, as before. No."
+    rows = [
+        (1, f"A short line that others have\nOf the first one alone, this.\n{several} \nEnd one here now"),
+        (2, f"Of the second one alone.\nA short  LINE that others have\n\n{several}\nEnd two here now"),
+        (3, "Its own words begin. It is here, as before. Its own words end.\nNo. It is here, as before."),
+        (4, f"A line twice in one text\nand another between them\nA line twice in one text\n{several}"),
+    ]
+    found = {r.doc_id: r for r in passages.remove_repeats(frame(rows)).collect()}
+    assert found[1].text == rows[0][1]
+    assert found[2].text == "Of the second one alone.\nEnd two here now"
+    assert found[3].text == rows[2][1]  # no whole line of it was there before
+    assert found[4].text == "A line twice in one text\nand another between them\n"
+    for doc_id, text in rows:
+        spans = [(x.start, x.end) for x in found[doc_id].removed_spans]
+        assert passages.without(text, spans) == found[doc_id].text
+
+
+def test_no_repeated_line_of_four_words_stays(spark, documents):
+    rows = passages.remove_repeats(documents).select("doc_id", "text").collect()
+    lines = {}
+    for doc_id, text in rows:
+        for line in (text or "").lower().split("\n"):
+            if len(line.split()) >= passages.LEAST_UNIT:
+                lines.setdefault(" ".join(line.split()), []).append(doc_id)
+    assert lines and all(len(ids) == 1 for ids in lines.values())
