@@ -318,5 +318,6 @@ def without_near_duplicates(
     docs: DataFrame, text: str = "text", percent: int = PERCENT
 ) -> DataFrame:
     """The rows of one document of each group, with all their columns."""
-    gone = near_duplicates(docs, text, percent=percent).filter(~F.col("kept")).select("doc_id").distinct()
+    found = near_duplicates(docs, text, percent=percent)
+    gone = found.filter(~F.col("kept")).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

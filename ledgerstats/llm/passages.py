@@ -23,7 +23,14 @@ from ledgerstats.llm.common import by_batch, written
 LEAST_UNIT = 4
 #: A run of repeated units goes if it has so many words, or if it is a whole line.
 LEAST_RUN = 13
-BREAK = re.compile(r"[.!?][^\S\n]++(?!\n)|\n+")
+BREAK = re.compile(r"(?:[.!?][^\S\n]++|[。！？｡][^\S\n]*+)(?!\n)|\n+")
+#: Scripts without spaces: two characters count as a word in Chinese and Japanese, four in the
+#: alphabets of Thai, Lao, Burmese and Khmer.
+_CHINESE = r"\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_THAI = r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff"
+UNSPACED = re.compile(f"[{_CHINESE}{_THAI}]")
+PIECES = re.compile(f"[{_CHINESE}]{{1,2}}|[{_THAI}]{{1,4}}|[^\\s{_CHINESE}{_THAI}]+")
+
 
 UNITS = T.StructType(
     [
@@ -35,6 +42,14 @@ UNITS = T.StructType(
 )
 
 
+def words_of(unit: str) -> list[str]:
+    """The words in lower case; of scripts without spaces, pieces about as long as words."""
+    lowered = unit.lower()
+    if lowered.isascii() or not UNSPACED.search(lowered):
+        return lowered.split()
+    return PIECES.findall(lowered)
+
+
 def units(text: str) -> list[tuple[int, int, list[str]]]:
     """Start, end and words of every sentence, and after its last one, of every line of
     several; ends include the white space that follows. A line of one sentence is that
@@ -42,7 +57,7 @@ def units(text: str) -> list[tuple[int, int, list[str]]]:
     found, line, at = [], [], 0
     for end in [*(m.end() for m in BREAK.finditer(text)), len(text)]:
         if end > at:
-            line.append((at, end, text[at:end].lower().split()))
+            line.append((at, end, words_of(text[at:end])))
             at = end
         if line and (end == len(text) or text[end - 1] == "\n"):
             found += line

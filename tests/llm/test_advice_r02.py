@@ -113,3 +113,16 @@ def test_no_repeated_line_of_four_words_stays(spark, documents):
             if len(line.split()) >= passages.LEAST_UNIT:
                 lines.setdefault(" ".join(line.split()), []).append(doc_id)
     assert lines and all(len(ids) == 1 for ids in lines.values())
+
+
+def test_repeats_in_text_without_spaces_go(frame):
+    line = "今日は天気がとても良いので公園へ行きました"
+    thai = "วันนี้อากาศดีมากเราจึงไปเดินเล่นที่สวนสาธารณะ"
+    passage = "".join(f"第{i}段落は他の人が書き写した文章の一部です。" for i in "一二三")
+    rows = [
+        (1, f"{line}\n最初の著者だけが書いた文です。{passage}そして続きます。\n{thai}"),
+        (2, f"別の著者が書いた文です。{passage}終わりも別です。\n{line}\n{thai}\n最後の行は別です"),
+    ]
+    found = {r.doc_id: r for r in passages.remove_repeats(frame(rows)).collect()}
+    assert found[1].text == rows[0][1]
+    assert found[2].text == "別の著者が書いた文です。終わりも別です。\n最後の行は別です"
