@@ -24,8 +24,11 @@ from ledgerstats.llm.common import by_batch
 BINS = 1 << 15
 LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
-#: The classifiers are fitted on about so many labelled texts at most.
-SAMPLE = 12_000
+#: The classifiers are fitted on about so many labelled texts of each language at most, and on
+#: all of a language that has fewer.
+SAMPLE = 3_000
+#: Hashes of ids are compared with shares in so many steps.
+STEPS = 1 << 53
 #: Up to so many languages have all distinct splits as positions; more get random ones.
 EXHAUSTIVE = 6
 #: A text is ambiguous if its second codeword has at least this share of the first's score.
@@ -95,6 +98,17 @@ def held_out():
     return F.coalesce(third, F.lit(False))
 
 
+def sampled(rows: DataFrame, sample: int) -> DataFrame:
+    """About `sample` rows of each language that has more, all of the others."""
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    steps = {x: int(STEPS * (sample / n)) for x, n in counts.items() if n > sample}
+    if not steps:
+        return rows
+    limits = F.create_map(*[F.lit(x) for pair in steps.items() for x in pair])
+    limit = F.coalesce(F.try_element_at(limits, F.col("lang")), F.lit(STEPS))
+    return rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(STEPS)) < limit)
+
+
 COUNTS = T.StructType(
     [
         T.StructField("lang", T.StringType()),
@@ -113,15 +127,13 @@ MARGINS = T.StructType(
 
 
 def fit_language_model(docs: DataFrame, sample: int = SAMPLE) -> LanguageModel:
-    """Fit the classifiers on whole texts of about `sample` labelled rows, by hash of the id.
+    """Fit the classifiers on whole texts of about `sample` labelled rows of each language.
 
-    Trigram counts are summed on Spark; the driver gets one row a language and bin at most.
+    Rows are chosen by a hash of the id. A language's share follows from its own count over all
+    documents, so the languages that are learned are the same at any size of the table. Trigram
+    counts are summed on Spark; the driver gets one row a language and bin at most.
     """
-    rows = labelled(docs)
-    total = docs.filter(F.col("lang").isNotNull() & ~held_out()).count()
-    if total > sample:
-        rows = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < sample * 2**20 // total)
-    rows = rows.select("text", "lang")
+    rows = sampled(labelled(docs), sample).select("text", "lang")
 
     def count():
         def columns(batch):

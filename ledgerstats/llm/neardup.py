@@ -221,8 +221,11 @@ def compared_in_blocks(members: DataFrame, sets: DataFrame, percent: int) -> Dat
         return pd.DataFrame({"u": found[0], "v": found[1]})
 
     ship(members.sparkSession)
-    dealt = dealt_to_blocks(members, sets).groupBy("bucket", "low", "high")
-    return dealt.applyInPandas(compare, PAIRS).distinct()
+    # Rows dealt by bucket would also serve a grouping by its three columns, and a bucket's
+    # blocks would all run in one task; they do not serve one by a column of its own.
+    blocks = dealt_to_blocks(members, sets).withColumn("pair", F.struct("bucket", "low", "high"))
+    blocks = blocks.select("pair", "doc_id", "component", "shingles")
+    return blocks.groupBy("pair").applyInPandas(compare, PAIRS).distinct()
 
 
 def near_links(docs: DataFrame, classes: DataFrame, text: str, width: int, percent: int):

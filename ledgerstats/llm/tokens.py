@@ -2,7 +2,8 @@
 
 Texts of common characters go through tiktoken with the same vocabulary, which is several
 times as fast and gives the same ids. Texts with other characters, where the two libraries'
-patterns could differ, or with very long words go through tokenizers itself.
+patterns could differ, with the name of an added token or with very long words go through
+tokenizers itself.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ class ByteTokenizer:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(json_file)
-        self.whole.encode_special_tokens = True  # in a text their names are plain text
+        added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.size = self.whole.get_vocab_size()
         with open(ranks_file, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
@@ -36,7 +38,7 @@ class ByteTokenizer:
         if not text:
             return np.zeros(0, "<u4")
         longest = max(map(len, text.split()), default=0)
-        if longest > LONG_WORD or UNCOMMON.search(text):
+        if longest > LONG_WORD or UNCOMMON.search(text) or self.added and self.added.search(text):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4")
         return self.fast.encode_to_numpy(text, disallowed_special=())
 

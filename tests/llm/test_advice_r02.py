@@ -6,7 +6,7 @@ import corpus_pipeline
 import numpy as np
 import pytest
 
-from ledgerstats.llm import neardup, passages
+from ledgerstats.llm import language, neardup, passages
 from tests.llm.conftest import SF
 from tests.llm.test_corpus_operators import plain_shingles
 
@@ -126,3 +126,45 @@ def test_repeats_in_text_without_spaces_go(frame):
     found = {r.doc_id: r for r in passages.remove_repeats(frame(rows)).collect()}
     assert found[1].text == rows[0][1]
     assert found[2].text == "別の著者が書いた文です。終わりも別です。\n最後の行は別です"
+
+
+def test_blocks_of_one_bucket_are_dealt_to_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK_MEMBERS", 20)
+    members = spark.range(400).selectExpr("1L AS bucket", "id AS doc_id", "id AS component")
+    sets = members.selectExpr("doc_id", "array(-1L, doc_id) AS shingles")
+    plan = neardup.compared_in_blocks(members, sets, 85)._jdf.queryExecution().executedPlan()
+    assert "hashpartitioning(pair" in plan.toString()
+
+
+def learned(frame, sample):
+    rows = [(i, f"the words of the text {i} and the other", "en") for i in range(3000)]
+    rows += [(9000 + i, f"die wörter des textes {i} und das andere", "de") for i in range(30)]
+    rows += [(9500 + i, f"les mots du texte {i} et la suite", "fr") for i in range(3)]
+    return language.fit_language_model(frame(rows), sample)
+
+
+@pytest.mark.parametrize("sample", [1, 20, 10_000])
+def test_every_language_is_learned_however_many_rows_others_have(frame, sample):
+    model = learned(frame, sample)
+    assert {"en", "de"} <= set(model.languages) if sample > 1 else True
+    if sample == 20:
+        assert model.languages == ["de", "en", "fr"]
+        assert model.predict("the words and the text")[0] == "en"
+
+
+def test_the_sample_of_a_language_does_not_depend_on_the_others(spark):
+    rows = spark.range(1 << 20).selectExpr("id AS doc_id", "if(id < 1000, 'de', 'en') AS lang")
+    kept = dict(language.sampled(rows, 600).groupBy("lang").count().collect())
+    assert 500 < kept["de"] < 700 and 500 < kept["en"] < 700
+
+
+def test_names_of_added_tokens_are_encoded_as_the_library_does():
+    from tokenizers import Tokenizer
+
+    from ledgerstats.llm.queries import byte_bpe
+    from ledgerstats.llm.tokens import tokenizer
+
+    whole = Tokenizer.from_file(byte_bpe()[0])
+    for text in ("a <|endoftext|> b", "<|endoftext|>", "plain <|endoftext", ""):
+        expected = whole.encode(text, add_special_tokens=False).ids
+        assert tokenizer(*byte_bpe()).encode(text).tolist() == expected

@@ -31,7 +31,7 @@ def plain_shingles(text):
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
 
 
-def plain_components(texts):
+def plain_components(texts, percent=85):
     """texts: by id. All pairs of sets are compared."""
     sets, parent = {i: plain_shingles(t) for i, t in texts.items()}, {i: i for i in texts}
 
@@ -45,7 +45,7 @@ def plain_components(texts):
         for b in ids:
             if a < b and sets[a] and sets[b]:
                 both = len(sets[a] & sets[b])
-                if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+                if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                     x, y = sorted((root(a), root(b)))
                     parent[y] = x
     return {i: root(i) for i in ids}, {i: len(s) for i, s in sets.items()}
@@ -161,7 +161,6 @@ def test_repeats_of_awkward_rows(frame):
 
 def ids_of(texts):
     whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    whole.encode_special_tokens = True
     return [x.ids + [0] for x in whole.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -411,7 +410,7 @@ def test_the_pipeline_is_its_stages(spark, documents):
             assert rows.count() <= before.count()
         if name == "near_duplicate":
             texts = {r.doc_id: r.text for r in before.collect()}
-            firsts = plain_components(texts)[0]
+            firsts = plain_components(texts, corpus_pipeline.NEAR_PERCENT)[0]
             assert {r.doc_id for r in rows.collect()} == set(firsts.values())
         if name == "repeated_passages":
             cut = plain_repeats([(r.doc_id, r.text) for r in before.collect()])
