@@ -14,6 +14,9 @@ from ledgerstats.llm.order import in_training_order
 from ledgerstats.llm.packing import pack
 from ledgerstats.llm.passages import remove_repeats
 from ledgerstats.llm.pieces import piece_digests
+from ledgerstats.llm.prefixes import prefix_trie
+from ledgerstats.llm.repair import damaged, repair_digests
+from ledgerstats.llm.toxicity import toxicity
 from ledgerstats.llm.warc import archive_pages
 
 
@@ -72,6 +75,19 @@ def op10_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
     return compare_with_edits(_table(spark, directory, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, directory: str) -> DataFrame:
+    conversations = _table(spark, directory, "conversations")
+    return repair_digests(conversations, damaged(conversations))
+
+
+def op12_toxicity(spark: SparkSession, directory: str) -> DataFrame:
+    return toxicity(_table(spark, directory, "documents"), _table(spark, directory, "labels"))
+
+
+def op13_prefix_trie(spark: SparkSession, directory: str) -> DataFrame:
+    return prefix_trie(_table(spark, directory, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -85,6 +101,9 @@ QUERIES = {
         op8_warc,
         op9_licences,
         op10_fingerprints,
+        op11_conversation_repair,
+        op12_toxicity,
+        op13_prefix_trie,
     )
 }
 
@@ -132,4 +151,52 @@ ORACLES = {
             CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
         FROM r
     """,
+    # The checksum is folded bit by bit, as DuckDB has no function for it.
+    "op13_prefix_trie": r"""
+        WITH t AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), s AS (
+            SELECT conv_id, list({'role': role, 'text': text} ORDER BY place) AS own
+            FROM t GROUP BY conv_id
+        ), c AS (
+            SELECT conv_id, own, xor(list_reduce(
+                list_concat([4294967295::BIGINT], list_transform(
+                    string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                lambda a, b: list_reduce(
+                    list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                    lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 4 AS h
+            FROM s
+        ), r AS (
+            SELECT c.conv_id,
+                list_concat(coalesce(b.own[1:c.h], []), c.own[c.h + 1:]) AS seq
+            FROM c LEFT JOIN s AS b ON b.conv_id = c.conv_id - c.conv_id % 20
+        ), m AS (
+            SELECT conv_id, seq, unnest(range(0, len(seq) + 1)) AS depth FROM r
+        ), n AS (
+            SELECT seq[1:depth] AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)
+                    FILTER (len(seq) = depth), '')) AS ends_sha256
+            FROM m GROUP BY ALL
+        ), k AS (
+            SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM n
+            WHERE depth > 0 GROUP BY ALL
+        ), w AS (
+            SELECT n.*, coalesce(n_children, 0) AS n_children,
+                CASE WHEN n.depth = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(
+                    n.node[n.depth].text, '[^ 	-]+')) END AS saved
+            FROM n LEFT JOIN k ON n.node = k.node
+        ), u AS (
+            SELECT node, depth, n_children, saved, unnest(range(0, depth + 1)) AS above FROM w
+        ), b AS (
+            SELECT node[1:above] AS node, count(*) FILTER (n_children = 0) AS n_leaves,
+                sum(saved)::BIGINT AS saved_tokens
+            FROM u GROUP BY ALL
+        )
+        SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children,
+            b.n_leaves, b.saved_tokens, w.ends_sha256
+        FROM w JOIN b ON w.node = b.node
+        LEFT JOIN n AS p ON p.node = w.node[1:w.depth - 1] AND w.depth > 0
+    """,
 }
