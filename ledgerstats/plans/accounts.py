@@ -18,7 +18,7 @@ def _accounts_by_receipt(
     anyway, and a receipt named by very many accounts moves as a few partial counts.
     """
     per_receipt = (
-        inputs.table("accounts")
+        inputs.table("accounts", by=receipt_column)
         .filter(F.col(receipt_column).isNotNull())
         .groupBy(F.col(receipt_column).alias("receipt_id"))
         .agg(F.count(F.lit(1)).alias("accounts"))
@@ -27,7 +27,7 @@ def _accounts_by_receipt(
         "receipt_id", period.of("included_in_block_timestamp")
     )
     counts = (
-        receipts.join(per_receipt, "receipt_id")
+        inputs.matched(receipts, per_receipt, "receipt_id")
         .groupBy("period")
         .agg(F.sum("accounts").cast("int").alias(name))
     )

@@ -46,7 +46,7 @@ def deposit_amount(inputs: Inputs, period: Period) -> DataFrame:
         .agg(F.sum("deposit").alias("deposit"))
     )
     totals = (
-        outcomes.join(per_receipt, "receipt_id")
+        inputs.matched(outcomes, per_receipt, "receipt_id")
         .groupBy("period")
         .agg(F.sum("deposit").alias("deposit_amount"))
     )
@@ -65,7 +65,7 @@ def deposit_amount_wide(inputs: Inputs, period: Period) -> DataFrame:
         .agg(*sum_limbs(limbs))
     )
     again: list[Column] = [F.sum(name).alias(name) for name in names]
-    sums = outcomes.join(per_receipt, "receipt_id").groupBy("period").agg(*again)
+    sums = inputs.matched(outcomes, per_receipt, "receipt_id").groupBy("period").agg(*again)
     return one_row_per_period(
         with_digits(sums, len(limbs), "deposit_amount"), period, "collected_for_day"
     )

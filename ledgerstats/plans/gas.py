@@ -28,7 +28,7 @@ def _gas_per_block(inputs: Inputs, period: Period) -> DataFrame:
     blocks = inputs.between("blocks", period.from_ns, period.to_ns).select(
         "block_hash", "gas_price", period.of("block_timestamp")
     )
-    return blocks.join(per_block, "block_hash")
+    return inputs.matched(blocks, per_block, "block_hash")
 
 
 def gas_used(inputs: Inputs, period: Period) -> DataFrame:
@@ -74,7 +74,7 @@ def transactions_by_gas_burnt(inputs: Inputs, period: Period) -> DataFrame:
     )
     outcomes = inputs.table("execution_outcomes").select("receipt_id", "gas_burnt")
     gas_per_transaction = (
-        receipts.join(outcomes, "receipt_id")
+        inputs.matched(receipts, outcomes, "receipt_id")
         .groupBy("period", "transaction_hash")
         .agg(F.sum("gas_burnt").alias("gas"))
     )

@@ -108,14 +108,23 @@ def prerequisites(names: Iterable[str]) -> dict[str, set[str]]:
     return graph
 
 
-def compute(source: LedgerSource, name: str, timestamp: int | None = None) -> DataFrame:
+def compute(
+    source: LedgerSource,
+    name: str,
+    timestamp: int | None = None,
+    keys_per_filter: int | None = None,
+) -> DataFrame:
     """A statistic straight from the ledger, nothing stored: every complete period, or
-    the one that holds `timestamp`. Derived tables it reads cover every complete period."""
+    the one that holds `timestamp`. Derived tables it reads cover every complete period.
+
+    The ids of one period are dealt into shares of `keys_per_filter`, by default what the
+    session's Bloom filters hold, where they filter tables of all time.
+    """
     extent = source.extent() if STATISTICS[name].unit else None
 
     def plan(name: str, timestamp: int | None = None) -> DataFrame:
         statistic = STATISTICS[name]
-        inputs = Inputs(source, derived=plan)
+        inputs = Inputs(source, plan, timestamp is not None, keys_per_filter)
         return statistic.plan(inputs, period_for(extent, statistic.unit, timestamp))
 
     return plan(name, timestamp)

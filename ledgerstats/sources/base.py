@@ -26,12 +26,18 @@ class LedgerSource(ABC):
         self.entities_path = entities_path
         self.day_column = day_column
 
+    #: Whether the tables are stored by their join keys, so that joins on them move no rows.
+    is_laid_out = False
+
     @abstractmethod
     def stored(self, name: str) -> DataFrame:
         """A whole table as it is stored."""
 
-    def table(self, name: str) -> DataFrame:
-        """A whole table with the columns of `SOURCE_TABLES`."""
+    def table(self, name: str, by: str | None = None) -> DataFrame:
+        """A whole table with the columns of `SOURCE_TABLES`.
+
+        `by` names the column that the caller joins on; rows without it may be missing.
+        """
         return declared(name, self.stored(name))
 
     def between(self, name: str, from_ns: int, to_ns: int) -> DataFrame:

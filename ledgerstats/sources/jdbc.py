@@ -34,7 +34,7 @@ class JdbcSource(LedgerSource):
         reader = self.spark.read.format("jdbc").options(**self.options).options(**more)
         return (reader if "dbtable" in more else reader.option("dbtable", name)).load()
 
-    def table(self, name: str) -> DataFrame:
+    def table(self, name: str, by: str | None = None) -> DataFrame:
         return declared(name, self.stored(name, **self.whole_table_options(name)))
 
     def whole_table_options(self, name: str) -> dict[str, str]:

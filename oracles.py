@@ -339,3 +339,14 @@ ORACLES |= {
         )
     },
 }
+
+# The same results from a day's ids in shares, and from tables landed in buckets.
+ORACLES |= {
+    "single_day_deposit_amount_in_shares": ORACLES["single_day_deposit_amount"],
+    "single_day_new_accounts_in_shares": ORACLES["single_day_new_accounts"],
+    "single_day_gas_ranges_in_shares": ORACLES["single_day_gas_ranges"],
+    "landed_deposit_amount": ORACLES["daily_deposit_amount"],
+    "landed_deleted_accounts": ORACLES["daily_deleted_accounts_count"],
+    "landed_gas_used": ORACLES["daily_gas_used"],
+    "landed_single_day_gas_ranges": ORACLES["single_day_gas_ranges"],
+}
