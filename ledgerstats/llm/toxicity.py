@@ -59,10 +59,14 @@ FEATURES = (
 )
 
 WORD = re.compile(r"[^\W\d_]+")
-MIXED = re.compile(r"[^\W\d_]+(?:[0-9@$!*#|]+[^\W\d_]+)+|(?:\b[^\W\d_][.\-* ]){3,}[^\W\d_]\b")
+MIXED = re.compile(
+    r"\b[^\W\d_]++(?:[0-9@$!*#|]++[^\W\d_]++)+|\b(?:[^\W\d_][.\-* ]){3,}+[^\W\d_]\b"
+)
 RUNS = re.compile(r"[!?]{2,}|\.{4,}")
-STRETCHED = re.compile(r"([^\W\d_])\1\1")
 SHOUTED = re.compile(r"\b[A-Z]{3,}\b")
+CAPITALS = bytes(range(0x41, 0x5B))
+LETTER = np.zeros(256, bool)
+LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 PLAIN = str.maketrans("013457@$!|", "oieastasil", "*#.- ")
 NEAR = 6  # words
 MOST_REMEMBERED = 1 << 20
@@ -73,20 +77,35 @@ def terms_of(word: str) -> list[str]:
     return [word[:LONGEST_WORD], *(f"{word[:n]}*" for n in STEMS if len(word) >= n)]
 
 
-class Lexicon:
-    """Learned terms: kind (0 common, 1 rare) and weight of each."""
+class Lexicon(dict):
+    """What each word is, found once: (place in FEATURES of its density, weight), or None.
+
+    `terms` are the learned ones: kind (0 common, 1 rare) and weight of each.
+    """
 
     def __init__(self, terms: dict[str, tuple[int, float]]):
-        self.terms, self.found = terms, {}
+        self.terms = terms
 
-    def of(self, word: str) -> tuple[int, float] | None:
-        if word in self.found:
-            return self.found[word]
-        if len(self.found) > MOST_REMEMBERED:
-            self.found.clear()
+    def __missing__(self, word: str) -> tuple[bool, bool, tuple[int, float] | None] | None:
+        if len(self) > MOST_REMEMBERED:
+            self.clear()
         hits = [self.terms[t] for t in terms_of(word) if t in self.terms]
-        best = self.found[word] = min(hits, key=lambda x: (x[0], -x[1]), default=None)
-        return best
+        best = min(hits, key=lambda x: (x[0], -x[1]), default=None)
+        seed, person = word in SEED, word in SECOND_PERSON
+        found = (seed, person, best) if seed or person or best else None
+        self[word] = found
+        return found
+
+    def is_insult(self, word: str) -> bool:
+        found = self[word]
+        return found is not None and (found[0] or found[2] is not None)
+
+
+def stretched(data: bytes) -> int:
+    """Places where an ASCII letter stands for the third time in a row or more."""
+    b = np.frombuffer(data, np.uint8)
+    same = b[1:] == b[:-1]
+    return int((same[1:] & same[:-1] & LETTER[b[2:]]).sum()) if len(b) > 2 else 0
 
 
 def features(text: str, lexicon: Lexicon) -> list[float]:
@@ -94,12 +113,12 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
     words = WORD.findall(text.lower())
     if not words:
         return [0.0] * len(FEATURES)
+    data = text.encode()
     hundreds, letters = len(words) / 100, sum(map(len, words))
-    of = lexicon.of
-    hits = [(i, w, x) for i, w in enumerate(words) if (x := of(w)) is not None]
-    seeds = [i for i, w in enumerate(words) if w in SEED]
-    persons = np.array([i for i, w in enumerate(words) if w in SECOND_PERSON])
-    places = np.array(sorted({i for i, _, _ in hits} | set(seeds)))
+    marked = [(i, m) for i, m in enumerate(map(lexicon.__getitem__, words)) if m is not None]
+    hits = [(words[i], best) for i, (_, _, best) in marked if best is not None]
+    persons = np.array([i for i, (_, person, _) in marked if person])
+    places = np.array([i for i, (seed, _, best) in marked if seed or best is not None])
     near = 0.0
     if len(persons) and len(places):
         after = np.searchsorted(persons, places)
@@ -107,24 +126,22 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
         left = np.abs(places - persons[np.maximum(after - 1, 0)])
         near = float((np.minimum(left, right) <= NEAR).mean())
     mixed = [m.lower().translate(PLAIN) for m in MIXED.findall(text)]
-    disguised = sum(m in SEED or of(m) is not None for m in mixed)
-    capitals = sum(map(str.isupper, text)) if not text.islower() else 0
     return [
-        len(seeds) / hundreds,
-        sum(x[0] == 0 for _, _, x in hits) / hundreds,
-        sum(x[0] == 1 for _, _, x in hits) / hundreds,
-        log1p(len({w for _, w, _ in hits})),
-        max((x[1] for _, _, x in hits), default=0.0),
+        sum(seed for _, (seed, _, _) in marked) / hundreds,
+        sum(kind == 0 for _, (kind, _) in hits) / hundreds,
+        sum(kind == 1 for _, (kind, _) in hits) / hundreds,
+        log1p(len({w for w, _ in hits})),
+        max((weight for _, (_, weight) in hits), default=0.0),
         len(persons) / hundreds,
         near,
-        capitals / letters,
+        (len(data) - len(data.translate(None, CAPITALS))) / letters,
         len(SHOUTED.findall(text)) / hundreds,
         text.count("!") / hundreds,
         text.count("?") / hundreds,
         len(RUNS.findall(text)) / hundreds,
         len(mixed) / hundreds,
-        disguised / hundreds,
-        len(STRETCHED.findall(text)) / hundreds,
+        sum(map(lexicon.is_insult, mixed)) / hundreds,
+        stretched(data) / hundreds,
         log1p(len(words)),
     ]
 
