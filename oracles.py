@@ -349,4 +349,6 @@ ORACLES |= {
     "landed_deleted_accounts": ORACLES["daily_deleted_accounts_count"],
     "landed_gas_used": ORACLES["daily_gas_used"],
     "landed_single_day_gas_ranges": ORACLES["single_day_gas_ranges"],
+    "stored_accounts_added": ORACLES["daily_accounts_added_per_ecosystem_entity"],
+    "two_writers_first_write": ORACLES["insert_only_merge"],
 }

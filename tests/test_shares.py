@@ -107,6 +107,7 @@ def test_all_periods_and_small_days_are_joined_whole(spark):
 
 def test_a_filter_is_built_however_large_the_day_is_estimated(spark, tables):
     creation = f"{BLOOM}creationSideThreshold"
-    small = {**SMALL_FILTER, creation: "1KB", "spark.sql.optimizer.runtimeFilter.number.threshold": "2"}
+    most = "spark.sql.optimizer.runtimeFilter.number.threshold"
+    small = {**SMALL_FILTER, creation: "1KB", most: "2"}
     filters, _, n = joined(spark, tables, 16, **small)
     assert filters == 16 and n == tables[0].count()
