@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerstats.functions.widesum import limbs_of, product_limbs, sum_limbs, with_digits
@@ -31,25 +31,30 @@ def _gas_per_block(inputs: Inputs, period: Period) -> DataFrame:
     return inputs.matched(blocks, per_block, "block_hash")
 
 
+def _total_gas() -> Column:
+    return F.sum("block_gas").cast("decimal(30,0)").alias("gas_used")
+
+
+def _total_fees() -> Column:
+    fee = (F.col("block_gas") * F.col("gas_price")).cast("decimal(38,0)")
+    return F.sum(fee).alias("tokens_spent_on_fees")
+
+
 def gas_used(inputs: Inputs, period: Period) -> DataFrame:
-    totals = (
-        _gas_per_block(inputs, period)
-        .groupBy("period")
-        .agg(F.sum("block_gas").cast("decimal(30,0)").alias("gas_used"))
-    )
+    totals = _gas_per_block(inputs, period).groupBy("period").agg(_total_gas())
     return one_row_per_period(totals, period, "collected_for_day")
 
 
 def tokens_spent_on_fees(inputs: Inputs, period: Period) -> DataFrame:
-    fee = (F.col("block_gas") * F.col("gas_price")).cast("decimal(38,0)")
-    totals = (
-        _gas_per_block(inputs, period)
-        .groupBy("period")
-        .agg(F.sum(fee).alias("tokens_spent_on_fees"))
-    )
+    totals = _gas_per_block(inputs, period).groupBy("period").agg(_total_fees())
     return one_row_per_period(totals, period, "collected_for_day")
 
 
+def gas_and_fees(inputs: Inputs, period: Period) -> DataFrame:
+    """(period, gas_used, tokens_spent_on_fees) from one join."""
+    return _gas_per_block(inputs, period).groupBy("period").agg(_total_gas(), _total_fees())
+
+
 def tokens_spent_on_fees_wide(inputs: Inputs, period: Period) -> DataFrame:
     """The same as text, exact also beyond 38 digits."""
     gas = limbs_of(F.col("block_gas").cast("string"), 4)

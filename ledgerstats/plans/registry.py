@@ -7,7 +7,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from ledgerstats.operators.periods import Extent, Period, all_periods, one_period
+from ledgerstats.operators.periods import (
+    Extent,
+    Period,
+    all_periods,
+    one_period,
+    one_row_per_period,
+)
 from ledgerstats.plans import accounts, activity, contracts, deposits, entities, gas
 from ledgerstats.plans.inputs import Inputs
 from ledgerstats.schemas import DERIVED_TABLES, DerivedTable
@@ -28,6 +34,43 @@ class Statistic:
         return DERIVED_TABLES[self.name]
 
 
+@dataclass(frozen=True)
+class Shared:
+    """Statistics of one row a day that come from one join: `plan` gives, by period, a column
+    for each, named as its table's. Tables laid out by their join keys move nothing for a join,
+    so what would have to leave such a layout is not shared there."""
+
+    plan: Callable[[Inputs, Period], DataFrame]
+    statistics: tuple[str, ...]
+    leaves_layout: bool = False
+
+    def member(self, values: DataFrame, name: str, period: Period) -> DataFrame:
+        """One statistic's rows from what the plan has given."""
+        column = DERIVED_TABLES[name].columns[-1]
+        return one_row_per_period(values.select("period", column), period, "collected_for_day")
+
+
+SHARED: tuple[Shared, ...] = (
+    Shared(gas.gas_and_fees, ("daily_gas_used", "daily_tokens_spent_on_fees")),
+    Shared(
+        accounts.new_and_deleted_accounts,
+        ("daily_deleted_accounts_count", "daily_new_accounts_count"),
+        leaves_layout=True,
+    ),
+)
+
+
+def shared_by(names: Iterable[str], source: LedgerSource) -> list[Shared]:
+    """The joins that two or more of the named statistics have in common."""
+    wanted = set(names)
+    return [
+        shared
+        for shared in SHARED
+        if len(wanted.intersection(shared.statistics)) > 1
+        and not (shared.leaves_layout and source.is_laid_out)
+    ]
+
+
 _OUTGOING = "daily_outgoing_transactions_per_account_count"
 _PER_CONTRACT = "daily_receipts_per_contract_count"
 

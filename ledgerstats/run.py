@@ -3,13 +3,26 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Iterable
 from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from graphlib import TopologicalSorter
+from threading import Lock
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from ledgerstats import files
 from ledgerstats.functions.calendar import DAY_SECONDS
+from ledgerstats.operators.periods import Period
 from ledgerstats.plans.inputs import Inputs
-from ledgerstats.plans.registry import STATISTICS, period_for, prerequisites
+from ledgerstats.plans.registry import (
+    STATISTICS,
+    Shared,
+    period_for,
+    prerequisites,
+    shared_by,
+)
 from ledgerstats.session import configure
 from ledgerstats.sources.base import LedgerSource
 from ledgerstats.store import Store
@@ -25,6 +38,32 @@ class DependencyFailed(RuntimeError):
     pass
 
 
+class _Once:
+    """A shared join's result, written by whichever of its statistics comes first."""
+
+    def __init__(self, spark: SparkSession, root: str, shared: Shared, inputs: Inputs):
+        self.spark, self.shared, self.inputs = spark, shared, inputs
+        self.path = f"{root}/_shared/{uuid.uuid4().hex}"
+        self.lock = Lock()
+        self.schema: StructType | None = None
+        self.failed = False
+
+    def values(self, period: Period) -> DataFrame | None:
+        """(period, a column for each statistic); none where it cannot be computed for all."""
+        with self.lock:
+            if self.schema is None and not self.failed:
+                try:
+                    rows = self.shared.plan(self.inputs, period)
+                    rows.hint("rebalance").write.parquet(self.path)
+                    self.schema = rows.schema
+                except Exception:
+                    self.failed = True
+            return None if self.failed else self.spark.read.schema(self.schema).parquet(self.path)
+
+    def clear(self) -> None:
+        files.delete(self.spark, self.path)
+
+
 def run(
     source: LedgerSource,
     store: Store,
@@ -41,7 +80,9 @@ def run(
 
     Up to `at_once` statistics that do not depend on each other are submitted side by
     side, so that the last tasks of one do not leave the cluster idle. A statistic that
-    fails does not stop the others. Returns the names computed, in the order they were;
+    fails does not stop the others. Statistics that need the same join get it computed once:
+    what it gives, a row a period, is written and each takes its column; where that fails they
+    are computed one by one. Returns the names computed, in the order they were;
     raises `StatisticsFailed` at the end if any failed.
     """
     if rebuild and timestamp is not None:
@@ -58,6 +99,15 @@ def run(
     inputs = Inputs(source, store.read, one_period=not rebuild)
     done: list[str] = []
     errors: dict[str, BaseException] = {}
+    joins: dict[str, _Once] = {}
+    for shared in shared_by(prerequisites(names), source):
+        once = _Once(source.spark, store.root, shared, inputs)
+        joins.update({name: once for name in shared.statistics})
+
+    def plan_of(name: str, period: Period | None) -> DataFrame:
+        if name in joins and (values := joins[name].values(period)) is not None:
+            return joins[name].shared.member(values, name, period)
+        return STATISTICS[name].plan(inputs, period)
 
     def compute_and_store(name: str) -> None:
         statistic = STATISTICS[name]
@@ -68,9 +118,9 @@ def run(
         if rebuild and statistic.rollup_of in done:
             store.replace(name, statistic.rollup(store.read(statistic.rollup_of), period))
         elif rebuild or period is None:
-            store.replace(name, statistic.plan(inputs, period))
+            store.replace(name, plan_of(name, period))
         elif not period.is_empty:
-            store.insert(name, statistic.plan(inputs, period), period)
+            store.insert(name, plan_of(name, period), period)
 
     waiting = TopologicalSorter(prerequisites(names))
     waiting.prepare()
@@ -86,6 +136,8 @@ def run(
                 else:
                     errors[name] = error
                 waiting.done(name)
+    for join in joins.values():
+        join.clear()
     if errors:
         raise StatisticsFailed(errors)
     return done

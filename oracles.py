@@ -349,6 +349,11 @@ ORACLES |= {
     "landed_deleted_accounts": ORACLES["daily_deleted_accounts_count"],
     "landed_gas_used": ORACLES["daily_gas_used"],
     "landed_single_day_gas_ranges": ORACLES["single_day_gas_ranges"],
+    # Two statistics of one join: days on which it has rows.
+    "shared_gas_and_fees": f"""SELECT * FROM ({ORACLES["daily_gas_used"]})
+JOIN ({ORACLES["daily_tokens_spent_on_fees"]}) USING (collected_for_day)""",
+    "shared_new_and_deleted_accounts": f"""SELECT * FROM ({ORACLES["daily_new_accounts_count"]})
+JOIN ({ORACLES["daily_deleted_accounts_count"]}) USING (collected_for_day)""",
     "stored_accounts_added": ORACLES["daily_accounts_added_per_ecosystem_entity"],
     "two_writers_first_write": ORACLES["insert_only_merge"],
 }
