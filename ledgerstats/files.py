@@ -101,3 +101,31 @@ def changed(spark: SparkSession, path: str) -> float | None:
         return fs.getFileStatus(p).getModificationTime() / 1000
     except Py4JJavaError as error:
         return _none_if_absent(error)
+
+
+def parquet_bounds(spark: SparkSession, path: str, column: str) -> list[tuple[int, int]] | None:
+    """Least and greatest value of a whole-number column in each row group that has one, from
+    the file's footer; none where the footer does not tell."""
+    parquet = spark._jvm.org.apache.parquet.hadoop
+    _, p = _open(spark, path)
+    source = parquet.util.HadoopInputFile.fromPath(p, spark._jsc.hadoopConfiguration())
+    reader = parquet.ParquetFileReader.open(source)
+    try:
+        found = []
+        for block in reader.getFooter().getBlocks():
+            chunks = [c for c in block.getColumns() if c.getPath().toDotString() == column]
+            if len(chunks) != 1:
+                return None
+            known = chunks[0].getStatistics()
+            if known is None or not known.hasNonNullValue():
+                if known is None or known.getNumNulls() != chunks[0].getValueCount():
+                    return None
+                continue  # the row group has no value, but nulls
+            least, most = known.genericGetMin(), known.genericGetMax()
+            plain = chunks[0].getPrimitiveType().getLogicalTypeAnnotation() is None
+            if not plain or not isinstance(least, int):
+                return None
+            found.append((least, most))
+        return found
+    finally:
+        reader.close()

@@ -20,6 +20,8 @@ from ledgerstats.functions.calendar import (
     period_of,
     period_start,
 )
+from ledgerstats.functions.wide import WIDE
+from ledgerstats.functions.wide import zero as wide_zero
 
 # Fixed value: a period is complete once the ledger is this far past its end, and
 # receipts up to this long after a day still belong to the day's transactions.
@@ -110,7 +112,11 @@ def one_row_per_period(values: DataFrame, period: Period, name: str) -> DataFram
     ledger's life: that is the bound on what is broadcast here.
     """
     (value,) = [field for field in values.schema.fields if field.name != "period"]
-    zero = F.lit("0" if value.dataType.simpleString() == "string" else 0).cast(value.dataType)
+    if value.dataType == WIDE:
+        zero = wide_zero()
+    else:
+        text = value.dataType.simpleString() == "string"
+        zero = F.lit("0" if text else 0).cast(value.dataType)
     return (
         spine(values.sparkSession, period, name)
         .join(F.broadcast(values), "period", "left")

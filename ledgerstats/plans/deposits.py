@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerstats.functions.jsonargs import DEPOSIT_FIELD
+from ledgerstats.functions.wide import from_digits
 from ledgerstats.functions.widesum import limbs_of, sum_limbs, with_digits
 from ledgerstats.operators.periods import Period, one_row_per_period
 from ledgerstats.plans.inputs import Inputs
@@ -69,3 +70,10 @@ def deposit_amount_wide(inputs: Inputs, period: Period) -> DataFrame:
     return one_row_per_period(
         with_digits(sums, len(limbs), "deposit_amount"), period, "collected_for_day"
     )
+
+
+def deposit_amount_stored(inputs: Inputs, period: Period) -> DataFrame:
+    """The same as a number of up to fifty digits, which a store declares and compares."""
+    return deposit_amount_wide(inputs, period).withColumn(
+        "deposit_amount", from_digits(F.col("deposit_amount"))
+    )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerstats.functions.wide import from_digits
 from ledgerstats.functions.widesum import limbs_of, product_limbs, sum_limbs, with_digits
 from ledgerstats.operators.periods import Period, one_row_per_period, rows_per_period
 from ledgerstats.plans.inputs import Inputs
@@ -65,6 +66,13 @@ def tokens_spent_on_fees_wide(inputs: Inputs, period: Period) -> DataFrame:
     return one_row_per_period(totals, period, "collected_for_day")
 
 
+def tokens_spent_on_fees_stored(inputs: Inputs, period: Period) -> DataFrame:
+    """The same as a number of up to fifty digits, which a store declares and compares."""
+    return tokens_spent_on_fees_wide(inputs, period).withColumn(
+        "tokens_spent_on_fees", from_digits(F.col("tokens_spent_on_fees"))
+    )
+
+
 def transactions_by_gas_burnt(inputs: Inputs, period: Period) -> DataFrame:
     """Transactions per gas range, a range named by its upper end.
 

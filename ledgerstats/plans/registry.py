@@ -136,6 +136,20 @@ STATISTICS: dict[str, Statistic] = {
 }
 
 
+#: Statistics beside the nineteen, for sums past 38 digits. A run computes them by name.
+WIDE_STATISTICS: dict[str, Statistic] = {
+    statistic.name: statistic
+    for statistic in [
+        Statistic("daily_deposit_amount_wide", deposits.deposit_amount_stored),
+        Statistic("daily_tokens_spent_on_fees_wide", gas.tokens_spent_on_fees_stored),
+    ]
+}
+
+
+def statistic_of(name: str) -> Statistic:
+    return STATISTICS[name] if name in STATISTICS else WIDE_STATISTICS[name]
+
+
 def prerequisites(names: Iterable[str]) -> dict[str, set[str]]:
     """The named statistics and all they depend on, each with those to compute before it."""
     graph: dict[str, set[str]] = {}
@@ -143,11 +157,11 @@ def prerequisites(names: Iterable[str]) -> dict[str, set[str]]:
     while waiting:
         name = waiting.pop()
         if name not in graph:
-            graph[name] = set(STATISTICS[name].depends_on)
+            graph[name] = set(statistic_of(name).depends_on)
             waiting.extend(graph[name])
     for name, before in graph.items():
-        if STATISTICS[name].rollup_of in graph:
-            before.add(STATISTICS[name].rollup_of)
+        if statistic_of(name).rollup_of in graph:
+            before.add(statistic_of(name).rollup_of)
     return graph
 
 
@@ -163,10 +177,10 @@ def compute(
     The ids of one period are dealt into shares of `keys_per_filter`, by default what the
     session's Bloom filters hold, where they filter tables of all time.
     """
-    extent = source.extent() if STATISTICS[name].unit else None
+    extent = source.extent() if statistic_of(name).unit else None
 
     def plan(name: str, timestamp: int | None = None) -> DataFrame:
-        statistic = STATISTICS[name]
+        statistic = statistic_of(name)
         inputs = Inputs(source, plan, timestamp is not None, keys_per_filter)
         return statistic.plan(inputs, period_for(extent, statistic.unit, timestamp))
 

@@ -18,10 +18,12 @@ from ledgerstats.operators.periods import Period
 from ledgerstats.plans.inputs import Inputs
 from ledgerstats.plans.registry import (
     STATISTICS,
+    WIDE_STATISTICS,
     Shared,
     period_for,
     prerequisites,
     shared_by,
+    statistic_of,
 )
 from ledgerstats.session import configure
 from ledgerstats.sources.base import LedgerSource
@@ -72,7 +74,7 @@ def run(
     rebuild: bool = False,
     at_once: int = 4,
 ) -> list[str]:
-    """Compute and store statistics and what they depend on; all of them by default.
+    """Compute and store statistics and what they depend on; all nineteen by default.
 
     `timestamp` (epoch seconds) names the day and week to compute, by default
     yesterday's. A period that is not complete yet stores nothing, and stored rows never
@@ -88,7 +90,7 @@ def run(
     if rebuild and timestamp is not None:
         raise ValueError("a rebuild covers all periods: it takes no timestamp")
     names = list(STATISTICS if statistics is None else statistics)
-    unknown = sorted(set(names) - STATISTICS.keys())
+    unknown = sorted(set(names) - STATISTICS.keys() - WIDE_STATISTICS.keys())
     if unknown:
         raise ValueError("unknown statistics: " + ", ".join(unknown))
     if not rebuild and timestamp is None:
@@ -107,10 +109,10 @@ def run(
     def plan_of(name: str, period: Period | None) -> DataFrame:
         if name in joins and (values := joins[name].values(period)) is not None:
             return joins[name].shared.member(values, name, period)
-        return STATISTICS[name].plan(inputs, period)
+        return statistic_of(name).plan(inputs, period)
 
     def compute_and_store(name: str) -> None:
-        statistic = STATISTICS[name]
+        statistic = statistic_of(name)
         failed = [other for other in statistic.depends_on if other in errors]
         if failed:
             raise DependencyFailed(", ".join(failed))

@@ -10,6 +10,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+from ledgerstats.functions.wide import WIDE
+
 GAS = T.DecimalType(20, 0)
 GAS_TOTAL = T.DecimalType(30, 0)
 BALANCE = T.DecimalType(38, 0)
@@ -153,6 +155,9 @@ DERIVED_TABLES: dict[str, DerivedTable] = {
         key=("collected_for_week",),
         dated_by="collected_for_week",
     ),
+    # Sums of up to fifty digits.
+    "daily_deposit_amount_wide": _per_day("deposit_amount", WIDE),
+    "daily_tokens_spent_on_fees_wide": _per_day("tokens_spent_on_fees", WIDE),
     "near_ecosystem_entities": DerivedTable(
         T.StructType(
             ENTITY_RECORD.fields

@@ -8,13 +8,17 @@ from pyspark.sql import types as T
 
 from ledgerstats import files
 from ledgerstats.functions.calendar import DAY_NS
-from ledgerstats.operators.periods import between
+from ledgerstats.operators.periods import Extent, between
 from ledgerstats.schemas import SOURCE_TABLES, TIME_COLUMN
 from ledgerstats.sources.base import LedgerSource, declared
 
 EPOCH = dt.date(1970, 1, 1)
 
 
+#: Footers that the driver reads at most; past that many files the column is scanned.
+MOST_FOOTERS = 64
+
+
 class ParquetSource(LedgerSource):
     """Tables landed as `<root>/<table>`, read with their declared columns."""
 
@@ -44,6 +48,33 @@ class ParquetSource(LedgerSource):
             rows = rows.filter(F.col(self.day_column).between(first, last))
         return declared(name, rows)
 
+    def extent(self) -> Extent | None:
+        """From the minima and maxima in the files' footers, of the first and last day directory
+        where there are some: no job runs. Where a file lacks them, where the time is no whole
+        number, or where there are very many files, the column is scanned."""
+        path, time = f"{self.root}/blocks", TIME_COLUMN["blocks"]
+        days = self._day_directories("blocks")
+        paths = [f"{path}/{day}" for day in sorted({days[0], days[-1]})] if days else [path]
+        names = [
+            f"{folder}/{name}"
+            for folder in paths
+            for name in files.children(self.spark, folder)
+            if not name.startswith(("_", "."))
+        ]
+        if len(names) > MOST_FOOTERS or not all(name.endswith(".parquet") for name in names):
+            return super().extent()
+        bounds = [files.parquet_bounds(self.spark, name, time) for name in names]
+        if None in bounds or not (known := [x for found in bounds for x in found]):
+            return super().extent()
+        return Extent(min(x[0] for x in known), max(x[1] for x in known))
+
+    def _day_directories(self, name: str) -> list[str]:
+        if not self.day_column:
+            return []
+        prefix = f"{self.day_column}="
+        children = files.children(self.spark, f"{self.root}/{name}")
+        return [c for c in children if c.startswith(prefix) and c[len(prefix) :][:1].isdigit()]
+
     def _days(self, name: str, from_ns: int, to_ns: int) -> list[str]:
         """Day directories within the bounds; none where all or no days are."""
         if not self.day_column or name not in TIME_COLUMN:

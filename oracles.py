@@ -354,6 +354,8 @@ ORACLES |= {
 JOIN ({ORACLES["daily_tokens_spent_on_fees"]}) USING (collected_for_day)""",
     "shared_new_and_deleted_accounts": f"""SELECT * FROM ({ORACLES["daily_new_accounts_count"]})
 JOIN ({ORACLES["daily_deleted_accounts_count"]}) USING (collected_for_day)""",
+    "stored_deposit_amount_wide": ORACLES["daily_deposit_amount_wide"],
+    "stored_tokens_spent_on_fees_wide": ORACLES["daily_tokens_spent_on_fees_wide"],
     "stored_accounts_added": ORACLES["daily_accounts_added_per_ecosystem_entity"],
     "two_writers_first_write": ORACLES["insert_only_merge"],
 }

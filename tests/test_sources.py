@@ -99,3 +99,47 @@ def test_times_landed_as_wide_decimals(spark, tmp_path):
     day = landed.between("blocks", *bounds)
     assert day.count() == source.between("blocks", *bounds).count()
     assert "GreaterThanOrEqual(block_timestamp" in day._jdf.queryExecution().toString()
+
+
+def by_day(source, name, root):
+    time = F.expr(f"date_from_unix_date(CAST({TIME_COLUMN[name]} div {DAY_NS} AS INT))")
+    source.table(name).withColumn("day", time).write.partitionBy("day").parquet(f"{root}/{name}")
+
+
+@pytest.mark.parametrize("day_column", [None, "day"])
+def test_the_extent_comes_from_the_files_statistics(spark, tmp_path, monkeypatch, day_column):
+    source = EventLedger(spark, SMALL)
+    if day_column:
+        by_day(source, "blocks", tmp_path)
+    else:
+        source.table("blocks").repartition(3).write.parquet(f"{tmp_path}/blocks")
+    landed = ParquetSource(spark, str(tmp_path), day_column=day_column)
+    with monkeypatch.context() as m:
+        m.setattr("ledgerstats.sources.base.ledger_extent", None)  # no scan
+        found = landed.extent()
+    assert found == landed.extent() == source.extent()
+    # Past a number of files the column is scanned.
+    monkeypatch.setattr("ledgerstats.sources.parquet.MOST_FOOTERS", 0)
+    assert landed.extent() == source.extent()
+
+
+def test_files_without_statistics_are_scanned(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    source = EventLedger(spark, SMALL)
+    times = [r.block_timestamp for r in source.table("blocks").collect()]
+    (tmp_path / "blocks").mkdir()
+    table = pa.table(
+        {
+            "block_hash": pa.array([str(t) for t in times]),
+            "block_timestamp": pa.array(times, pa.int64()),
+            "gas_price": pa.array([None] * len(times), pa.decimal128(38, 0)),
+        }
+    )
+    pq.write_table(table, tmp_path / "blocks" / "a.parquet", write_statistics=False)
+    pq.write_table(table.slice(0, 0), tmp_path / "blocks" / "b.parquet")
+    assert ParquetSource(spark, str(tmp_path)).extent() == source.extent()
+    (tmp_path / "empty" / "blocks").mkdir(parents=True)
+    pq.write_table(table.slice(0, 0), tmp_path / "empty" / "blocks" / "b.parquet")
+    assert ParquetSource(spark, str(tmp_path / "empty")).extent() is None
