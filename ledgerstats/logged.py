@@ -104,18 +104,25 @@ class LoggedStore:
     def version(self, name: str) -> Version:
         return self._log(name).latest()
 
-    def insert(self, name: str, rows: DataFrame, period: Period | None = None) -> Inserted:
+    def insert(
+        self,
+        name: str,
+        rows: DataFrame,
+        period: Period | None = None,
+        complete: Callable[[DataFrame, Version], DataFrame] | None = None,
+    ) -> Inserted:
         """Add the rows whose key is not stored yet; the rows are unique on the key.
 
         `period` is the one the rows belong to. Repeating an insert that was cut short completes
-        it, as what was not committed is not there.
+        it, as what was not committed is not there. `complete` makes the rows to store from the
+        new ones and the version that they will follow, for values that depend on it.
         """
         log = self._log(name)
         base, retries = log.latest(), 0
         with self._staged(name, rows) as batch:
             fresh, opened = self._unseen(name, batch, base.parts, period)
             self.reached("compared")
-            part = self._write(name, fresh)
+            part = self._write(name, self._complete(name, fresh, base, complete))
         while part is not None:
             self.reached("written")
             after = log.commit(base, (*base.parts, part))
@@ -124,11 +131,15 @@ class LoggedStore:
                 return Inserted(part.rows, opened, retries)
             newest, own = log.latest(), part
             left, more = self._unseen(name, self._rows(name, (own,)), newest.since(base), period)
-            base, part = newest, self._write(name, left)
+            base = newest
+            part = self._write(name, self._complete(name, left, base, complete))
             self._delete(name, own)
             opened, retries = opened + more, retries + 1
         return Inserted(0, opened, retries)
 
+    def _complete(self, name: str, rows: DataFrame, base: Version, complete) -> DataFrame:
+        return rows if complete is None else declared(name, self.tables[name], complete(rows, base))
+
     def replace(self, name: str, rows: DataFrame) -> None:
         """Make the rows the whole table, whatever others have committed before."""
         with self._staged(name, rows) as batch:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstats.functions.jsonargs import CODE_HASH, argument
 from ledgerstats.operators.periods import Period, one_row_per_period, rows_per_period
 from ledgerstats.plans.inputs import Inputs
 
@@ -61,9 +60,9 @@ def _deploying_receipts(inputs: Inputs, period: Period) -> DataFrame:
     They are reduced to one row per receipt on the way into the join's shuffle.
     """
     deployments = (
-        inputs.between("action_receipt_actions", period.from_ns, period.to_ns)
+        inputs.actions("args_code_sha256", period=period)
         .filter(F.col("action_kind") == "DEPLOY_CONTRACT")
-        .select("receipt_id", argument(CODE_HASH).alias("code"))
+        .select("receipt_id", F.col("args_code_sha256").alias("code"))
         .groupBy("receipt_id")
         .agg(F.min("code").alias("contract_code_sha256"))
     )

@@ -5,20 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstats.functions.jsonargs import DEPOSIT_FIELD
 from ledgerstats.functions.wide import from_digits
 from ledgerstats.functions.widesum import limbs_of, sum_limbs, with_digits
 from ledgerstats.operators.periods import Period, one_row_per_period
 from ledgerstats.plans.inputs import Inputs
 
 
-def _deposits(actions: DataFrame) -> DataFrame:
-    """Deposits as text. `json_tuple` generates the column, so the arguments are parsed
-    once although the amount is both filtered on and summed."""
+def _deposits(inputs: Inputs) -> DataFrame:
+    """The deposits of all actions, as text."""
     return (
-        actions.filter(F.col("receipt_predecessor_account_id") != "system")
+        inputs.actions("args_deposit")
+        .filter(F.col("receipt_predecessor_account_id") != "system")
         .filter(F.col("action_kind").isin("FUNCTION_CALL", "TRANSFER"))
-        .select("receipt_id", F.json_tuple("args", DEPOSIT_FIELD).alias("deposit"))
+        .select("receipt_id", F.col("args_deposit").alias("deposit"))
     )
 
 
@@ -40,7 +39,7 @@ def deposit_amount(inputs: Inputs, period: Period) -> DataFrame:
     """
     outcomes = _successful(inputs, period)
     per_receipt = (
-        _deposits(inputs.table("action_receipt_actions"))
+        _deposits(inputs)
         .withColumn("deposit", F.col("deposit").cast("decimal(38,0)"))
         .filter(F.col("deposit") > 0)
         .groupBy("receipt_id")
@@ -60,7 +59,7 @@ def deposit_amount_wide(inputs: Inputs, period: Period) -> DataFrame:
     limbs = limbs_of(F.col("deposit"), 5)
     names = [f"_limb{i}" for i in range(len(limbs))]
     per_receipt = (
-        _deposits(inputs.table("action_receipt_actions"))
+        _deposits(inputs)
         .filter(F.col("deposit").isNotNull())
         .groupBy("receipt_id")
         .agg(*sum_limbs(limbs))

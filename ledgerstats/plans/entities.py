@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerstats.functions.contracts import CONTRACT_SEPARATOR, category_flags, identifier
-from ledgerstats.functions.jsonargs import PERMISSION_KIND, PERMITTED_CONTRACT, argument
 from ledgerstats.operators.firstwrite import first_per_key
 from ledgerstats.operators.periods import Period, rows_per_period
 from ledgerstats.plans.inputs import Inputs
@@ -53,11 +52,11 @@ def accounts_added(
     and adaptive execution splits a contract that many accounts gave keys.
     """
     granted = (
-        inputs.between("action_receipt_actions", period.from_ns, period.to_ns)
+        inputs.actions("args_permission_kind", "args_permitted_contract", period=period)
         .filter(F.col("action_kind") == "ADD_KEY")
-        .filter(argument(PERMISSION_KIND) == "FUNCTION_CALL")
+        .filter(F.col("args_permission_kind") == "FUNCTION_CALL")
         .groupBy(
-            argument(PERMITTED_CONTRACT).alias("contract_id"),
+            F.col("args_permitted_contract").alias("contract_id"),
             F.col("receipt_receiver_account_id").alias("account_id"),
         )
         .agg(F.min("receipt_included_in_block_timestamp").alias("added_at"))

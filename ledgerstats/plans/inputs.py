@@ -5,6 +5,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from ledgerstats.operators.periods import Period
 from ledgerstats.operators.shares import joined_by_share, shares_for
 from ledgerstats.sources.base import LedgerSource
 
@@ -24,6 +25,12 @@ class Inputs:
         """A whole table, laid out by the column `by` where the source has it so."""
         return self.source.table(name, by)
 
+    def actions(self, *arguments: str, period: Period | None = None) -> DataFrame:
+        """The receipt actions of the period, or all, with columns of `ARGUMENTS`."""
+        if period is None:
+            return self.source.actions(*arguments)
+        return self.source.actions(*arguments, from_ns=period.from_ns, to_ns=period.to_ns)
+
     def matched(self, rows: DataFrame, whole: DataFrame, key: str) -> DataFrame:
         """The period's rows joined with those of a whole table."""
         split = self.one_period and not self.source.is_laid_out

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerstats.functions.calendar import DAY_NS
+from ledgerstats.functions.jsonargs import parsed
 from ledgerstats.operators.periods import Extent, between, ledger_extent
 from ledgerstats.schemas import SOURCE_TABLES, TIME_COLUMN
 from ledgerstats.sources.entities import read_entities
@@ -50,6 +51,14 @@ class LedgerSource(ABC):
             rows = rows.filter(F.col(self.day_column).between(first, last))
         return declared(name, rows)
 
+    def actions(
+        self, *arguments: str, from_ns: int | None = None, to_ns: int | None = None
+    ) -> DataFrame:
+        """The receipt actions, of a range or all, with columns of `ARGUMENTS`."""
+        name = "action_receipt_actions"
+        rows = self.table(name) if from_ns is None else self.between(name, from_ns, to_ns)
+        return parsed(rows, arguments)
+
     def entities(self) -> DataFrame:
         """The catalogue's records in `ENTITY_RECORD` form, numbered by `_position`."""
         return read_entities(self.spark, self.entities_path)

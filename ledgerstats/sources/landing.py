@@ -3,6 +3,8 @@
 A landed table is an external catalog table below one root: partitioned by day where it has a
 time, bucketed and sorted by the column it is joined on. All of a ledger's tables have the same
 number of buckets, so a task joins one bucket of either side, whatever the tables' size.
+The values that statistics read in the JSON arguments of actions are columns beside the text,
+parsed once, when they are landed.
 Landing a period again replaces its days.
 """
 
@@ -18,11 +20,13 @@ from pyspark.sql import types as T
 
 from ledgerstats import files
 from ledgerstats.functions.calendar import DAY_NS, as_date, period_of
+from ledgerstats.functions.jsonargs import ARGUMENTS, parsed
+from ledgerstats.operators.periods import between
 from ledgerstats.schemas import SOURCE_TABLES, TIME_COLUMN
 from ledgerstats.sources.base import LedgerSource
 from ledgerstats.sources.catalog import CatalogSource
 
-DAY = "day"
+DAY, ACTIONS = "day", "action_receipt_actions"
 _OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -40,8 +44,10 @@ class Layout:
 
     @property
     def columns(self) -> list[T.StructField]:
-        fields = SOURCE_TABLES[self.of].fields
-        return [f for f in fields if not self.keyed or f.name == self.by]
+        fields = [f for f in SOURCE_TABLES[self.of].fields if not self.keyed or f.name == self.by]
+        if self.of == ACTIONS:
+            fields += [T.StructField(name, T.StringType()) for name in ARGUMENTS]
+        return fields
 
     @property
     def day_column(self) -> str | None:
@@ -108,6 +114,8 @@ def land(
             rows = source.between(layout.of, from_ns, to_ns)
         else:
             rows = source.table(layout.of)
+        if layout.of == ACTIONS:
+            rows = parsed(rows, tuple(ARGUMENTS))
         own = rows.select(*[f.name for f in layout.columns])
         _write(own, f"{database}.{name}", layout, buckets)
     return LandedSource(spark, database, source.entities_path, source.entities)
@@ -160,5 +168,19 @@ class LandedSource(CatalogSource):
                 return rows.select(*fields)
         return super().table(name, by)
 
+    def actions(
+        self, *arguments: str, from_ns: int | None = None, to_ns: int | None = None
+    ) -> DataFrame:
+        """The arguments were parsed when they were landed: the scan reads the asked ones'
+        columns and not the text."""
+        rows = self.stored(ACTIONS)
+        if from_ns is not None:
+            first, last = (
+                F.date_from_unix_date(F.lit(ns // DAY_NS)) for ns in (from_ns, to_ns - 1)
+            )
+            rows = between(rows, TIME_COLUMN[ACTIONS], from_ns, to_ns)
+            rows = rows.filter(F.col(DAY).between(first, last))
+        return rows.select(*SOURCE_TABLES[ACTIONS].fieldNames(), *arguments)
+
     def entities(self) -> DataFrame:
         return self._records() if self._records else super().entities()

@@ -356,6 +356,8 @@ JOIN ({ORACLES["daily_tokens_spent_on_fees"]}) USING (collected_for_day)""",
 JOIN ({ORACLES["daily_deleted_accounts_count"]}) USING (collected_for_day)""",
     "stored_deposit_amount_wide": ORACLES["daily_deposit_amount_wide"],
     "stored_tokens_spent_on_fees_wide": ORACLES["daily_tokens_spent_on_fees_wide"],
+    "weekly_active_accounts_from_days": ORACLES["weekly_active_accounts_count"],
+    "daily_active_contracts_from_sets": ORACLES["daily_active_contracts_count"],
     "stored_accounts_added": ORACLES["daily_accounts_added_per_ecosystem_entity"],
     "two_writers_first_write": ORACLES["insert_only_merge"],
 }

@@ -72,6 +72,22 @@ def test_statistics_of_landed_tables_are_those_of_the_ledger(spark, landed, name
     assert found == expected.orderBy(*key).collect()
 
 
+@pytest.mark.parametrize(
+    "name,column",
+    [
+        ("daily_deposit_amount", "args_deposit"),
+        ("deployed_contracts", "args_code_sha256"),
+        ("daily_accounts_added_per_ecosystem_entity", "args_permitted_contract"),
+    ],
+)
+def test_scans_read_parsed_arguments_and_not_their_text(landed, name, column):
+    text = plan(compute(landed, name))
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    read = {column for schema in schemas for column in re.findall(r"(\w+):", schema)}
+    assert column in read and "args" not in read
+    assert "json" not in text
+
+
 def test_one_day_opens_its_own_directories(landed):
     text = plan(compute(landed, "daily_new_accounts_count", DAY))
     assert re.search(r"PartitionFilters: \[[^\]]*day#\d+ >= 2024-01-04", text)
