@@ -1,10 +1,11 @@
 """Document fingerprints that add up: a multiset hash of a text's paragraphs.
 
 A paragraph is a line, divided at sentence ends so that an edit within a long line leaves the
-rest of it alone. Each has a 64-bit hash, which gives a wide vector: a sign for each of its
-64 bits, and `WIDE` further numbers below 2^32. The fingerprint is the sum of the vectors of
-all paragraphs, signs modulo 2^16 and numbers modulo 2^32. So it does not depend on the order
-of paragraphs, and those of an added or removed paragraph are added or subtracted lane by lane.
+rest of it alone. Each is hashed with several seeds, 64 bits a seed: the first gives a sign for
+each of its bits, each of the others two numbers below 2^32, so that all lanes are of the
+paragraph itself and not of one hash of it. The fingerprint is the sum of these wide vectors over
+all paragraphs, modulo 2^32. So it does not depend on the order of paragraphs, and those of an
+added or removed paragraph are added or subtracted lane by lane.
 
 The signs also tell how alike two texts are: the squared distance of two sums, by lane, is in
 expectation the number of paragraphs in one text but not in the other.
@@ -17,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 SIGNS, WIDE = 64, 8
-SIGN_MOD, WIDE_MOD = 1 << 16, 1 << 32
+#: Of each lane. Sums of signs are told apart from negative ones up to 2^31 paragraphs.
+MOD = 1 << 32
 #: Ranges of ids that documents are dealt out by, per shuffle partition.
 RANGES_PER_PARTITION = 4
 PARAGRAPHS = r"\n+|(?<=[.!?]) +"
@@ -38,78 +40,87 @@ def vector(text: Column) -> Column:
     """The fingerprint as lanes: `SIGNS` sums of signs, then `WIDE` sums of numbers."""
     zero = F.lit(0).cast("long")
 
-    def lanes(hashes: Column) -> Column:
-        signs = F.transform(
+    def signs(hashes: Column) -> Column:
+        return F.transform(
             F.sequence(F.lit(0), F.lit(SIGNS - 1)),
             lambda i: F.aggregate(
                 hashes,
                 zero,
                 lambda total, h: total + F.getbit(h, i) * 2 - 1,
-                lambda total: F.pmod(total, F.lit(SIGN_MOD)),
+                lambda total: F.pmod(total, F.lit(MOD)),
             ),
         )
-        wide = F.transform(
-            F.sequence(F.lit(1), F.lit(WIDE)),
-            lambda i: F.aggregate(
-                hashes,
-                zero,
-                lambda total, h: F.pmod(
-                    total + F.pmod(F.xxhash64(h, i), F.lit(WIDE_MOD)), F.lit(WIDE_MOD)
-                ),
-            ),
+
+    def numbers(hashes: Column) -> Column:
+        def lane(part) -> Column:
+            return F.aggregate(
+                hashes, zero, lambda total, h: F.pmod(total + part(h), F.lit(MOD))
+            )
+
+        return F.array(
+            lane(lambda h: h.bitwiseAND(F.lit(MOD - 1))),
+            lane(lambda h: F.shiftrightunsigned(h, 32)),
         )
-        return F.concat(signs, wide)
 
-    return bound(F.transform(paragraphs(text), lambda p: F.xxhash64(p)), lanes)
+    def seeded(own: Column, seed: int) -> Column:
+        # The seed comes first: the text is then hashed anew from the seed's hash on.
+        return F.transform(own, lambda p: F.xxhash64(F.lit(seed), p))
 
+    def lanes(own: Column) -> Column:
+        rest = [bound(seeded(own, seed), numbers) for seed in range(1, 1 + WIDE // 2)]
+        return F.concat(bound(seeded(own, 0), signs), *rest)
 
-def modulus(lane: Column) -> Column:
-    return F.when(lane < SIGNS, F.lit(SIGN_MOD)).otherwise(F.lit(WIDE_MOD))
+    return bound(paragraphs(text), lanes)
 
 
 def insert(lanes: Column, added: Column) -> Column:
     """The fingerprint of a text with the paragraphs of another one added."""
-    return F.transform(lanes, lambda x, i: F.pmod(x + F.get(added, i), modulus(i)))
+    return F.transform(lanes, lambda x, i: F.pmod(x + F.get(added, i), F.lit(MOD)))
 
 
 def delete(lanes: Column, removed: Column) -> Column:
     """The fingerprint of a text without the paragraphs of another one."""
-    return F.transform(lanes, lambda x, i: F.pmod(x - F.get(removed, i), modulus(i)))
+    return F.transform(lanes, lambda x, i: F.pmod(x - F.get(removed, i), F.lit(MOD)))
 
 
 def text_of(lanes: Column) -> Column:
-    """The lanes in hexadecimal: four digits a sign lane, eight a wide one."""
-    signs = F.transform(F.slice(lanes, 1, SIGNS), lambda x: F.lpad(F.lower(F.hex(x)), 4, "0"))
-    wide = F.transform(F.slice(lanes, SIGNS + 1, WIDE), lambda x: F.lpad(F.lower(F.hex(x)), 8, "0"))
-    return F.concat(F.array_join(signs, ""), F.array_join(wide, ""))
+    """The lanes in hexadecimal, eight digits each."""
+    return F.array_join(F.transform(lanes, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
 
 
 def _signed(lane: Column) -> Column:
-    return F.pmod(lane + SIGN_MOD // 2, F.lit(SIGN_MOD)) - SIGN_MOD // 2
+    return (F.pmod(lane + MOD // 2, F.lit(MOD)) - MOD // 2).cast("double")
 
 
 def likeness(left: Column, right: Column) -> Column:
     """0 to 1: one for equal fingerprints, near 0 for texts without a common paragraph."""
-    zero = F.lit(0).cast("long")
 
     def squares(lanes: Column) -> Column:
         signs = F.slice(lanes, 1, SIGNS)
-        return F.aggregate(signs, zero, lambda t, x: t + _signed(x) * _signed(x))
+        return F.aggregate(signs, F.lit(0.0), lambda t, x: t + _signed(x) * _signed(x))
 
     apart = squares(F.transform(left, lambda x, i: x - F.get(right, i)))
     sizes = squares(left) + squares(right)
-    share = F.lit(1.0) - apart.cast("double") / F.greatest(sizes, F.lit(1))
+    share = F.lit(1.0) - apart / F.greatest(sizes, F.lit(1.0))
     inside = F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0))
     return F.when(left == right, F.lit(1.0)).otherwise(inside)
 
 
+def constants(values: list[int | None], kind: str) -> Column:
+    """An array of numbers as one constant, however many: the plan holds one expression, which
+    is worked out when the plan is optimized."""
+    text = ",".join("" if x is None else str(x) for x in values)
+    return F.split(F.lit(text), ",").try_cast(f"array<{kind}>")
+
+
 def with_next(docs: DataFrame, carried: list[str], ranges: int | None = None) -> DataFrame:
     """Rows of (doc_id, body, ...) with `next_<name>` of the row after each, for each name.
 
     Rows are ordered by doc_id, null first, then body; the row after the last is the first.
     They are dealt out by ranges of ids that hold about as many rows each; a range also gets
     the first id's rows of the next range that has any. So a task sees one range at a time
-    and whole texts are shuffled once. The driver reads at most one pair of ids a range.
+    and whole texts are shuffled once. The driver reads at most one pair of ids a range, and
+    hands them back as three constants of the plan.
     """
     spark = docs.sparkSession
     n = ranges or RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -117,8 +128,8 @@ def with_next(docs: DataFrame, carried: list[str], ranges: int | None = None) ->
     docs = docs.withColumn("_key", key)
     ids = docs.select("_key")
     shares = [i / n for i in range(1, n)] or [0.5]
-    ends = sorted(set(ids.agg(F.percentile_approx("_key", shares, 100 * n)).first()[0] or [0]))
-    ends_array = F.array(*[F.lit(x).cast("long") for x in ends])
+    ends = sorted(set(ids.agg(F.percentile_approx("_key", shares, 20 * n)).first()[0] or [0]))
+    ends_array = constants(ends, "bigint")
     steps = [1 << k for k in reversed(range(len(ends).bit_length()))]
 
     def advanced(at: Column, step: Column) -> Column:
@@ -132,8 +143,8 @@ def with_next(docs: DataFrame, carried: list[str], ranges: int | None = None) ->
     held = list(first) or [0]
     before = {r: held[i - 1] for i, r in enumerate(held)}
     slots = range(len(ends) + 1)
-    firsts = F.array(*[F.lit(first.get(r)).cast("long") for r in slots])
-    befores = F.array(*[F.lit(before.get(r)).cast("int") for r in slots])
+    firsts = constants([first.get(r) for r in slots], "bigint")
+    befores = constants([before.get(r) for r in slots], "int")
     numbered = docs.withColumn("_range", number)
     own = F.struct(F.col("_range").alias("range"), F.lit(0).alias("copy"))
     guard = F.struct(F.get(befores, F.col("_range")).alias("range"), F.lit(1).alias("copy"))

@@ -36,6 +36,8 @@ ID, ID_BYTES = "<u2", 2
 STRIDE = ID_BYTES * (LENGTH + 1)
 #: Bytes of text for a shard, which give 20 to 30 MB of records.
 SHARD_BYTES = 32 * 1024**2
+#: Shards at most; of larger tables they are larger.
+MOST_SHARDS = 1 << 16
 #: Shards that a task reads, about, where there are many.
 SHARDS_PER_TASK = 8
 ROUNDS = 6
@@ -50,12 +52,13 @@ SEQUENCES = T.StructType(
         T.StructField("doc_id", T.LongType()),
         T.StructField("sequence", T.IntegerType()),
         T.StructField("ids", T.BinaryType()),
+        T.StructField("row", T.LongType()),
     ]
 )
 
 
 def sequences(docs: DataFrame, files: tuple[str, str, str], length: int = LENGTH) -> DataFrame:
-    """The ids of each whole text and an end id, cut into sequences."""
+    """The ids of each whole text and an end id, cut into sequences, with the text's row."""
 
     def make():
         own = tokenizer(*files)
@@ -63,18 +66,22 @@ def sequences(docs: DataFrame, files: tuple[str, str, str], length: int = LENGTH
             raise ValueError(f"ids of {own.size} tokens do not fit {ID_BYTES} bytes")
 
         def columns(batch):
-            doc_ids, numbers, parts = [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            doc_ids, numbers, parts, of = [], [], [], []
+            for doc_id, text, row in zip(
+                batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()
+            ):
                 ids = np.append(own.encode(text.as_py() or ""), END).astype(ID).tobytes()
                 cuts = range(0, len(ids), length * ID_BYTES)
                 doc_ids += [doc_id] * len(cuts)
+                of += [row] * len(cuts)
                 numbers += range(len(cuts))
                 parts += [ids[at : at + length * ID_BYTES] for at in cuts]
-            return {"doc_id": doc_ids, "sequence": numbers, "ids": parts}
+            return {"doc_id": doc_ids, "sequence": numbers, "ids": parts, "row": of}
 
         return columns
 
-    return by_batch(docs.select(F.col("doc_id").cast("long"), "text"), make, SEQUENCES)
+    row = F.monotonically_increasing_id().alias("row")
+    return by_batch(docs.select(F.col("doc_id").cast("long"), "text", row), make, SEQUENCES)
 
 
 def sides(n: int) -> tuple[int, int]:
@@ -144,10 +151,11 @@ def in_training_order(
 ) -> DataFrame:
     """Write all sequences to shards below `folder`; one row a sequence with its slot and place.
 
-    A null or empty text is the end id alone. Rows that repeat a doc_id are written each, next
-    to one another; rows without doc_id count as one id. Ids that span too wide a range for the
-    domain are replaced by a hash of them, and the few that then meet stand next to one
-    another too. An empty table gives no shards and no rows. Further columns are ignored. A
+    A null or empty text is the end id alone. Rows that repeat a doc_id, or have none, are
+    written each; where there are such, which may be very many of one id, every row's place
+    follows from its id and its number in the table's files, so that they spread over all
+    shards. Ids that span too wide a range for the domain are replaced by a hash of them, and
+    the few that then meet stand next to one another. An empty table gives no shards and no rows. Further columns are ignored. A
     task that is tried again writes under another name; only shards that the rows name count.
     """
     spark = docs.sparkSession
@@ -166,13 +174,17 @@ def in_training_order(
     # An id is a byte or more, so no text has more sequences than this.
     per_doc = -(-(known["longest"] + 1) // LENGTH)
     span = known["most"] - known["least"] + 2
-    if span * per_doc <= LARGEST_DOMAIN:
-        place = F.coalesce(F.col("doc_id") - known["least"] + 1, F.lit(0))
+    unique = docs.agg(F.count_distinct("doc_id")).first()[0] == known["n"]
+    if not unique:
+        span = LARGEST_DOMAIN // per_doc
+        place = F.pmod(F.xxhash64("doc_id", "row"), F.lit(span))
+    elif span * per_doc <= LARGEST_DOMAIN:
+        place = F.col("doc_id") - known["least"] + 1
     else:
         span = LARGEST_DOMAIN // per_doc
         place = F.pmod(F.xxhash64("doc_id"), F.lit(span))
     domain = span * per_doc
-    shards = max(1, -(-known["bytes"] // shard_bytes))
+    shards = min(MOST_SHARDS, max(1, -(-known["bytes"] // shard_bytes)))
     index = place.cast("long") * per_doc + F.col("sequence")
     width = F.lit(-(-domain // shards))
     numbered = sequences(docs, files).withColumn("place", permuted(index, domain, key))
@@ -215,7 +227,7 @@ def in_training_order(
             out.close()
 
     ranked = written(ranges.mapInArrow(run, RANKS), "slots")
-    # One row a shard, and a shard is `shard_bytes` of text: small beside what it numbers.
+    # One row a shard, `MOST_SHARDS` at most.
     counts = ranked.groupBy("shard").agg(F.count("*").alias("n"))
     earlier = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     begins = counts.select("shard", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("begin"))

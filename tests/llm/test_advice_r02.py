@@ -168,3 +168,24 @@ def test_names_of_added_tokens_are_encoded_as_the_library_does():
     for text in ("a <|endoftext|> b", "<|endoftext|>", "plain <|endoftext", ""):
         expected = whole.encode(text, add_special_tokens=False).ids
         assert tokenizer(*byte_bpe()).encode(text).tolist() == expected
+
+
+def test_rows_without_an_id_or_with_one_id_spread_over_the_shards(frame):
+    from ledgerstats.llm import order
+    from ledgerstats.llm.queries import byte_bpe
+
+    texts = [(None if i % 2 else 5 if i % 4 else i, f"text {i} " + "word " * 400) for i in range(400)]
+    slots = order.in_training_order(frame(texts), byte_bpe(), key=3, shard_bytes=40_000).collect()
+    assert sorted(r.slot for r in slots) == list(range(len(slots)))
+    sizes = sorted(sum(r.shard == s for r in slots) for s in {r.shard for r in slots})
+    assert len(sizes) > 15 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+
+
+def test_large_tables_have_larger_shards(frame, monkeypatch):
+    from ledgerstats.llm import order
+    from ledgerstats.llm.queries import byte_bpe
+
+    monkeypatch.setattr(order, "MOST_SHARDS", 3)
+    texts = [(i, "word " * 300) for i in range(60)]
+    slots = order.in_training_order(frame(texts), byte_bpe(), key=3, shard_bytes=1_000).collect()
+    assert len({r.shard for r in slots}) == 3

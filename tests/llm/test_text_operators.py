@@ -205,3 +205,94 @@ def test_the_next_row_crosses_ranges(spark, ranges):
     found = {r.doc_id: r.next_body for r in following}
     order = [None, *sorted(i for i in ids if i is not None)]
     assert found == {a: f"t{b}" for a, b in zip(order, order[1:] + order[:1])}
+
+
+def paragraphs_of(text):
+    parts = (p.strip(" ") for p in re.split(r"\n+|(?<=[.!?]) +", text))
+    return [p for p in parts if p]
+
+
+def rotated(x, n):
+    return (x << n | x >> (64 - n)) & M64
+
+
+M64 = 2**64 - 1
+P1, P2, P3, P4, P5 = (
+    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63,
+    0x27D4EB2F165667C5,
+)
+
+
+def mixed(h):
+    h = ((h ^ h >> 33) * P2) & M64
+    h = ((h ^ h >> 29) * P3) & M64
+    return h ^ h >> 32
+
+
+def hash_of_int(i, seed=42):
+    """xxHash64 of a four-byte whole number."""
+    h = (seed + P5 + 4) & M64
+    h ^= (i * P1) & M64
+    h = (rotated(h, 23) * P2 + P3) & M64
+    return mixed(h)
+
+
+def plain_lanes(text):
+    """The lanes from the published xxHash64, each paragraph hashed once a seed."""
+    import xxhash
+
+    lanes = [0] * (fingerprints.SIGNS + fingerprints.WIDE)
+    for p in paragraphs_of(text):
+        own = [xxhash.xxh64(p.encode(), seed=hash_of_int(i)).intdigest() for i in range(5)]
+        for bit in range(64):
+            lanes[bit] += 1 if own[0] >> bit & 1 else -1
+        for i, h in enumerate(own[1:]):
+            lanes[64 + 2 * i] += h & 0xFFFFFFFF
+            lanes[65 + 2 * i] += h >> 32
+    return [x % 2**32 for x in lanes]
+
+
+def plain_likeness(a, b):
+    if a == b:
+        return 1.0
+
+    def squares(x):
+        return sum(float((v + 2**31) % 2**32 - 2**31) ** 2 for v in x[:64])
+
+    apart = squares([x - y for x, y in zip(a, b)])
+    return min(max(1 - apart / max(squares(a) + squares(b), 1), 0), 1)
+
+
+def test_lanes_and_likeness_are_those_of_plain_code(spark, documents):
+    rows = sorted(tuple(r) for r in documents.select("doc_id", "text").collect())
+    found = {r.doc_id: r for r in QUERIES["op10_fingerprints"](spark, SF).collect()}
+    for (doc_id, text), (_, following) in zip(rows, rows[1:] + rows[:1]):
+        text, following, row = text or "", following or "", found[doc_id]
+        tail = len(text) // 4
+        own, edited, after = (
+            plain_lanes(x) for x in (text, text[: len(text) - tail] + following[:tail], following)
+        )
+        assert row.fingerprint == "".join(f"{x:08x}" for x in own)
+        assert row.edited_fingerprint == "".join(f"{x:08x}" for x in edited)
+        assert row.near_edited == pytest.approx(plain_likeness(own, edited))
+        assert row.near_next == pytest.approx(plain_likeness(own, after))
+
+
+@pytest.mark.parametrize("n", [32_768, 49_152, 65_536])
+def test_very_many_equal_paragraphs_do_not_wrap(spark, n):
+    whole, part, none = ("same line\n" * m for m in (n, n * 3 // 4, 0))
+    a, b, c = (fingerprint_of(spark, x) for x in (whole, part, none))
+    row = spark.createDataFrame([(a, b, c)], "a array<long>, b array<long>, c array<long>")
+    near, far = row.select(
+        fingerprints.likeness(F.col("a"), F.col("b")), fingerprints.likeness(F.col("a"), F.col("c"))
+    ).first()
+    assert near == pytest.approx(0.96) and far == 0
+
+
+def test_thousands_of_ranges_are_few_constants(spark):
+    rows = spark.range(40_000).selectExpr("id * 7 AS doc_id", "concat('t', id * 7) AS body")
+    found = fingerprints.with_next(rows, ["body"], 4_000)
+    wrong = found.filter(
+        F.col("next_body") != F.concat(F.lit("t"), F.pmod(F.col("doc_id") + 7, F.lit(280_000)))
+    )
+    assert found.count() == 40_000 and wrong.count() == 0
