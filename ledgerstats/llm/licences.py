@@ -1,7 +1,9 @@
 """Licence statements in texts: phrases, and templates with optional and replaceable parts.
 
 Templates are written in markup: `<<beginOptional>> ... <<endOptional>>` may be missing,
-`<<any:a-b>>` stands for a to b words, `<<one:x|y z>>` for one of the alternatives. Each is
+`<<any:a-b>>` stands for a to b words, `<<one:x|y z>>` for one of the alternatives, the empty
+one too. The licences of few words are there with all their mandatory wording, from the grant to
+the end of the disclaimer, so a text that has the beginning alone holds none. Each template is
 compiled to an automaton over words; a text holds the licence where the automaton accepts,
 which takes every mandatory word in order and nothing else between them.
 """
@@ -25,32 +27,94 @@ PHRASES = {
     "all rights reserved": "reserved",
 }
 
-# Well-known notices and grants, with their labels.
+_BSD_GRANT = """Redistribution and use in source and binary forms, with or without modification,
+are permitted provided that the following conditions are met:
+<<one:1|a|>> Redistributions of source code must retain the above copyright notice, this list of
+conditions and the following disclaimer.
+<<one:2|b|>> Redistributions in binary form must reproduce the above copyright notice, this list of
+conditions and the following disclaimer in the documentation and/or other materials provided with
+the distribution. """
+_BSD_NAMES = """<<one:3|c|>> Neither the name of <<any:1-12>> nor the names of <<one:its|any>>
+<<beginOptional>>other<<endOptional>> contributors may be used to endorse or promote products
+derived from this software without specific prior written permission. """
+_BSD_DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY <<any:1-12>> "AS IS" AND ANY EXPRESS OR IMPLIED
+WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS
+FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL <<any:1-12>> BE LIABLE FOR ANY DIRECT,
+INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO,
+PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS
+INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE,
+EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE"""
+
+# Whole licences and well-known notices, with their labels.
 TEMPLATES = {
+    "mit-text": """Permission is hereby granted, free of charge, to any person obtaining a copy of
+this software and associated documentation files (the "Software"), to deal in the Software without
+restriction, including without limitation the rights to use, copy, modify, merge, publish,
+distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the
+Software is furnished to do so, subject to the following conditions: The above copyright notice and
+this permission notice <<beginOptional>>(including the next paragraph)<<endOptional>> shall be
+included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS",
+WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL
+<<any:1-12>> BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT,
+TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER
+DEALINGS IN THE SOFTWARE""",
+    "bsd-2-clause": _BSD_GRANT + _BSD_DISCLAIMER,
+    "bsd-3-clause": _BSD_GRANT + _BSD_NAMES + _BSD_DISCLAIMER,
+    "isc": """Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this
+software for any purpose with or without fee is hereby granted, provided that the above copyright
+notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND
+<<any:1-12>> DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES
+OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL <<any:1-12>> BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR
+PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN
+CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE""",
+    "zlib": """This software is provided 'as-is', without any express or implied warranty. In no
+event will the authors be held liable for any damages arising from the use of this software.
+Permission is granted to anyone to use this software for any purpose, including commercial
+applications, and to alter it and redistribute it freely, subject to the following restrictions:
+<<one:1|>> The origin of this software must not be misrepresented; you must not claim that you wrote
+the original software. If you use this software in a product, an acknowledgment in the product
+documentation would be appreciated but is not required. <<one:2|>> Altered source versions must be
+plainly marked as such, and must not be misrepresented as being the original software. <<one:3|>>
+This notice may not be removed or altered from any source distribution""",
+    "apache-2.0-notice": """Licensed under the Apache License, Version 2.0 (the "License"); you may
+not use this file except in compliance with the License. You may obtain a copy of the License at
+<<any:3-8>> Unless required by applicable law or agreed to in writing, software distributed under the
+License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either
+express or implied. See the License for the specific language governing permissions and limitations
+under the License""",
+    "mpl-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License,
+v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at""",
+    "gpl-2.0-or-later": """<<any:1-12>> is free software; you can redistribute it and/or modify it
+under the terms of the GNU General Public License as published by the Free Software Foundation;
+either version 2 <<beginOptional>>of the License<<endOptional>>, or (at your option) any later
+version""",
+    "gpl-3.0-or-later": """<<any:1-12>> is free software: you can redistribute it and/or modify it
+under the terms of the GNU General Public License as published by the Free Software Foundation,
+either version 3 <<beginOptional>>of the License<<endOptional>>, or (at your option) any later
+version""",
+    "cc0-1.0": """<<one:released|dedicated|distributed|available|licensed>> under
+<<beginOptional>>the<<endOptional>> <<one:CC0|CC0 1.0|Creative Commons Zero|CC0 1.0 Universal>>""",
+    "unlicense": """This is free and unencumbered software released into the public domain. Anyone is
+free to copy, modify, publish, use, compile, sell, or distribute this software, either in source
+code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any
+means""",
     "apache-2.0": "licensed under the <<beginOptional>>terms of the<<endOptional>> Apache"
     " License <<beginOptional>>,<<endOptional>> Version 2.0",
     "mit": "<<one:released|licensed|distributed|available|provided>> under the"
     " <<beginOptional>>terms of the<<endOptional>> MIT License",
-    "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of"
-    ' this <<one:software|program|font software>> and associated documentation files (the'
-    ' "<<any:1-3>>"), to deal in the <<any:1-3>> without restriction, including without'
-    " limitation the rights to use, copy, modify, merge, publish, distribute, sublicense,"
-    " and/or sell copies of the <<any:1-3>>",
     "gpl-3.0": "<<one:work|program|software|library|file>> is licensed under the"
     " <<beginOptional>>terms of the<<endOptional>> GNU General Public License"
     " <<beginOptional>>as published by the Free Software Foundation<<endOptional>> version 3"
     " <<beginOptional>>of the license<<endOptional>>",
-    "gpl-notice": "<<any:1-3>> is free software you can redistribute it and/or modify it under"
-    " the terms of the GNU General Public License as published by the Free Software Foundation",
     "cc-by-4.0": "licensed under <<beginOptional>>a<<endOptional>>"
     " <<one:CC BY|Creative Commons Attribution>> 4.0",
     "cc-by-sa-4.0": "licensed under <<beginOptional>>a<<endOptional>>"
     " <<one:CC BY-SA|Creative Commons Attribution-ShareAlike>> 4.0",
     "cc-by-nc-4.0": "licensed under <<beginOptional>>a<<endOptional>>"
     " <<one:CC BY-NC|Creative Commons Attribution-NonCommercial>> 4.0",
-    "bsd": "Redistribution and use in source and binary forms, with or without modification, are"
-    " permitted <<beginOptional>>(subject to the limitations in the disclaimer below)"
-    "<<endOptional>> provided that the following conditions are met",
 }
 
 #: Lower-cases A to Z; every other byte that no word has becomes a space.

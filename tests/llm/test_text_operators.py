@@ -296,3 +296,47 @@ def test_thousands_of_ranges_are_few_constants(spark):
         F.col("next_body") != F.concat(F.lit("t"), F.pmod(F.col("doc_id") + 7, F.lit(280_000)))
     )
     assert found.count() == 40_000 and wrong.count() == 0
+
+
+def wordings(markup, draw):
+    """One wording that the markup allows, by choosing for each part, and its words."""
+    out = []
+    for part in re.split(r"(<<beginOptional>>.*?<<endOptional>>|<<.*?>>)", markup, flags=re.S):
+        if part.startswith("<<beginOptional>>"):
+            out.append(part[17:-15] if draw.random() < 0.5 else "")
+        elif part.startswith("<<any:"):
+            low, high = map(int, part[6:-2].split("-"))
+            out.append(" ".join(f"x{i}" for i in range(draw.randint(low, high))))
+        elif part.startswith("<<one:"):
+            out.append(draw.choice(part[6:-2].split("|")))
+        else:
+            out.append(part)
+    return " ".join(out)
+
+
+@pytest.mark.parametrize("label", sorted(licences.TEMPLATES))
+def test_every_wording_of_a_template_holds_it_and_none_without_a_mandatory_word(label):
+    draw, markup = random.Random(label), licences.TEMPLATES[label]
+    own = licences.Scanner({}, {label: markup})
+    for _ in range(20):
+        whole = wordings(markup, draw)
+        assert own.scan(f"before it. {whole}. After it")["labels"] == label
+    # Without any one of its mandatory words the text holds nothing.
+    bare = re.sub(r"<<beginOptional>>.*?<<endOptional>>", " ", markup, flags=re.S)
+    parts = re.split(r"(<<.*?>>)", bare)
+    mandatory = [(i, j) for i, p in enumerate(parts) if not p.startswith("<<")
+                 for j in range(len(words(p)))]
+    for i, j in draw.sample(mandatory, min(40, len(mandatory))):
+        kept = words(parts[i])
+        less = [*parts[:i], " ".join(kept[:j] + ["zzz"] + kept[j + 1 :]), *parts[i + 1 :]]
+        assert own.scan(wordings("".join(f" {p} " for p in less), draw))["labels"] == ""
+
+
+@pytest.mark.parametrize("label", ["mit-text", "bsd-2-clause", "bsd-3-clause", "isc"])
+def test_the_beginning_of_a_licence_is_none(label):
+    whole = wordings(licences.TEMPLATES[label], random.Random(1)).split()
+    scanner = licences.Scanner(licences.PHRASES, licences.TEMPLATES)
+    assert scanner.scan(" ".join(whole))["labels"] == label
+    for share in (0.3, 0.6, 0.95):
+        cut = " ".join(whole[: int(len(whole) * share)])
+        assert scanner.scan(f"{cut} you may not do any of this")["labels"] == ""
