@@ -7,6 +7,12 @@ visits its own bucket and those beside it in the order of the estimated chance t
 lies there, which follows from how near the query's projection is to each cell's edges, until
 these chances reach a given sum. The candidates of all tables are ranked by exact products.
 
+How far neighbours are and how many buckets a query has to visit depends on the data. A bounded
+sample of queries is compared with all vectors first: the width of the cells follows from the
+distance of their true neighbours, and the sum of chances is the least that would have found
+`TARGET` of these. Where no sum would, because neighbours lie beyond the adjacent cells, every
+query is compared with all vectors.
+
 Buckets are dealt out to slabs by hash. A slab of too many rows, as a large bucket makes one,
 is cut into parts by a hash of the id, and the queries that visit it into blocks; a task takes
 one part of the vectors and one block of the queries. A query that found fewer than it asked for
@@ -28,14 +34,14 @@ from pyspark.sql.window import Window
 from ledgerstats.llm.common import ship, written
 
 TABLES = 3
-#: Width of a cell, where all vectors have length one.
-CELL = 2.0
-#: Distance of a neighbour that the chances are estimated for.
-NEAR = 1.15
-#: Sum of the chances at which a query stops visiting buckets of a table.
-MASS = 0.68
-#: Vectors of a slab, about; one of more than twice as many is cut.
-SLAB_ROWS = 1 << 16
+#: Width of a cell, in distances of a neighbour.
+CELL = 1.75
+#: Share of the sample's neighbours that the buckets visited have to hold.
+TARGET = 0.96
+#: Queries, by a hash of their id, whose neighbours are looked up among all vectors.
+SAMPLE = 128
+#: Vectors of a slab and their bytes, about; one of more than twice as many is cut.
+SLAB_ROWS, SLAB_BYTES = 1 << 16, 1 << 25
 #: Projections of a table: the binary logarithm of the rows by 2.5, within these.
 LEAST_CELLS, MOST_CELLS = 4, 9
 #: Queries of a block, about.
@@ -45,13 +51,14 @@ QUERIES_AT_ONCE = 64
 
 
 class Tables:
-    """The directions and shifts of all tables, drawn from a seed."""
+    """The directions and shifts of all tables, drawn from a seed, for neighbours at a distance
+    of about `near` once all vectors have length one."""
 
-    def __init__(self, dimensions: int, cells: int, norm: float, seed: int = 7):
+    def __init__(self, dimensions: int, cells: int, norm: float, near: float, seed: int = 7):
         draw = np.random.default_rng([seed, dimensions, cells])
-        self.cells, self.norm = cells, norm
+        self.cells, self.norm, self.near, self.width = cells, norm, near, CELL * near
         self.directions = draw.normal(size=(TABLES, dimensions + 1, cells))
-        self.shifts = draw.uniform(0, CELL, size=(TABLES, cells))
+        self.shifts = draw.uniform(0, self.width, size=(TABLES, cells))
         steps = np.array(list(product((-1, 0, 1), repeat=cells)), np.int64)
         self.steps = steps
         self.codes = draw.integers(1, 2**62, size=(TABLES, cells)) * 2 + 1
@@ -59,7 +66,7 @@ class Tables:
         self.taken = (steps + 1) + 3 * np.arange(cells)
 
     def _cells(self, points: np.ndarray, table: int) -> np.ndarray:
-        return (points @ self.directions[table] + self.shifts[table]) / CELL
+        return (points @ self.directions[table] + self.shifts[table]) / self.width
 
     def _codes(self, cells: np.ndarray, table: int) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -75,19 +82,38 @@ class Tables:
 
     def probes(self, query: np.ndarray, mass: float) -> list[np.ndarray]:
         """The buckets that a query visits in each table, the likeliest first."""
+        return [
+            codes[: int(np.searchsorted(np.cumsum(estimate), mass)) + 1]
+            for codes, estimate in self.ordered(query)
+        ]
+
+    def mass_to_find(self, query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+        """The sum of chances from which on a query's visits hold each of the vectors in some
+        table; infinite for those that no visit holds."""
+        buckets = self.buckets(vectors)
+        least = np.full(len(vectors), np.inf)
+        for t, (codes, estimate) in enumerate(self.ordered(query)):
+            reached = np.concatenate([[0.0], np.cumsum(estimate)[:-1]])
+            by_code = np.argsort(codes, kind="stable")
+            at = np.minimum(np.searchsorted(codes[by_code], buckets[:, t]), len(codes) - 1)
+            held = codes[by_code][at] == buckets[:, t]
+            least = np.where(held, np.minimum(least, reached[by_code][at]), least)
+        return least
+
+    def ordered(self, query: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of each table: the buckets about the query's own by falling estimated chance."""
         point = np.append(query / np.linalg.norm(query), 0.0)[None]
         visits = []
         for t in range(TABLES):
             at = self._cells(point, t)[0]
             own = np.floor(at)
             # Chance that a neighbour's projection falls a cell below, in the same, or above.
-            edges = (own[:, None] + np.arange(-1, 3) - at[:, None]) * CELL / NEAR
+            edges = (own[:, None] + np.arange(-1, 3) - at[:, None]) * CELL
             below = _normal(edges)
             chances = np.log(np.maximum(np.diff(below, axis=1), 1e-30)).ravel()
             estimate = np.exp(chances[self.taken].sum(axis=1))
             order = np.argsort(-estimate, kind="stable")
-            n = int(np.searchsorted(np.cumsum(estimate[order]), mass)) + 1
-            visits.append(self._codes(own + self.steps[order[:n]], t))
+            visits.append((self._codes(own + self.steps[order], t), estimate[order]))
         return visits
 
 
@@ -206,22 +232,93 @@ def _compared(
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
+SAMPLED = T.StructType(
+    [
+        T.StructField("query", T.IntegerType()),
+        T.StructField("vec_id", T.LongType()),
+        T.StructField("score", T.DoubleType()),
+        T.StructField("embedding", T.ArrayType(T.DoubleType())),
+    ]
+)
+
+
+def true_neighbours(vectors: DataFrame, ids: np.ndarray, queries: np.ndarray, k: int):
+    """The k nearest vectors of some queries, by comparison with all: a list of matrices.
+
+    A batch of vectors gives k a query at most, and a query's from all batches are ranked.
+    """
+
+    def best(frames):
+        for frame in frames:
+            if not len(frame):
+                continue
+            matrix, own = _matrix(frame["embedding"]), frame["vec_id"].to_numpy()
+            products = queries @ matrix.T
+            products[ids[:, None] == own[None]] = -np.inf
+            for i, row in enumerate(products):
+                top = np.argpartition(-row, min(k, len(row)) - 1)[:k]
+                top = top[np.isfinite(row[top])]
+                yield pd.DataFrame(
+                    {
+                        "query": np.full(len(top), i, np.int32),
+                        "vec_id": own[top],
+                        "score": row[top],
+                        "embedding": list(matrix[top]),
+                    }
+                )
+
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
+    ranked = vectors.mapInPandas(best, SAMPLED).withColumn("rank", F.row_number().over(order))
+    found = ranked.filter(F.col("rank") <= k).select("query", "embedding").collect()
+    return [
+        np.array([r["embedding"] for r in found if r["query"] == i]).reshape(-1, queries.shape[1])
+        for i in range(len(queries))
+    ]
+
+
+def fitted(
+    vectors: DataFrame, queries: DataFrame, k: int, dimensions: int, cells: int, norm: float
+) -> tuple[Tables, float]:
+    """Tables and the sum of chances for these data, from the true neighbours of `SAMPLE`
+    queries; an infinite sum where visits to adjacent cells would find too few."""
+    rows = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
+    ids = np.array([r["vec_id"] for r in rows], np.int64)
+    asked = np.array([r["embedding"] for r in rows]).reshape(len(rows), -1)
+    known = true_neighbours(vectors, ids, asked, k) if len(rows) else []
+    # The distance of the furthest of the k, once the query has length one and the vectors
+    # at most.
+    furthest = [
+        math.sqrt(max(0.0, 2 - 2 * (own @ q).min() / (norm * np.linalg.norm(q))))
+        for q, own in zip(asked, known)
+        if len(own)
+    ]
+    near = max(1e-3, float(np.median(furthest))) if furthest else 1.0
+    tables = Tables(dimensions, cells, norm, near)
+    needed = [tables.mass_to_find(q, own) for q, own in zip(asked, known) if len(own)]
+    if not needed:
+        return tables, 1.0
+    mass = float(np.quantile(np.concatenate(needed), TARGET, method="higher"))
+    return tables, mass + 1e-9
+
+
 def nearest(
     vectors: DataFrame,
     queries: DataFrame,
     k: int,
-    mass: float = MASS,
-    slab_rows: int = SLAB_ROWS,
+    mass: float | None = None,
+    slab_rows: int | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """The k nearest of (vec_id, embedding) found for each query, itself left out.
 
     Nearness is the inner product of the original vectors in double precision; ties go to the
     smaller vec_id. A query has k rows, fewer only where the table has fewer other vectors: where
-    the buckets that it visits hold too few, it is compared with all. Null or zero vectors, those with a null or non-finite component, and rows
-    without vec_id take no part. All vectors must have one length; a table that mixes lengths
-    fails. Rows that repeat a vec_id are one vector, whichever of them. An empty table
-    gives no rows. Further columns are ignored.
+    the buckets that it visits hold too few, it is compared with all. `mass` is the sum of
+    chances that a query visits, by default fitted to the data. Null or zero vectors, those with
+    a null or non-finite component, and rows without vec_id take no part. All vectors must have
+    one length; a table that mixes lengths fails. Of rows that repeat a vec_id the one with the
+    least vector, component by component, counts. An empty table gives no rows. Further columns
+    are ignored.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -233,7 +330,14 @@ def nearest(
         )
         return rows.filter(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
 
-    vectors, queries = prepared(vectors), prepared(queries)
+    def unique(rows: DataFrame) -> DataFrame:
+        """A row for each vec_id; moved only where some repeat."""
+        n, ids = rows.agg(F.count("*"), F.count_distinct("vec_id")).first()
+        if n == ids:
+            return rows
+        return rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+
+    vectors, queries = unique(prepared(vectors)), unique(prepared(queries))
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda t, x: t + x * x))
     known = vectors.agg(
         F.count("*").alias("n"),
@@ -246,7 +350,9 @@ def nearest(
     if known["least"] != known["most"]:
         raise ValueError(f"vectors of {known['least']} and of {known['most']} components")
     cells = min(MOST_CELLS, max(LEAST_CELLS, round(math.log2(known["n"]) / 2.5)))
-    tables = Tables(known["most"], cells, known["norm"])
+    tables, found_mass = fitted(vectors, queries, k, known["most"], cells, known["norm"])
+    mass = found_mass if mass is None else mass
+    slab_rows = slab_rows or max(1, min(SLAB_ROWS, SLAB_BYTES // (8 * known["most"])))
     slabs = max(1, math.ceil(known["n"] / slab_rows))
 
     def slab_of(buckets: np.ndarray) -> np.ndarray:
@@ -280,7 +386,10 @@ def nearest(
     asked = queries.mapInPandas(
         visits, f"vec_id long, embedding array<double>, {key}, codes array<long>"
     ).withColumnRenamed("vec_id", "query_id")
-    found = written(_compared(held, asked, k, slab_rows, block_rows), "nearest")
+    if math.isfinite(mass):
+        found = written(_compared(held, asked, k, slab_rows, block_rows), "nearest")
+    else:
+        found = spark.createDataFrame([], RANKED)
     most = min(k, known["n"] - 1)
     full = found.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= most)
     short = queries.withColumnRenamed("vec_id", "query_id").join(full, "query_id", "left_anti")

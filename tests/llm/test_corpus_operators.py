@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
+from itertools import groupby
 
 import numpy as np
 import public_tokenizers
@@ -426,3 +427,60 @@ def test_the_pipeline_is_its_stages(spark, documents):
 
 def test_folders_are_new(spark):
     assert new_folder(spark, "x") != new_folder(spark, "x")
+
+
+def vector_table(spark, vectors):
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+
+
+def lengths(draw, kind, n):
+    if kind == "log-normal":
+        return np.exp(draw.normal(0, 0.6, (n, 1)))
+    long = np.ones((n, 1))
+    long[3] = 10 if kind == "one long" else 1
+    return long
+
+
+@pytest.mark.parametrize("kind", ["log-normal", "one long", "clusters"])
+def test_recall_holds_for_data_of_other_kinds(spark, kind):
+    draw, n = np.random.default_rng(11), 3000
+    vectors = draw.normal(size=(n, 96))
+    if kind == "clusters":
+        vectors = vectors[draw.integers(0, 60, n)] + 0.3 * draw.normal(size=(n, 96))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors *= lengths(draw, kind, n)
+    table = vector_table(spark, vectors)
+    found = {}
+    for r in neighbours.nearest(table, table.filter("vec_id % 30 = 0"), 20).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q, own in found.items():
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        hits += len(own & set(np.argsort(-scores)[:20].tolist()))
+    assert len(found) == 100 and hits >= 0.9 * 20 * 100
+
+
+def test_neighbours_out_of_reach_of_the_cells_are_found_by_comparison(spark, monkeypatch):
+    vectors = np.random.default_rng(2).normal(size=(200, 8))
+    table = vector_table(spark, vectors)
+    queries = table.filter("vec_id < 10")
+    monkeypatch.setattr(neighbours.Tables, "mass_to_find", lambda s, q, v: np.full(len(v), np.inf))
+    for q, rows in groupby(
+        sorted(neighbours.nearest(table, queries, 7).collect()), key=lambda r: r.query_id
+    ):
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        assert [r.vec_id for r in rows] == np.argsort(-scores)[:7].tolist()
+
+
+def test_of_rows_that_repeat_a_vec_id_the_least_counts(spark):
+    rows = [(1, [1.0, 0.0]), (2, [3.0, 0.0]), (2, [0.5, 9.0]), (2, [0.5, 9.0]), (3, [2.0, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.nearest(table, table.filter("vec_id = 1"), 3).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in found] == [(3, 2.0), (2, 0.5)]
+
+
+def test_slabs_are_bounded_in_bytes():
+    assert neighbours.SLAB_BYTES // (8 * 1024) < neighbours.SLAB_ROWS // 8
