@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ledgerstats import files
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder of `spark.checkpoint.dir`, which driver and executors share.
@@ -37,10 +39,38 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The rows, written once to the shared folder and read from there: the lineage ends
     at files that outlive any executor, and later jobs do not compute the rows again."""
     path = new_folder(df.sparkSession, name)
+    _WRITTEN.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Folders of intermediate tables, by application.
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def clear_written(spark: SparkSession) -> int:
+    """Delete the intermediate tables that this application has written so far. Only results
+    that are themselves stored may be read after that. Returns how many there were."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        files.delete(spark, path)
+    return len(paths)
+
+
+#: Bytes of input for a partition of a shuffle, and partitions at most.
+PARTITION_BYTES, MOST_PARTITIONS = 128 * 1024**2, 200_000
+
+
+def size_session(spark: SparkSession, input_bytes: int) -> None:
+    """Shuffles start with partitions in proportion to the stored input, at least
+    `spark.sql.shuffle.partitions`, and adaptive execution merges what turns out small."""
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(MOST_PARTITIONS, -(-input_bytes // PARTITION_BYTES))
+    spark.conf.set(
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum", max(least, wanted)
+    )
+
+
 def dealt_to_tasks(files: DataFrame, per_task: int) -> DataFrame:
     """A list of files, a row each, in about so many a task, but in as many tasks as run at
     once where there are fewer. The number is stated, as adaptive execution would else merge

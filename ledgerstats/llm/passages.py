@@ -160,8 +160,8 @@ def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of `docs` with the repeated passages cut from their text, and a last column,
     `removed_spans`, of the places cut, in characters of the original.
 
-    A null text stays null, an empty one empty; a row without doc_id has no rank, so it stays
-    loses only what it repeats itself and makes no other go. Rows with one doc_id have one
+    A null text stays null, an empty one empty; a row without doc_id has no rank, so it loses
+    only what it repeats itself and makes no other go. Rows with one doc_id have one
     rank and do not make each other's units go. Other columns are kept; one named
     `removed_spans` is replaced.
     """

@@ -5,6 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerstats import files
+from ledgerstats.llm.common import size_session
 from ledgerstats.llm.fingerprints import compare_with_edits
 from ledgerstats.llm.language import identify_languages
 from ledgerstats.llm.licences import scan_licences
@@ -21,7 +23,9 @@ from ledgerstats.llm.warc import archive_pages
 
 
 def _table(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{directory}/{name}.parquet")
+    path = f"{directory}/{name}.parquet"
+    size_session(spark, files.size_in_bytes(spark, path))
+    return spark.read.parquet(path)
 
 
 def byte_bpe() -> tuple[str, str, str]:
@@ -185,7 +189,8 @@ ORACLES = {
         ), w AS (
             SELECT n.*, coalesce(n_children, 0) AS n_children,
                 CASE WHEN n.depth = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(
-                    n.node[n.depth].text, '[^ 	-]+')) END AS saved
+                    n.node[n.depth].text, '[^ 	-
+]+')) END AS saved
             FROM n LEFT JOIN k ON n.node = k.node
         ), u AS (
             SELECT node, depth, n_children, saved, unnest(range(0, depth + 1)) AS above FROM w

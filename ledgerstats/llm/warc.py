@@ -27,6 +27,7 @@ SKIPPABLE = range(0x184D2A50, 0x184D2A60)
 FRAME = 0xFD2FB528
 VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+REFERS = {"WARC-Refers-To", "Refers-To-Page"}
 NEEDED = {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"}
 
 #: Payloads of fewer bytes are always stored whole.
@@ -60,6 +61,19 @@ def record(fields: dict[str, str], block: bytes) -> bytes:
     return b"\r\n".join(lines) + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
+def record_id(key: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, key)}>"
+
+
+def record_keys(folder: str, path: str, number: int, row: dict) -> dict[str, str]:
+    """What the ids of a record and of the one it refers to are made of: the page and its
+    payload, so that a revisit in any archive names the record that holds it. Rows that repeat
+    a page and its payload are one record, written again. A page without id has its place."""
+    page = f"{folder}#{{}}#{row['payload_digest']}"
+    own = f"{folder}/{path}#{number}" if row["page_id"] is None else page.format(row["page_id"])
+    return {"record_key": own, "refers_key": page.format(row["refers_to"])}
+
+
 def page_record(row: dict) -> bytes:
     """A response with the payload, or a revisit with the payload's headers alone."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nContent-Length: %d\r\n\r\n"
@@ -67,7 +81,7 @@ def page_record(row: dict) -> bytes:
     url = "".join(c if c.isprintable() else "%%%02X" % ord(c) for c in row["url"] or "about:blank")
     fields = {
         "WARC-Type": row["record_type"],
-        "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, row['record_key'])}>",
+        "WARC-Record-ID": record_id(row["record_key"]),
         "WARC-Date": DATE,
         "WARC-Target-URI": url,
         "Content-Type": "application/http; msgtype=response",
@@ -77,6 +91,7 @@ def page_record(row: dict) -> bytes:
         fields["Page-ID"] = str(row["page_id"])
     if row["record_type"] == "revisit":
         fields["WARC-Profile"] = PROFILE
+        fields["WARC-Refers-To"] = record_id(row["refers_key"])
         fields["Refers-To-Page"] = str(row["refers_to"])
         return record(fields, block)
     return record(fields, block + row["payload"])
@@ -159,7 +174,7 @@ def page_of(data: bytes) -> dict:
     if kind == "response":
         if len(payload) != n or hashlib.sha256(payload).hexdigest() != digest:
             raise BadArchive("a payload does not have its digest or length")
-    elif kind != "revisit" or payload or "Refers-To-Page" not in fields:
+    elif kind != "revisit" or payload or not REFERS <= fields.keys():
         raise BadArchive(f"a {kind} record that is no revisit without payload")
     return {
         "page_id": int(fields["Page-ID"]) if "Page-ID" in fields else None,
@@ -245,11 +260,13 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
             for row in batch.to_pylist():
                 if out is None:
                     path = f"{uuid.uuid4().hex}.warc.zst"
-                    out, size = system.open_output_stream(f"{base}/{path}"), 0
+                    # By the name alone pyarrow would compress the whole archive once more.
+                    out = system.open_output_stream(f"{base}/{path}", compression=None)
+                    size = 0
                     size += out.write(dictionary_frame(dictionary))
                     done.append((path, 0, 0))
-                key = f"{folder}/{path}#{done[-1][1]}"
-                size += out.write(compressor.compress(page_record(row | {"record_key": key})))
+                keys = record_keys(folder, path, done[-1][1], row)
+                size += out.write(compressor.compress(page_record(row | keys)))
                 done[-1] = (path, done[-1][1] + 1, size)
                 if size >= archive_bytes:
                     close()
@@ -285,7 +302,9 @@ def read_archives(archives: DataFrame) -> DataFrame:
             for archive in batch.to_pylist():
                 system, path = fs.FileSystem.from_uri(archive["path"])
                 rows, held, n = [], 0, 0
-                with system.open_input_stream(path, buffer_size=1 << 20) as stream:
+                with system.open_input_stream(
+                    path, compression=None, buffer_size=1 << 20
+                ) as stream:
                     for data in read_frames(stream):
                         rows.append(page_of(data))
                         held, n = held + len(data), n + 1

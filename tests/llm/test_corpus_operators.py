@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from ledgerstats import files
 from ledgerstats.llm import neardup, neighbours, order, packing, passages, warc
-from ledgerstats.llm.common import new_folder, written
+from ledgerstats.llm.common import clear_written, new_folder, size_session, written
 from ledgerstats.llm.components import components
 from ledgerstats.llm.queries import QUERIES, byte_bpe
 from ledgerstats.llm.shingles import shingle_set
@@ -134,6 +135,81 @@ PASSAGE = " ".join(
 )
 
 
+def own_units(text):
+    """(start, end, words, whether a whole line) of each sentence, by walking the characters,
+    each followed by its line's own entry where that has several."""
+    out, at = [], 0
+    while at < len(text):
+        end = at
+        while end < len(text) and text[end] != "\n":
+            end += 1
+        while end < len(text) and text[end] == "\n":
+            end += 1
+        line, start, i = [], at, at
+        while i < end:
+            i += 1
+            ascii_end = text[i - 1] in ".!?" and i < end and text[i] != "\n" and text[i].isspace()
+            wide_end = text[i - 1] in "。！？｡" and i < end and text[i] != "\n"
+            if ascii_end or wide_end:
+                j = i
+                while j < end and text[j] != "\n" and text[j].isspace():
+                    j += 1
+                if j < end and text[j] == "\n":
+                    continue
+                line.append((start, j))
+                start = i = j
+        if start < end:
+            line.append((start, end))
+        for a, b in line:
+            out.append((a, b, tuple(text[a:b].lower().split()), len(line) == 1))
+        if len(line) > 1:
+            out.append((at, end, tuple(text[at:end].lower().split()), None))
+        at = end
+    return out
+
+
+def own_repeats(rows):
+    """What is left of each text, by the definition: units of four words or more that stood
+    earlier go as whole lines, and sentences in runs of 13 repeated words or more."""
+    first, left = {}, {}
+    for doc_id, text in sorted(rows):
+        for _, _, words, _ in own_units(text):
+            if len(words) >= 4:
+                first.setdefault(words, doc_id)
+    for doc_id, text in rows:
+        gone, run, seen = bytearray(len(text)), [], set()
+
+        def close(gone=gone):
+            if sum(n for _, _, n in run) >= 13:
+                for a, b, _ in run:
+                    gone[a:b] = b"1" * (b - a)
+            run.clear()
+
+        for a, b, words, line in own_units(text):
+            if len(words) < 4:
+                continue
+            again = first[words] != doc_id or words in seen
+            seen.add(words)
+            if again and line in (True, None):
+                gone[a:b] = b"1" * (b - a)
+            if line is None:
+                continue
+            if again:
+                run.append((a, b, len(words)))
+            else:
+                close()
+        close()
+        left[doc_id] = "".join(c for c, g in zip(text, gone) if not g)
+    return left
+
+
+def test_repeats_are_those_of_the_definition(spark, documents):
+    rows = [(r.doc_id, r.text) for r in documents.collect()]
+    assert all(t is not None and not passages.UNSPACED.search(t) for _, t in rows)
+    found = QUERIES["op7_repeated_passages"](spark, SF).collect()
+    assert {r.doc_id: r.text for r in found} == own_repeats(rows)
+
+
 def test_a_passage_within_other_lines_goes_but_for_the_first(frame):
     rows = [
         (1, f"The first author writes alone here. {PASSAGE} And goes on in the same line."),
@@ -286,6 +362,25 @@ def test_archives_of_awkward_pages(spark):
     assert warc.archive_pages(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_revisits_name_the_record_that_holds_their_payload(spark, tmp_path):
+    rows = [(i, f"u{i}", "payload " * 20 + str(i % 3)) for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    archives = warc.write_archives(pages.repartition(3), f"file://{tmp_path}", archive_bytes=900)
+    records = []
+    for r in archives.collect():
+        with open(r.path.removeprefix("file://"), "rb") as stream:
+            records += [warc.parse_record(data)[0] for data in warc.read_frames(stream)]
+    by_id = {f["WARC-Record-ID"]: f for f in records}
+    assert len(by_id) == len(records) == 60
+    revisits = [f for f in records if f["WARC-Type"] == "revisit"]
+    assert len(revisits) == 57
+    for f in revisits:
+        original = by_id[f["WARC-Refers-To"]]
+        assert original["WARC-Type"] == "response"
+        assert original["Page-ID"] == f["Refers-To-Page"]
+        assert original["WARC-Payload-Digest"] == f["WARC-Payload-Digest"]
+
+
 class Bytes:
     def __init__(self, data, step=7):
         self.data, self.step = data, step
@@ -425,6 +520,21 @@ def test_the_pipeline_is_its_stages(spark, documents):
     )
 
 
+def test_intermediate_tables_are_cleared(spark):
+    kept = written(spark.range(3), "kept")
+    path = kept.inputFiles()[0].rsplit("/", 1)[0]
+    assert files.exists(spark, path) and clear_written(spark) > 0
+    assert not files.exists(spark, path) and clear_written(spark) == 0
+
+
+def test_sessions_are_sized_by_the_input(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    for size, partitions in ((0, 4), (1 << 30, 8), (10**14, 200_000)):
+        size_session(spark, size)
+        assert int(spark.conf.get(name)) == partitions
+    size_session(spark, 0)
+
+
 def test_folders_are_new(spark):
     assert new_folder(spark, "x") != new_folder(spark, "x")
 
