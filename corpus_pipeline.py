@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerstats.llm.common import written
+from ledgerstats import files
+from ledgerstats.llm.common import size_session, written
 from ledgerstats.llm.language import only_identified
 from ledgerstats.llm.neardup import without_near_duplicates
 from ledgerstats.llm.packing import pack
@@ -57,7 +58,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to `documents`, each one's rows written and read again."""
-    rows = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    path = f"{sf_dir}/documents.parquet"
+    size_session(spark, files.size_in_bytes(spark, path))
+    rows = spark.read.parquet(path)
     for name, stage in STAGES[:-1]:
         rows = written(stage(spark, rows, sf_dir), name)
     return STAGES[-1][1](spark, rows, sf_dir)
