@@ -21,10 +21,11 @@ from pyspark.sql import types as T
 from ledgerstats import files
 from ledgerstats.functions.calendar import DAY_NS, as_date, period_of
 from ledgerstats.functions.jsonargs import ARGUMENTS, parsed
-from ledgerstats.operators.periods import between
+from ledgerstats.operators.periods import Extent, between
 from ledgerstats.schemas import SOURCE_TABLES, TIME_COLUMN
 from ledgerstats.sources.base import LedgerSource
 from ledgerstats.sources.catalog import CatalogSource
+from ledgerstats.sources.parquet import extent_of_files
 
 DAY, ACTIONS = "day", "action_receipt_actions"
 _OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
@@ -168,6 +169,15 @@ class LandedSource(CatalogSource):
                 return rows.select(*fields)
         return super().table(name, by)
 
+    def extent(self) -> Extent | None:
+        """From the footers of the first and last day's blocks, as the catalog lists the days."""
+        table = f"`{self.database}`.blocks"
+        days = sorted(r[0] for r in self.spark.sql(f"SHOW PARTITIONS {table}").collect())
+        about = self.spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'")
+        root = about.first()["data_type"]
+        folders = [f"{root}/{day}" for day in sorted({days[0], days[-1]})] if days else []
+        return (extent_of_files(self.spark, folders) if days else None) or super().extent()
+
     def actions(
         self, *arguments: str, from_ns: int | None = None, to_ns: int | None = None
     ) -> DataFrame:

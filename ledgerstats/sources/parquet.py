@@ -19,6 +19,22 @@ EPOCH = dt.date(1970, 1, 1)
 MOST_FOOTERS = 64
 
 
+def extent_of_files(spark: SparkSession, folders: list[str]) -> Extent | None:
+    """The extent of the blocks in folders, from the footers; none where these do not tell."""
+    names = [
+        f"{folder}/{name}"
+        for folder in folders
+        for name in files.children(spark, folder)
+        if not name.startswith(("_", "."))
+    ]
+    if len(names) > MOST_FOOTERS or not all(name.endswith(".parquet") for name in names):
+        return None
+    bounds = [files.parquet_bounds(spark, name, TIME_COLUMN["blocks"]) for name in names]
+    if None in bounds or not (known := [x for found in bounds for x in found]):
+        return None
+    return Extent(min(x[0] for x in known), max(x[1] for x in known))
+
+
 class ParquetSource(LedgerSource):
     """Tables landed as `<root>/<table>`, read with their declared columns."""
 
@@ -52,21 +68,10 @@ class ParquetSource(LedgerSource):
         """From the minima and maxima in the files' footers, of the first and last day directory
         where there are some: no job runs. Where a file lacks them, where the time is no whole
         number, or where there are very many files, the column is scanned."""
-        path, time = f"{self.root}/blocks", TIME_COLUMN["blocks"]
+        path = f"{self.root}/blocks"
         days = self._day_directories("blocks")
         paths = [f"{path}/{day}" for day in sorted({days[0], days[-1]})] if days else [path]
-        names = [
-            f"{folder}/{name}"
-            for folder in paths
-            for name in files.children(self.spark, folder)
-            if not name.startswith(("_", "."))
-        ]
-        if len(names) > MOST_FOOTERS or not all(name.endswith(".parquet") for name in names):
-            return super().extent()
-        bounds = [files.parquet_bounds(self.spark, name, time) for name in names]
-        if None in bounds or not (known := [x for found in bounds for x in found]):
-            return super().extent()
-        return Extent(min(x[0] for x in known), max(x[1] for x in known))
+        return extent_of_files(self.spark, paths) or super().extent()
 
     def _day_directories(self, name: str) -> list[str]:
         if not self.day_column:

@@ -347,6 +347,7 @@ ORACLES |= {
     "single_day_gas_ranges_in_shares": ORACLES["single_day_gas_ranges"],
     "landed_deposit_amount": ORACLES["daily_deposit_amount"],
     "landed_deleted_accounts": ORACLES["daily_deleted_accounts_count"],
+    "landed_ready_days": ORACLES["ready_days"],
     "landed_gas_used": ORACLES["daily_gas_used"],
     "landed_single_day_gas_ranges": ORACLES["single_day_gas_ranges"],
     # Two statistics of one join: days on which it has rows.

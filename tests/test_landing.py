@@ -88,6 +88,22 @@ def test_scans_read_parsed_arguments_and_not_their_text(landed, name, column):
     assert "json" not in text
 
 
+def test_the_extent_comes_from_the_footers_of_two_days(spark, landed, monkeypatch):
+    expected = EventLedger(spark, SMALL).extent()
+    with monkeypatch.context() as m:
+        m.setattr("ledgerstats.sources.base.ledger_extent", None)  # no scan
+        assert landed.extent() == expected
+    # Without footers that tell, and without rows.
+    monkeypatch.setattr("ledgerstats.files.parquet_bounds", lambda *a: None)
+    assert landed.extent() == expected
+    spark.sql("CREATE DATABASE IF NOT EXISTS empty_ledger")
+    try:
+        create_tables(spark, "empty_ledger", "/tmp/none-there", 2)
+        assert LandedSource(spark, "empty_ledger").extent() is None
+    finally:
+        spark.sql("DROP DATABASE empty_ledger CASCADE")
+
+
 def test_one_day_opens_its_own_directories(landed):
     text = plan(compute(landed, "daily_new_accounts_count", DAY))
     assert re.search(r"PartitionFilters: \[[^\]]*day#\d+ >= 2024-01-04", text)
