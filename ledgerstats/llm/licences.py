@@ -62,8 +62,8 @@ TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR TH
 DEALINGS IN THE SOFTWARE""",
     "bsd-2-clause": _BSD_GRANT + _BSD_DISCLAIMER,
     "bsd-3-clause": _BSD_GRANT + _BSD_NAMES + _BSD_DISCLAIMER,
-    "isc": """Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute this
-software for any purpose with or without fee is hereby granted, provided that the above copyright
+    "isc": """Permission to use, copy, modify, and<<beginOptional>>/or<<endOptional>> distribute
+this software for any purpose with or without fee is hereby granted, provided that the above copyright
 notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND
 <<any:1-12>> DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES
 OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL <<any:1-12>> BE LIABLE FOR ANY SPECIAL, DIRECT,
@@ -81,8 +81,8 @@ plainly marked as such, and must not be misrepresented as being the original sof
 This notice may not be removed or altered from any source distribution""",
     "apache-2.0-notice": """Licensed under the Apache License, Version 2.0 (the "License"); you may
 not use this file except in compliance with the License. You may obtain a copy of the License at
-<<any:3-8>> Unless required by applicable law or agreed to in writing, software distributed under the
-License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either
+<<any:3-8>> Unless required by applicable law or agreed to in writing, software distributed under
+the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either
 express or implied. See the License for the specific language governing permissions and limitations
 under the License""",
     "mpl-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License,
@@ -97,8 +97,8 @@ either version 3 <<beginOptional>>of the License<<endOptional>>, or (at your opt
 version""",
     "cc0-1.0": """<<one:released|dedicated|distributed|available|licensed>> under
 <<beginOptional>>the<<endOptional>> <<one:CC0|CC0 1.0|Creative Commons Zero|CC0 1.0 Universal>>""",
-    "unlicense": """This is free and unencumbered software released into the public domain. Anyone is
-free to copy, modify, publish, use, compile, sell, or distribute this software, either in source
+    "unlicense": """This is free and unencumbered software released into the public domain. Anyone
+is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source
 code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any
 means""",
     "apache-2.0": "licensed under the <<beginOptional>>terms of the<<endOptional>> Apache"

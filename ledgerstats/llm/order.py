@@ -155,8 +155,9 @@ def in_training_order(
     written each; where there are such, which may be very many of one id, every row's place
     follows from its id and its number in the table's files, so that they spread over all
     shards. Ids that span too wide a range for the domain are replaced by a hash of them, and
-    the few that then meet stand next to one another. An empty table gives no shards and no rows. Further columns are ignored. A
-    task that is tried again writes under another name; only shards that the rows name count.
+    the few that then meet stand next to one another. An empty table gives no shards and no
+    rows. Further columns are ignored. A task that is tried again writes under another name;
+    only shards that the rows name count.
     """
     spark = docs.sparkSession
     ship(spark)
