@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
+import zlib
 
 import public_tokenizers
 import pytest
@@ -340,3 +342,70 @@ def test_the_beginning_of_a_licence_is_none(label):
     for share in (0.3, 0.6, 0.95):
         cut = " ".join(whole[: int(len(whole) * share)])
         assert scanner.scan(f"{cut} you may not do any of this")["labels"] == ""
+
+
+def plain_language_model(texts):
+    """texts: (text, language). Byte trigrams counted in 32,768 bins, a log-odds classifier for
+    each split of the languages, and how far and how often its margin is right."""
+    bins, known = 32_768, sorted({lang for _, lang in texts})
+    counts = {lang: [0.5] * bins for lang in known}
+    for text, lang in texts:
+        if any(c.isalpha() for c in text):
+            for b in plain_trigrams(text):
+                counts[lang][b] += 1
+    shares = {x: [c / sum(row) for c in row] for x, row in counts.items()}
+    # Every split but the one that puts all on one side; the first language is always plus.
+    n = len(known)
+    splits = [
+        [1, *(1 if p >> k & 1 else -1 for k in range(n - 1))] for p in range(2 ** (n - 1) - 1)
+    ]
+    weights = []
+    for split in splits:
+        sides = [[shares[x] for x, s in zip(known, split) if s == sign] for sign in (1, -1)]
+        means = [[sum(column) / len(side) for column in zip(*side)] for side in sides]
+        weights.append([math.log(p / q) for p, q in zip(*means)])
+
+    def margins(text):
+        own = plain_trigrams(text)
+        return [sum(w[b] for b in own) / (len(own) + 4) for w in weights]
+
+    signed = [
+        [m * split[known.index(lang)] for m, split in zip(margins(text), splits)]
+        for text, lang in texts
+        if any(c.isalpha() for c in text)
+    ]
+    trust = [max(2 * sum(m > 0 for m in col) / len(col) - 1, 0.01) for col in zip(*signed)]
+    scale = [max(sum(map(abs, col)) / len(col), 1e-6) for col in zip(*signed)]
+
+    def predict(text):
+        own = margins(text)
+        loss = [
+            sum(
+                t * math.log1p(math.exp(-4 * split[i] * m / s))
+                for split, m, s, t in zip(splits, own, scale, trust)
+            )
+            for i in range(n)
+        ]
+        odds = [math.exp(min(loss) - x) for x in loss]
+        best = max(range(n), key=lambda i: odds[i])
+        return known[best], odds[best] / sum(odds)
+
+    return predict
+
+
+def plain_trigrams(text):
+    data = f" {text.lower()} ".encode()
+    codes = ((a << 16) + (b << 8) + c for a, b, c in zip(data, data[1:], data[2:]))
+    return [code * 2654435761 % 2**32 >> 17 for code in codes]
+
+
+def test_predictions_are_those_of_plain_code(spark, documents):
+    rows = [tuple(r) for r in documents.select("doc_id", "text", "lang").collect()]
+    learned = [(t, x) for i, t, x in rows if x is not None and zlib.crc32(str(i).encode()) % 3 != 1]
+    predict = plain_language_model(learned)
+    found = {r.doc_id: r for r in QUERIES["op6_language_id"](spark, SF).collect()}
+    for doc_id, text, _ in rows[:60]:
+        lang, score = predict(text)
+        assert found[doc_id].lang_pred == lang
+        assert found[doc_id].score == pytest.approx(score, rel=1e-4)
+        assert found[doc_id].held_out == (zlib.crc32(str(doc_id).encode()) % 3 == 1)
