@@ -130,13 +130,35 @@ def shingle_sets(docs: DataFrame, text: str, width: int) -> DataFrame:
 
 
 def confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The edges (u, v) whose full sets are similar enough."""
-    left = sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("a"))
-    right = sets.select(F.col("doc_id").alias("v"), F.col("shingles").alias("b"))
+    """The edges (leaf, centre) whose full sets are similar enough, as (u, v), u before v.
+
+    A leaf's set moves once for each of its edges, a centre's once for each `BLOCK_MEMBERS` of
+    them: a centre of more has its edges dealt into shares.
+    """
+    counts = edges.groupBy("centre").agg(F.count("*").alias("n"))
+    shares = written(
+        counts.select("centre", F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int").alias("shares")),
+        "centres",
+    )
+    share = F.pmod(F.xxhash64("leaf"), F.coalesce("shares", F.lit(1))).cast("int")
+    leaves = sets.select(F.col("doc_id").alias("leaf"), F.col("shingles").alias("a"))
+    dealt = (
+        edges.join(shares.filter("shares > 1"), "centre", "left")
+        .select("leaf", "centre", share.alias("share"))
+        .join(leaves, "leaf")
+    )
+    centres = sets.select(F.col("doc_id").alias("centre"), F.col("shingles").alias("b")).join(
+        shares, "centre"
+    )
+    copies = F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share")
+    pairs = dealt.join(centres.select("centre", copies, "b"), ["centre", "share"])
     small, large = F.least(F.size("a"), F.size("b")), F.greatest(F.size("a"), F.size("b"))
     both = F.size(F.array_intersect("a", "b"))
-    pairs = edges.join(left, "u").join(right, "v").filter(100 * small >= percent * large)
-    return pairs.filter(100 * both >= percent * (small + large - both)).select("u", "v").distinct()
+    near = pairs.filter(100 * small >= percent * large).filter(
+        100 * both >= percent * (small + large - both)
+    )
+    u, v = F.least("leaf", "centre").alias("u"), F.greatest("leaf", "centre").alias("v")
+    return near.select(u, v).distinct()
 
 
 def common(sets: list[np.ndarray]) -> np.ndarray:
@@ -257,12 +279,13 @@ def near_links(docs: DataFrame, classes: DataFrame, text: str, width: int, perce
     leaves = written(
         members.join(stars, "bucket").filter("doc_id <> centre").drop("n"), "leaves"
     )
-    edges = written(
-        leaves.select(
-            F.least("doc_id", "centre").alias("u"), F.greatest("doc_id", "centre").alias("v")
-        ).distinct(),
-        "edges",
+    # Two documents that are each other's centre, in different buckets, are compared once.
+    pair = F.least("doc_id", "centre"), F.greatest("doc_id", "centre")
+    once = leaves.groupBy(pair[0].alias("u"), pair[1].alias("v")).agg(
+        F.max("centre").alias("centre")
     )
+    leaf = F.when(F.col("centre") == F.col("u"), F.col("v")).otherwise(F.col("u"))
+    edges = written(once.select(leaf.alias("leaf"), "centre"), "edges")
     links = written(confirmed(edges, sets, percent), "links")
     found = written(components(links), "components")
     current = leaves.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(

@@ -189,3 +189,20 @@ def test_large_tables_have_larger_shards(frame, monkeypatch):
     texts = [(i, "word " * 300) for i in range(60)]
     slots = order.in_training_order(frame(texts), byte_bpe(), key=3, shard_bytes=1_000).collect()
     assert len({r.shard for r in slots}) == 3
+
+
+def test_edges_of_one_centre_are_dealt_into_shares(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK_MEMBERS", 10)
+    sets = spark.range(100).selectExpr(
+        "id AS doc_id", "transform(sequence(1, 20), x -> if(x <= 17 + id % 4, x, id * 100 + x)) AS shingles"
+    )
+    edges = spark.range(1, 100).selectExpr("id AS leaf", "0L AS centre")
+    found = {tuple(r) for r in neardup.confirmed(edges, sets, 85).collect()}
+    table = {r.doc_id: set(r.shingles) for r in sets.collect()}
+    expected = {
+        (0, i) for i in range(1, 100)
+        if 100 * len(table[0] & table[i]) >= 85 * len(table[0] | table[i])
+    }
+    assert found == expected and 0 < len(expected) < 99
+    plan = neardup.confirmed(edges, sets, 85)._jdf.queryExecution().optimizedPlan().toString()
+    assert "share" in plan
