@@ -119,10 +119,10 @@ class LoggedStore:
         """
         log = self._log(name)
         base, retries = log.latest(), 0
-        with self._staged(name, rows) as batch:
-            fresh, opened = self._unseen(name, batch, base.parts, period)
+        with self._staged(name, rows) as (batch, n):
+            fresh, opened = self._unseen(name, batch, n, base.parts, period)
             self.reached("compared")
-            part = self._write(name, self._complete(name, fresh, base, complete))
+            part = self._write(name, self._complete(name, fresh, base, complete), n)
         while part is not None:
             self.reached("written")
             after = log.commit(base, (*base.parts, part))
@@ -130,9 +130,10 @@ class LoggedStore:
                 self._merge(name, after)
                 return Inserted(part.rows, opened, retries)
             newest, own = log.latest(), part
-            left, more = self._unseen(name, self._rows(name, (own,)), newest.since(base), period)
+            batch, n = self._rows(name, (own,)), own.rows
+            left, more = self._unseen(name, batch, n, newest.since(base), period)
             base = newest
-            part = self._write(name, self._complete(name, left, base, complete))
+            part = self._write(name, self._complete(name, left, base, complete), n)
             self._delete(name, own)
             opened, retries = opened + more, retries + 1
         return Inserted(0, opened, retries)
@@ -142,8 +143,8 @@ class LoggedStore:
 
     def replace(self, name: str, rows: DataFrame) -> None:
         """Make the rows the whole table, whatever others have committed before."""
-        with self._staged(name, rows) as batch:
-            part = self._write(name, batch)
+        with self._staged(name, rows) as (batch, n):
+            part = self._write(name, batch, n)
         self.reached("written")
         log = self._log(name)
         while log.commit(log.latest(), (part,) if part else ()) is None:
@@ -173,18 +174,19 @@ class LoggedStore:
             self._delete(name, Part(found, 0, 0))
 
     @contextmanager
-    def _staged(self, name: str, rows: DataFrame) -> Iterator[DataFrame]:
-        """The declared rows; of a table with an index they are written, as they are read for
-        their number, their hashes and their keys."""
+    def _staged(self, name: str, rows: DataFrame) -> Iterator[tuple[DataFrame, int]]:
+        """The declared rows; of a table with an index they are written and counted, as they
+        are read for their hashes and again for their keys."""
         table = self.tables[name]
         rows = declared(name, table, rows)
         if table.dated_by is not None:
-            yield rows
+            yield rows, 0
             return
         path = f"{self.root}/{name}/staged/{uuid.uuid4().hex}"
         rows.hint("rebalance").write.parquet(path)
         try:
-            yield self.spark.read.schema(table.schema).parquet(path)
+            staged = self.spark.read.schema(table.schema).parquet(path)
+            yield staged, staged.count()
         finally:
             files.delete(self.spark, path)
 
@@ -206,14 +208,15 @@ class LoggedStore:
         return reader.parquet(*paths).select(*table.columns)
 
     def _unseen(
-        self, name: str, batch: DataFrame, parts: tuple[Part, ...], period: Period | None
+        self, name: str, batch: DataFrame, n: int, parts: tuple[Part, ...], period: Period | None
     ) -> tuple[DataFrame, int]:
-        """The batch without rows whose key is in the parts, and the key files opened for it."""
+        """The batch, of a table with an index n rows, without those whose key is in the parts,
+        and the key files opened for it."""
         table = self.tables[name]
         if not parts:
             return batch, 0
         if table.dated_by is None:
-            return self._unseen_by_index(name, batch, parts)
+            return self._unseen_by_index(name, batch, n, parts)
         if period is not None:
             first, stop = _bounds(table, period)
             parts = tuple(part for part in parts if part.meets(first, stop))
@@ -223,11 +226,11 @@ class LoggedStore:
         return new_rows(stored, batch, table.key), len(parts)
 
     def _unseen_by_index(
-        self, name: str, batch: DataFrame, parts: tuple[Part, ...]
+        self, name: str, batch: DataFrame, n: int, parts: tuple[Part, ...]
     ) -> tuple[DataFrame, int]:
         key = self.tables[name].key
         hashes = batch.select(F.xxhash64(*key).alias("hash"))
-        if batch.count() <= BROADCAST_KEYS:
+        if n <= BROADCAST_KEYS:
             hashes = F.broadcast(hashes)
         paths = [self._path(name, part, "keys") for part in parts]
         index = self.spark.read.schema(HASH).parquet(*paths)
@@ -239,12 +242,13 @@ class LoggedStore:
         ]
         return new_rows(self._files(name, sorted(opened)), batch, key), len(opened)
 
-    def _write(self, name: str, rows: DataFrame) -> Part | None:
-        """The rows as a part that no version names yet; none where there are no rows."""
+    def _write(self, name: str, rows: DataFrame, at_most: int) -> Part | None:
+        """The rows as a part that no version names yet; none where there are no rows. Of a table
+        with an index there are `at_most` so many."""
         table, id_ = self.tables[name], uuid.uuid4().hex
         path = self._path(name, Part(id_, 0, 0))
         if table.dated_by is None:
-            return self._write_indexed(name, id_, rows)
+            return self._write_indexed(name, id_, rows, at_most)
         order = [c for c in (table.partition_by, *table.key) if c]
         spread = rows.hint("rebalance", *[table.partition_by] * bool(table.partition_by))
         spread.sortWithinPartitions(*order).write.parquet(path)
@@ -257,12 +261,12 @@ class LoggedStore:
         part = Part(id_, n, files.size_in_bytes(self.spark, path), first, last)
         return self._unless_empty(name, part)
 
-    def _write_indexed(self, name: str, id_: str, rows: DataFrame) -> Part | None:
+    def _write_indexed(self, name: str, id_: str, rows: DataFrame, at_most: int) -> Part | None:
         """Rows by the first bits of their key's hash, and the hashes beside them."""
         key, part = self.tables[name].key, Part(id_, 0, 0)
         path, keys = (self._path(name, part, kind) for kind in ("parts", "keys"))
-        n, bits = rows.count(), 0
-        while n > self.rows_per_file << bits:
+        bits = 0
+        while at_most > self.rows_per_file << bits:
             bits += 1
         hash_ = F.xxhash64(*key)
         bucket = F.shiftrightunsigned(hash_, 64 - bits).cast("int") if bits else F.lit(0)
@@ -271,6 +275,7 @@ class LoggedStore:
         written = self._rows(name, (part,))
         columns = [F.lit(id_).alias("part"), bucket.alias("bucket"), hash_.alias("hash")]
         written.select(*columns).write.parquet(keys)
+        n = self.spark.read.schema(HASH).parquet(keys).count()
         size = files.size_in_bytes(self.spark, path)
         return self._unless_empty(name, Part(id_, n, size, bucket_bits=bits))
 
@@ -291,7 +296,7 @@ class LoggedStore:
         of its parts, and committed again where others were added.
         """
         while chosen := to_merge(version.parts, self.fanout):
-            merged = self._write(name, self._rows(name, chosen))
+            merged = self._write(name, self._rows(name, chosen), sum(p.rows for p in chosen))
             while True:
                 gone = {part.id for part in chosen}
                 if not gone <= {part.id for part in version.parts}:
