@@ -155,14 +155,14 @@ class LoggedStore:
         files.delete(self.spark, f"{self.root}/{name}")
 
     def vacuum(self, name: str, keep: int = 100, seconds: int = 7 * 86_400) -> None:
-        """Delete versions but the newest `keep`, and parts older than `seconds` that these do
-        not name. No query or writer may take longer than that, as it may use such parts.
+        """Delete versions older than `seconds` but the newest `keep`, and parts as old that
+        no version names. No query or writer may take longer than that, as it may use them.
 
         Merges and replacements do this by themselves. Several may do it at a time.
         """
-        log = self._log(name)
-        log.forget(keep)
-        folder, before = f"{self.root}/{name}/parts", time.time() - seconds
+        log, before = self._log(name), time.time() - seconds
+        log.forget(keep, before)
+        folder = f"{self.root}/{name}/parts"
         old = {
             found
             for found in files.children(self.spark, folder)

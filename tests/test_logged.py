@@ -72,6 +72,19 @@ def test_of_many_writers_of_a_version_one_succeeds(spark, tmp_path):
     assert log.latest() == one and one.number == 1 and len(one.parts) == 1
 
 
+def test_a_writer_far_behind_does_not_take_a_forgotten_number(spark, tmp_path):
+    log = CommitLog(spark, f"{tmp_path}/log")
+    old = version = log.commit(Version(), (Part("0", 1, 1),))
+    for i in range(1, 6):
+        version = log.commit(version, (Part(f"{i}", 1, 1),))
+    log.forget(1, before=0.0)
+    assert log.numbers() == [1, 2, 3, 4, 5, 6]
+    log.forget(1, before=float("inf"))
+    assert log.numbers() == [6]
+    assert log.commit(old, (Part("late", 1, 1),)) is None
+    assert log.latest() == version
+
+
 @pytest.mark.parametrize("period", [None, Period("day", MONDAY, MONDAY + 2)])
 def test_first_write_wins(spark, tmp_path, period):
     store = LoggedStore(spark, str(tmp_path))
