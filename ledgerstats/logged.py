@@ -33,8 +33,7 @@ from ledgerstats.commits import CommitLog, Part, Version
 from ledgerstats.operators.firstwrite import new_rows
 from ledgerstats.operators.periods import Period
 from ledgerstats.schemas import DERIVED_TABLES, DerivedTable
-from ledgerstats.store import _declared as declared
-from ledgerstats.store import _within as within
+from ledgerstats.store import declared_rows, within
 
 #: Parts of like size that are merged into one.
 FANOUT = 8
@@ -139,7 +138,9 @@ class LoggedStore:
         return Inserted(0, opened, retries)
 
     def _complete(self, name: str, rows: DataFrame, base: Version, complete) -> DataFrame:
-        return rows if complete is None else declared(name, self.tables[name], complete(rows, base))
+        if complete is None:
+            return rows
+        return declared_rows(name, self.tables[name], complete(rows, base))
 
     def replace(self, name: str, rows: DataFrame) -> None:
         """Make the rows the whole table, whatever others have committed before."""
@@ -178,7 +179,7 @@ class LoggedStore:
         """The declared rows; of a table with an index they are written and counted, as they
         are read for their hashes and again for their keys."""
         table = self.tables[name]
-        rows = declared(name, table, rows)
+        rows = declared_rows(name, table, rows)
         if table.dated_by is not None:
             yield rows, 0
             return

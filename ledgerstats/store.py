@@ -53,8 +53,8 @@ class Store:
         table = self.tables[name]
         stored = self.read(name)
         if period is not None and table.dated_by:
-            stored = stored.filter(_within(period, table.schema[table.dated_by]))
-        fresh = new_rows(stored, _declared(name, table, rows), table.key)
+            stored = stored.filter(within(period, table.schema[table.dated_by]))
+        fresh = new_rows(stored, declared_rows(name, table, rows), table.key)
         path = self._path(name, versions[-1])
         self._write(table, fresh, path)
         one_row_a_period = table.key == (table.dated_by,)
@@ -74,7 +74,7 @@ class Store:
         table = self.tables[name]
         before, numbers = self._versions(name)[-1:], self._numbers(name)
         number = max(numbers, default=0) + 1
-        self._write(table, _declared(name, table, rows), self._path(name, number))
+        self._write(table, declared_rows(name, table, rows), self._path(name, number))
         for old in set(numbers) - set(before):
             files.delete(self.spark, self._path(name, old))
 
@@ -112,7 +112,7 @@ class Store:
         )
 
 
-def _within(period: Period, field: T.StructField) -> Column:
+def within(period: Period, field: T.StructField) -> Column:
     if isinstance(field.dataType, T.DateType):
         first, stop = (F.date_from_unix_date(F.lit(d)) for d in (period.first, period.stop))
     else:
@@ -120,7 +120,7 @@ def _within(period: Period, field: T.StructField) -> Column:
     return (F.col(field.name) >= first) & (F.col(field.name) < stop)
 
 
-def _declared(name: str, table: DerivedTable, rows: DataFrame) -> DataFrame:
+def declared_rows(name: str, table: DerivedTable, rows: DataFrame) -> DataFrame:
     """The declared columns in order; NULL where none is allowed fails the write."""
 
     def column(field) -> Column:
